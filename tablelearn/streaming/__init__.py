@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream source, sink, watermark or state operator, so
+nothing is built here. The one stateful, in-order computation it does have
+(scoring a recurrent model with its state carried down a series) is a batch
+job: see ``tablelearn.plans.sequence_model.predict_sequence(mode="carry")``.
+"""
