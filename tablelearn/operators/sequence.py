@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tablelearn import functions as tf
 from tablelearn.operators.joins import join_small
-from tablelearn.session import shuffle_partitions
+from tablelearn.session import ensure_checkpoint_dir, shuffle_partitions
 
 _LOC_BITS = 33  # monotonically_increasing_id(): partition id in the upper 31 bits, row number in the lower 33
 
@@ -69,6 +69,12 @@ def number_rows(
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOC_BITS) - 1)))
         .drop("_mid")
     )
+    # Written once to the shared checkpoint folder: the offsets, the per-key
+    # starts and the rows below read the same numbered rows instead of
+    # re-running the range shuffle three times, and a lost executor recovers
+    # them from files.
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     # One row per partition: a broadcast whose size is bounded by `parts`.
     offsets = (
         ranged.groupBy("_pid")

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from tablelearn import functions as tf
 from tablelearn.operators import evaluate, features, report, sequence, shaping, split
 from tablelearn.plans import models
-from tablelearn.session import scratch_path
+from tablelearn.plans.sequence_model import SequenceConfig, fit_sequence_model, forecast_table, prepare_series
+from tablelearn.session import materialize, scratch_path
 from tablelearn.sources import load_table, read_csv, read_parquet
 from tablelearn.sources.sinks import write_csv, write_parquet
 
@@ -414,6 +415,50 @@ def q_overlay_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --------------------------------------------------------------------------- sequence model
+
+
+def _forecast_config(epochs: int = 2) -> SequenceConfig:
+    return SequenceConfig(
+        features=PRICES, labels=NEXT_PRICES, frame_size=50, batch_size=512, epochs=epochs, hidden=16, dense=16, seed=12345
+    )
+
+
+def _fit_orders_model(spark: SparkSession, sf_dir: str, cfg: SequenceConfig):
+    frames, stats = prepare_series(order_next_days(spark, sf_dir), cfg, order="Date", since="1996-01-01")
+    frames = materialize(frames, "order-frames")
+    return frames, stats, fit_sequence_model(frames, cfg)
+
+
+def q_forecast_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 + L1-L9 on the long orders series: next-day join, bounds from all rows, frames of 50
+    days from 1996 on, 98 % chronological split, data-parallel training with parameter
+    averaging, then unscaled actual vs predicted NextClose at every frame (train and test)."""
+    cfg = _forecast_config()
+    frames, stats, model = _fit_orders_model(spark, sf_dir, cfg)
+    return forecast_table(frames, model, stats, label="NextClose")
+
+
+def q_training_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss, frames and seconds per epoch and averaging round of the orders model."""
+    cfg = _forecast_config(epochs=3)
+    _, _, model = _fit_orders_model(spark, sf_dir, cfg)
+    return model.history_df(spark)
+
+
+def q_forecast_events_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 + L8 (carry) on one daily series per event type: frames of 5 days, state carried
+    down each type's frames while scoring."""
+    cfg = SequenceConfig(
+        features=PRICES, labels=PRICES, frame_size=5, batch_size=8, epochs=2, hidden=8, dense=8, split_ratio=0.8
+    )
+    days = event_days(spark, sf_dir)
+    frames, stats = prepare_series(days, cfg, order="Date", key="event_type")
+    frames = materialize(frames, "event-frames")
+    model = fit_sequence_model(frames, cfg, key="event_type")
+    return forecast_table(frames, model, stats, label="Close", key="event_type", mode="carry")
+
+
 # --------------------------------------------------------------------------- registry
 
 
@@ -485,4 +530,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regress_linear": _regressor_report("linear"),
     "regress_decision_tree": _regressor_report("decision_tree"),
     "regress_random_forest": _regressor_report("random_forest", numTrees=20),
+    "forecast_table": q_forecast_table,
+    "training_history": q_training_history,
+    "forecast_events_carry": q_forecast_events_carry,
 }

@@ -82,3 +82,11 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to the shared checkpoint folder and read it back (cuts lineage;
+    later jobs and a lost executor read files instead of recomputing the plan)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
