@@ -21,7 +21,7 @@ from tablelearn.operators import evaluate, features, report, sequence, shaping,
 from tablelearn.plans import models
 from tablelearn.plans.sequence_model import SequenceConfig, fit_sequence_model, forecast_table, prepare_series
 from tablelearn.session import materialize, scratch_path
-from tablelearn.sources import load_table, read_csv, read_parquet
+from tablelearn.sources import load_table, read_csv, read_parquet, register, sql
 from tablelearn.sources.sinks import write_csv, write_parquet
 
 PRICES = ["Open", "Close", "Low", "High"]
@@ -50,14 +50,21 @@ def order_next_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents ⋈ labels with two numeric features of the whole text."""
-    docs = load_table(spark, sf_dir, "documents").select(
-        "doc_id", "n_chars", tf.non_letter_count("text").alias("non_letters")
-    )
+    """documents ⋈ labels with two numeric features of the whole text.
+
+    The join comes first, so the regular expression runs only on labelled
+    documents; the result is a small numeric table, written once to the
+    shared folder because every learner passes over it several times.
+    """
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "text")
     labels = load_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return docs.join(labels, on="doc_id").withColumn(
+    joined = docs.join(labels, on="doc_id").select(
+        "doc_id", "n_chars", tf.non_letter_count("text").alias("non_letters"), "quality", "toxic"
+    )
+    feats = joined.withColumn(
         "non_letter_share", F.try_divide(F.col("non_letters").cast("double"), F.col("n_chars").cast("double"))
     )
+    return materialize(feats, "documents-labelled")
 
 
 # SQL text of the same stand-ins for the oracles.
@@ -125,6 +132,26 @@ def q_next_day_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_next_days(spark, sf_dir)
 
 
+def q_next_day_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + S4 (+ J1): the next-day join as SQL text over registered views (comma join + WHERE)."""
+    register(order_days(spark, sf_dir), "daily_prices")
+    register(
+        sql(
+            spark,
+            "SELECT date_add(Date, -1) AS Date, Open AS NextOpen, Close AS NextClose, Low AS NextLow, "
+            "High AS NextHigh, Volume AS NextVolume FROM daily_prices",
+        ),
+        "next_prices",
+    )
+    cols = ["Date", "Open", "Close", "Low", "High", "Volume", "NextOpen", "NextClose", "NextLow", "NextHigh", "NextVolume"]
+    return sql(
+        spark,
+        "SELECT DISTINCT * FROM (SELECT s.Date, s.Open, s.Close, s.Low, s.High, s.Volume, c.NextOpen, c.NextClose, "
+        "c.NextLow, c.NextHigh, c.NextVolume FROM daily_prices s, next_prices c WHERE to_date(s.Date) = c.Date) "
+        "WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols),
+    )
+
+
 def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 + F5 + O3: the feature/label column list of the rows from 1998 on, in date order."""
     df = shaping.since(order_next_days(spark, sf_dir), "Date", SINCE)
@@ -495,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "daily_ohlcv": q_daily_ohlcv,
     "next_day_join": q_next_day_join,
+    "next_day_join_sql": q_next_day_join_sql,
     "since_filter": q_since_filter,
     "minmax_stats": q_minmax_stats,
     "minmax_scale": q_minmax_scale,
