@@ -138,6 +138,7 @@ ORACLE_SQL: dict[str, str] = {
     "daily_ohlcv": _EVENT_DAYS_SQL,
     "next_day_join": _NEXT_DAYS_SQL,
     "next_day_join_sql": _NEXT_DAYS_SQL,
+    "stock_etl": _NEXT_DAYS_SQL,
     "since_filter": f"""
 SELECT Date, Open, Close, Low, High, NextOpen, NextClose, NextLow, NextHigh
 FROM ({_NEXT_DAYS_SQL}) WHERE Date >= DATE '1998-01-01' ORDER BY Date""",

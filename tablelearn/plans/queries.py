@@ -152,6 +152,18 @@ def q_next_day_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stock_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10 end to end: the orders' daily bars as a dated CSV file in the shared folder, read
+    back with inferred types, next-day joined, filtered, deduplicated and written as Parquet."""
+    from tablelearn.plans.programs import process_stock_csv
+
+    csv_path = write_csv(
+        order_days(spark, sf_dir).select("Date", "Open", "High", "Low", "Close", "Volume"),
+        scratch_path(spark, "stock-csv"),
+    )
+    return process_stock_csv(spark, csv_path, scratch_path(spark, "stock-parquet"))
+
+
 def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 + F5 + O3: the feature/label column list of the rows from 1998 on, in date order."""
     df = shaping.since(order_next_days(spark, sf_dir), "Date", SINCE)
@@ -523,6 +535,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_ohlcv": q_daily_ohlcv,
     "next_day_join": q_next_day_join,
     "next_day_join_sql": q_next_day_join_sql,
+    "stock_etl": q_stock_etl,
     "since_filter": q_since_filter,
     "minmax_stats": q_minmax_stats,
     "minmax_scale": q_minmax_scale,
