@@ -1,7 +1,8 @@
 """Join helper for small per-key tables (statistics, offsets).
 
 Broadcasting is only done behind a measured size: the small side is counted
-first and broadcast only below ``max_broadcast_rows``; above that the join
+first and broadcast only while rows x row width stays below
+``max_broadcast_bytes``; above that the join
 stays a shuffle join, where AQE's skew-join split handles hot keys of the big
 side.
 """
@@ -11,7 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+from tablelearn.session import ensure_checkpoint_dir
+
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _row_width(df: DataFrame) -> int:
+    """Rough in-memory bytes per row of a flat table (8 per fixed-width value, 32 per string)."""
+    width = 16
+    for f in df.schema.fields:
+        name = f.dataType.typeName()
+        width += 32 if name in ("string", "binary") else 64 if name in ("array", "map", "struct") else 8
+    return width
 
 
 def join_small(
@@ -19,13 +31,18 @@ def join_small(
     small: DataFrame,
     on: list[str],
     how: str = "inner",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Equi-join ``big`` with a per-key table, broadcasting it only when its row count is checked small."""
+    """Equi-join ``big`` with a per-key table, broadcasting it only when its counted size is small."""
     if not on:
         raise ValueError("join_small needs join keys")
+    # The small side is usually an aggregate over the big input: write it once to the
+    # shared checkpoint folder so that counting it and joining it do not both re-run
+    # that full pass.
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
     n = small.count()
-    if n <= max_broadcast_rows:
+    if n * _row_width(small) <= max_broadcast_bytes:
         return big.join(F.broadcast(small), on=on, how=how)
     return big.join(small, on=on, how=how)
 

@@ -459,12 +459,23 @@ def q_overlay_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _forecast_config(epochs: int = 2) -> SequenceConfig:
     return SequenceConfig(
-        features=PRICES, labels=NEXT_PRICES, frame_size=50, batch_size=512, epochs=epochs, hidden=16, dense=16, seed=12345
+        features=PRICES,
+        labels=NEXT_PRICES,
+        frame_size=50,
+        batch_size=512,
+        epochs=epochs,
+        hidden=16,
+        dense=16,
+        learning_rate=0.01,
+        seed=12345,
     )
 
 
 def _fit_orders_model(spark: SparkSession, sf_dir: str, cfg: SequenceConfig):
-    frames, stats = prepare_series(order_next_days(spark, sf_dir), cfg, order="Date", since="1996-01-01")
+    # The prepared series is a stored table, as between the reference's two programs:
+    # the bounds and the frames both read it instead of re-running the join.
+    rows = materialize(order_next_days(spark, sf_dir), "order-next-days")
+    frames, stats = prepare_series(rows, cfg, order="Date", since="1996-01-01")
     frames = materialize(frames, "order-frames")
     return frames, stats, fit_sequence_model(frames, cfg)
 
