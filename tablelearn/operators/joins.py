@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.session import ensure_checkpoint_dir
+from tablelearn.session import materialize
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -39,8 +39,7 @@ def join_small(
     # The small side is usually an aggregate over the big input: write it once to the
     # shared checkpoint folder so that counting it and joining it do not both re-run
     # that full pass.
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
+    small = materialize(small, "join-small")
     n = small.count()
     if n * _row_width(small) <= max_broadcast_bytes:
         return big.join(F.broadcast(small), on=on, how=how)

@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tablelearn import functions as tf
 from tablelearn.operators.joins import join_small
-from tablelearn.session import ensure_checkpoint_dir, shuffle_partitions
+from tablelearn.session import materialize, shuffle_partitions
 
 _LOC_BITS = 33  # monotonically_increasing_id(): partition id in the upper 31 bits, row number in the lower 33
 
@@ -69,12 +69,11 @@ def number_rows(
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOC_BITS) - 1)))
         .drop("_mid")
     )
-    # Written once to the shared checkpoint folder: the offsets, the per-key
-    # starts and the rows below read the same numbered rows instead of
+    # Written once as Parquet to the shared checkpoint folder: the offsets, the
+    # per-key starts and the rows below read the same numbered rows instead of
     # re-running the range shuffle three times, and a lost executor recovers
     # them from files.
-    ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "numbered-rows")
     # One row per partition: a broadcast whose size is bounded by `parts`.
     offsets = (
         ranged.groupBy("_pid")
@@ -102,7 +101,7 @@ def number_rows(
 
 def sliding_frames(
     df: DataFrame,
-    order: str,
+    order: str | list[str],
     features: list[str],
     size: int,
     *,
@@ -116,7 +115,9 @@ def sliding_frames(
 
     Output: ``key?, frame_idx, n_frames, start, end, x[, y]`` where ``x`` and
     ``y`` are ``array<array<double>>`` shaped ``[size][len(features|labels)]``
-    and ``start``/``end`` are the order values of the first and last step.
+    and ``start``/``end`` are the values of the (first) order column at the
+    first and last step. Rows tied on ``(key, order)`` are ordered by their
+    remaining columns.
 
     A key with N rows has N-T+1 full frames. ``drop_last=True`` keeps the
     reference count ``max(1, N-T)``: the frame ending on the key's last row is
@@ -129,12 +130,12 @@ def sliding_frames(
     bucket = int(bucket_rows or max(64 * size, 4096))
     if bucket < size:
         raise ValueError("bucket_rows must be >= size")
+    order_cols = [order] if isinstance(order, str) else list(order)
+    value_cols = [c for c in dict.fromkeys(features + labels) if c not in order_cols and c not in keys]
     numbered = number_rows(
-        df.select(*keys, order, *features, *[c for c in labels if c not in features]),
-        order,
-        key,
-        num_partitions=num_partitions,
+        df.select(*keys, *order_cols, *value_cols), order_cols, key, num_partitions=num_partitions
     )
+    order = order_cols[0]
     own = F.floor(F.col("_pos") / bucket)
     copy_back = (F.col("_pos") % bucket < size - 1) & (own > 0)
     spread = numbered.withColumn("_own", own).withColumn(

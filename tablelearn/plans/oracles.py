@@ -153,6 +153,21 @@ FROM ({_EVENT_FRAMES})""",
 SELECT idx AS frame_idx, n_frames, Date AS start, end_day AS "end",
        last_Close AS last_close, last_NextClose AS last_next_close
 FROM ({_ORDER_FRAMES})""",
+    "lineitem_frames": """
+WITH r AS (
+  SELECT l_returnflag, l_shipdate, l_quantity,
+         row_number() OVER w - 1 AS idx, count(*) OVER (PARTITION BY l_returnflag) AS n,
+         lead(l_shipdate, 4) OVER w AS end_ts, lead(l_quantity, 4) OVER w AS last_qty,
+         sum(l_extendedprice) OVER (PARTITION BY l_returnflag
+             ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice
+             ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS frame_price
+  FROM lineitem
+  WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice)
+)
+SELECT l_returnflag, idx AS frame_idx, CASE WHEN n < 5 THEN 0 ELSE greatest(1, n - 5) END AS n_frames,
+       CAST(l_shipdate AS DATE) AS start, CAST(end_ts AS DATE) AS "end",
+       l_quantity AS first_qty, last_qty, round(frame_price, 2) AS frame_price
+FROM r WHERE idx < greatest(1, n - 5) AND idx + 4 < n""",
     "chronological_split": f"""
 SELECT part, count(*) AS n, min(idx) AS first_idx, max(idx) AS last_idx FROM ({_ORDER_SPLIT}) GROUP BY part""",
     "minibatches": f"""

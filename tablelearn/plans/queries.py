@@ -234,6 +234,29 @@ def q_order_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_lineitem_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on a skewed multi-series input: frames of 5 line items per return flag (one flag holds
+    about half of all rows), ordered by ship date then line key; whole table."""
+    li = load_table(spark, sf_dir, "lineitem")
+    fr = sequence.sliding_frames(
+        li,
+        ["l_shipdate", "l_orderkey", "l_linenumber"],
+        ["l_quantity", "l_extendedprice"],
+        5,
+        key="l_returnflag",
+    )
+    return fr.select(
+        "l_returnflag",
+        "frame_idx",
+        "n_frames",
+        F.col("start").cast("date").alias("start"),
+        F.col("end").cast("date").alias("end"),
+        F.element_at(F.element_at("x", 1), 1).alias("first_qty"),
+        F.element_at(tf.last_step("x"), 1).alias("last_qty"),
+        F.round(F.aggregate("x", F.lit(0.0), lambda acc, s: acc + F.element_at(s, 2)), 2).alias("frame_price"),
+    )
+
+
 def q_chronological_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2s: first floor(0.98 n) frames train, the rest test."""
     fr = split.chronological_split(_order_frames(spark, sf_dir), 0.98)
@@ -553,6 +576,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "minmax_unscale": q_minmax_unscale,
     "sliding_frames": q_sliding_frames,
     "order_frames": q_order_frames,
+    "lineitem_frames": q_lineitem_frames,
     "chronological_split": q_chronological_split,
     "minibatches": q_minibatches,
     "key_split": q_key_split,
