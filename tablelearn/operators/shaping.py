@@ -100,21 +100,24 @@ def daily_bars(
     key: str | None = None,
     tie_col: str | None = None,
     volume: str = "count",
+    volume_digits: int | None = None,
 ) -> DataFrame:
     """Daily open/close/low/high/volume of a time-stamped value, per ``key``.
 
     Open and Close are the values of the earliest and latest row of the day,
     ordered by ``(ts, tie_col)``; Volume is the row count (``volume="count"``)
-    or the sum of the values (``"sum"``). One grouped aggregate with partial
-    (map-side) aggregation, so a hot key or day is pre-reduced before the
-    shuffle.
+    or the sum of the values (``"sum"``, rounded to ``volume_digits`` if set).
+    One grouped aggregate with partial (map-side) aggregation, so a hot key or
+    day is pre-reduced before the shuffle. With a ``tie_col`` the ordering is a
+    struct, which Spark aggregates sort-based (still partial before the
+    shuffle); without one it is a hash aggregate.
     """
     order = F.struct(F.col(ts_col), F.col(tie_col)) if tie_col else F.col(ts_col)
     keys = [F.col(key)] if key else []
     if volume == "count":
         vol = F.count(F.lit(1)).cast("double")
     elif volume == "sum":
-        vol = F.round(F.sum(value_col), 2)
+        vol = F.sum(value_col) if volume_digits is None else F.round(F.sum(value_col), volume_digits)
     else:
         raise ValueError("volume must be 'count' or 'sum'")
     return (

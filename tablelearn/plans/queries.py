@@ -39,9 +39,15 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several daily series: events per (event_type, day), open/close by (ts, event_id), volume = sum."""
+    """Several daily series: events per (event_type, day), open/close by (ts, event_id), volume = sum (2 digits)."""
     return shaping.daily_bars(
-        load_table(spark, sf_dir, "events"), "ts", "value", key="event_type", tie_col="event_id", volume="sum"
+        load_table(spark, sf_dir, "events"),
+        "ts",
+        "value",
+        key="event_type",
+        tie_col="event_id",
+        volume="sum",
+        volume_digits=2,
     )
 
 

@@ -245,10 +245,21 @@ def _average(results: DataFrame) -> tuple[np.ndarray, int, float]:
 
 
 def fit_sequence_model(
-    frames: DataFrame, cfg: SequenceConfig, *, key: str | None = None, init: SequenceModel | None = None
+    frames: DataFrame,
+    cfg: SequenceConfig,
+    *,
+    key: str | None = None,
+    init: SequenceModel | None = None,
+    checkpoint_every: int = 0,
+    checkpoint_path: str | None = None,
 ) -> SequenceModel:
     """Train on the ``part == 'train'`` frames with parameter averaging every
-    ``averaging_frequency`` mini-batches; optimiser state is averaged too."""
+    ``averaging_frequency`` mini-batches; optimiser state is averaged too.
+
+    With ``checkpoint_every = k`` the parameters and optimiser state are saved
+    every k epochs under ``checkpoint_path`` (default: the shared checkpoint
+    folder); ``SequenceModel.load`` + ``init=`` resumes from there.
+    """
     spark = frames.sparkSession
     shape = cfg.shape
     workers = cfg.workers or default_parallelism(spark)
@@ -278,6 +289,9 @@ def fit_sequence_model(
                 continue
             params, rms = vec[: shape.size], vec[shape.size :]
             history.append((epoch, r, loss_sum / n, n, time.time() - t0))
+        if checkpoint_every and (epoch + 1) % checkpoint_every == 0:
+            target = checkpoint_path or scratch_path(spark, "sequence-model")
+            SequenceModel(cfg, params, rms, history).save(spark, f"{target.rstrip('/')}/epoch-{epoch + 1}")
     return SequenceModel(cfg, params, rms, history)
 
 

@@ -117,3 +117,14 @@ def test_frame_mode_and_save_load(spark, tmp_path):
     first = sorted(table, key=lambda r: r["frame_idx"])[0]
     lo, hi = stats.first()["min_NextClose"], stats.first()["max_NextClose"]
     assert first["predicted"] == pytest.approx(direct[1] * (hi - lo) + lo)
+
+
+def test_checkpoint_and_resume_equals_one_run(spark, tmp_path):
+    cfg = _cfg(epochs=2, workers=1, averaging_frequency=100)
+    frames, _ = prepare_series(_series(spark), cfg, order="t")
+    full = fit_sequence_model(frames, cfg)
+    half_cfg = _cfg(epochs=1, workers=1, averaging_frequency=100)
+    fit_sequence_model(frames, half_cfg, checkpoint_every=1, checkpoint_path=str(tmp_path / "ck"))
+    saved = SequenceModel.load(spark, str(tmp_path / "ck" / "epoch-1"), half_cfg)
+    resumed = fit_sequence_model(frames, half_cfg, init=saved)
+    assert np.allclose(resumed.params, full.params, atol=1e-10)
