@@ -304,14 +304,17 @@ def predict_sequence(
     *,
     key: str | None = None,
     mode: str = "frame",
+    chunk_frames: int = 100_000,
 ) -> DataFrame:
     """Scaled predictions at each frame's last step: ``key?, frame_idx, part, pred`` (array<double>).
 
     ``mode="frame"``: every frame from a zero state (parallel over frames).
     ``mode="carry"``: per key, the network steps through the frames' last
     rows in order with its state carried from frame to frame (train then
-    test), the reference's stateful scoring. Rows are hash-partitioned by key
-    and streamed in ``frame_idx`` order; memory per task stays at one batch.
+    test), the reference's stateful scoring. The recurrence is sequential per
+    key, so the series is cut into chunks of ``chunk_frames`` frames processed
+    one Spark job after another, each job in parallel over keys, with the
+    state passed on between chunks (see ``_predict_carry``).
     """
     spark = frames.sparkSession
     shape = model.config.shape
@@ -338,25 +341,66 @@ def predict_sequence(
 
     if mode != "carry":
         raise ValueError("mode must be 'frame' or 'carry'")
-    ordered = (base.repartition(*keys) if keys else base.repartition(1)).sortWithinPartitions(*keys, "frame_idx")
+    return _predict_carry(frames, shape, bc, keys, chunk_frames)
 
-    def carry(it):
+
+def _predict_carry(frames: DataFrame, shape: rn.NetShape, bc, keys: list[str], chunk_frames: int) -> DataFrame:
+    """Carry mode in chunks of ``chunk_frames`` frames per key: one Spark job per chunk
+    (parallel across keys), each key's state handed to its next chunk through a
+    size-checked join on the chunk's first frame. No task sees more than one
+    chunk of one key, however long the series."""
+    spark = frames.sparkSession
+    steps = frames.select(
+        *keys, "frame_idx", "part", F.element_at("x", -1).alias("x_last")
+    ).withColumn("_chunk", F.floor(F.col("frame_idx") / F.lit(chunk_frames)).cast("long"))
+    stored = spark.read.parquet(write_parquet(steps, scratch_path(spark, "carry-steps"), partition_by=["_chunk"]))
+    last_chunk = stored.agg(F.max("_chunk")).first()[0]
+    key_fields = [f for f in frames.select(*keys, "frame_idx", "part").schema.fields]
+    vec = ArrayType(DoubleType())
+    schema = StructType(key_fields + [StructField(n, vec) for n in ("pred", "h", "c")])
+
+    def run_chunk(it):
         flat = bc.value
-        current, state = object(), None
+        current, state, last_idx, last_part = None, None, None, None
         for pdf in it:
-            if pdf.empty:
-                continue
-            preds = []
+            out = []
             for i in range(len(pdf)):
                 k = tuple(pdf[c].iat[i] for c in keys)
                 if k != current:
-                    current, state = k, None
-                last = np.asarray(pdf["x"].iat[i][-1], dtype=float)[None, None, :]
-                y, _, state = rn.forward(shape, flat, last, state=state, keep=False)
-                preds.append(y[0, -1, :])
-            yield pd.DataFrame({**{c: pdf[c] for c in keys + ["frame_idx", "part"]}, "pred": preds})
-
-    return ordered.mapInPandas(carry, out_schema)
+                    if current is not None:
+                        out.append((*current, last_idx, last_part, None, state[0][0].tolist(), state[1][0].tolist()))
+                    h0, c0 = pdf["h0"].iat[i], pdf["c0"].iat[i]
+                    state = None if h0 is None else (np.asarray(h0, dtype=float)[None, :], np.asarray(c0, dtype=float)[None, :])
+                    current = k
+                x = np.asarray(pdf["x_last"].iat[i], dtype=float)[None, None, :]
+                y, _, state = rn.forward(shape, flat, x, state=state, keep=False)
+                last_idx, last_part = int(pdf["frame_idx"].iat[i]), pdf["part"].iat[i]
+                out.append((*k, last_idx, last_part, y[0, -1, :].tolist(), None, None))
+            if out:
+                yield pd.DataFrame(out, columns=schema.names)
+        if current is not None:
+            tail = [(*current, last_idx, last_part, None, state[0][0].tolist(), state[1][0].tolist())]
+            yield pd.DataFrame(tail, columns=schema.names)
+
+    paths, state_df = [], None
+    for j in range(0 if last_chunk is None else int(last_chunk) + 1):
+        chunk = stored.where(F.col("_chunk") == j).drop("_chunk")
+        if state_df is None:
+            chunk = chunk.withColumn("h0", F.lit(None).cast(vec)).withColumn("c0", F.lit(None).cast(vec))
+        else:
+            chunk = join_small(chunk, state_df, on=keys + ["frame_idx"], how="left")
+        chunk = chunk.repartition(*keys) if keys else chunk.repartition(1)
+        out = chunk.sortWithinPartitions(*keys, "frame_idx").mapInPandas(run_chunk, schema)
+        path = write_parquet(out, scratch_path(spark, f"carry-out-{j}"))
+        paths.append(path)
+        state_df = (
+            spark.read.parquet(path)
+            .where(F.col("h").isNotNull())
+            .select(*keys, (F.col("frame_idx") + 1).alias("frame_idx"), F.col("h").alias("h0"), F.col("c").alias("c0"))
+        )
+    if not paths:
+        return spark.createDataFrame([], StructType(key_fields + [StructField("pred", vec)]))
+    return spark.read.parquet(*paths).where(F.col("pred").isNotNull()).select(*keys, "frame_idx", "part", "pred")
 
 
 def forecast_table(
@@ -367,6 +411,7 @@ def forecast_table(
     label: str = "NextClose",
     key: str | None = None,
     mode: str = "frame",
+    chunk_frames: int = 100_000,
 ) -> DataFrame:
     """L9 (+ C5, C6, W2): ``key?, frame_idx, time, part, actual, predicted`` for one label, unscaled.
 
@@ -374,7 +419,7 @@ def forecast_table(
     """
     keys = [key] if key else []
     j = model.config.labels.index(label)
-    pred = predict_sequence(frames, model, key=key, mode=mode)
+    pred = predict_sequence(frames, model, key=key, mode=mode, chunk_frames=chunk_frames)
     actual = frames.select(*keys, "frame_idx", F.element_at(F.element_at("y", -1), j + 1).alias("actual"))
     joined = pred.join(actual, on=keys + ["frame_idx"]).select(
         *keys, "frame_idx", "part", "actual", F.element_at("pred", j + 1).alias("predicted")

@@ -88,9 +88,15 @@ def test_carry_mode_is_one_stateful_pass_per_key(spark):
     frames, stats = prepare_series(_series(spark, 40, keys=("a", "b")), cfg, order="t", key="k")
     model = fit_sequence_model(frames, cfg, key="k")
     got = {
+        (r["k"], r["frame_idx"]): np.array(r["pred"])
+        for r in predict_sequence(frames, model, key="k", mode="carry", chunk_frames=7).collect()
+    }
+    one_chunk = {
         (r["k"], r["frame_idx"]): np.array(r["pred"])
         for r in predict_sequence(frames, model, key="k", mode="carry").collect()
     }
+    assert got.keys() == one_chunk.keys()
+    assert all(np.allclose(got[k], one_chunk[k]) for k in got)
     for k in ("a", "b"):
         rows = sorted(frames.where(F.col("k") == k).collect(), key=lambda r: r["frame_idx"])
         state = None
