@@ -61,9 +61,12 @@ def next_day_join(
 
     Plan: the null filter and the distinct are applied to each side before
     the join, which gives the same rows (the distinct of a product is the
-    product of distincts) but never materialises copies. Each side is
-    hash-partitioned once on the join keys; that one exchange serves both its
-    distinct and the sort-merge join, so the whole job shuffles each side once.
+    product of distincts) but never pairs up copies. The distinct is a
+    partial aggregation, so copies are dropped map-side before any shuffle
+    (Catalyst drops it entirely when the input is already unique per day, as
+    for daily bars). The join's own exchange is left to Spark, so AQE can
+    split a skewed (key, day) partition or switch to a broadcast once the
+    side's size is measured.
 
     ``by="row"`` pairs each row with the next row of its key instead (see
     ``sequence.next_row_join``).
@@ -86,8 +89,8 @@ def next_day_join(
         df.select(*keys, tf.day_shift(date_col, -1).alias(jk), *[F.col(c).alias(prefix + c) for c in cols])
         .where(tf.all_not_null(keys + [jk] + [prefix + c for c in cols]))
     )
-    left = left.repartition(*keys, jk).distinct()
-    right = right.repartition(*keys, jk).distinct()
+    left = left.distinct()
+    right = right.distinct()
     out = left.join(right, on=keys + [jk], how="inner")
     return out.select(*keys, date_col, *cols, *[prefix + c for c in cols])
 
