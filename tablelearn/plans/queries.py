@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -437,6 +437,15 @@ def q_kmeans_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.score(model, df).select("c_custkey", F.col("prediction").alias("cluster"))
 
 
+def q_kmeans_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 on array features: 64-dim embeddings enter Spark ML as vectors (k = 10)."""
+    emb = load_table(spark, sf_dir, "embeddings").select(
+        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("embedding_vec")
+    )
+    model = models.fit_kmeans(emb, ["embedding_vec"], k=10, seed=1)
+    return models.score(model, emb).select("vec_id", F.col("prediction").alias("cluster"))
+
+
 # --------------------------------------------------------------------------- evaluation
 
 
@@ -600,6 +609,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_forest_classifier": _tree_classifier_query("random_forest"),
     "kmeans_two_groups": q_kmeans_two_groups,
     "kmeans_segments": q_kmeans_segments,
+    "kmeans_embeddings": q_kmeans_embeddings,
     "confusion_matrix": q_confusion_matrix,
     "accuracy": q_accuracy,
     "precision_by_label": q_precision_by_label,
