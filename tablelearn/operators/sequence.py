@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tablelearn import functions as tf
 from tablelearn.operators.joins import join_small
-from tablelearn.session import materialize, shuffle_partitions
+from tablelearn.session import materialize
 
 _LOC_BITS = 33  # monotonically_increasing_id(): partition id in the upper 31 bits, row number in the lower 33
 
@@ -59,10 +59,14 @@ def number_rows(
     spark = df.sparkSession
     order = [order] if isinstance(order, str) else list(order)
     keys = [key] if key else []
-    parts = num_partitions or shuffle_partitions(spark)
     ties = _orderable(df, keys + order)
+    # Without an explicit count the range exchange follows the session's shuffle
+    # settings and AQE merges small neighbouring ranges (which keeps them in order).
+    by_range = (
+        df.repartitionByRange(num_partitions, *keys, *order) if num_partitions else df.repartitionByRange(*keys, *order)
+    )
     ranged = (
-        df.repartitionByRange(parts, *keys, *order)
+        by_range
         .sortWithinPartitions(*keys, *order, *ties)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", _LOC_BITS))
@@ -74,7 +78,7 @@ def number_rows(
     # re-running the range shuffle three times, and a lost executor recovers
     # them from files.
     ranged = materialize(ranged, "numbered-rows")
-    # One row per partition: a broadcast whose size is bounded by `parts`.
+    # One row per range partition: a broadcast bounded by the partition count.
     offsets = (
         ranged.groupBy("_pid")
         .agg(F.count(F.lit(1)).alias("_cnt"))
