@@ -31,7 +31,7 @@ def join_small(
     small: DataFrame,
     on: list[str],
     how: str = "inner",
-    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Equi-join ``big`` with a per-key table, broadcasting it only when its counted size is small."""
     if not on:
@@ -40,8 +40,9 @@ def join_small(
     # shared checkpoint folder so that counting it and joining it do not both re-run
     # that full pass.
     small = materialize(small, "join-small")
+    limit = DEFAULT_MAX_BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
     n = small.count()
-    if n * _row_width(small) <= max_broadcast_bytes:
+    if n * _row_width(small) <= limit:
         return big.join(F.broadcast(small), on=on, how=how)
     return big.join(small, on=on, how=how)
 
