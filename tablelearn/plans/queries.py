@@ -10,6 +10,7 @@ Doubles are rounded (and every column aliased) identically on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -140,20 +141,22 @@ def q_next_day_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_next_day_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 + S4 (+ J1): the next-day join as SQL text over registered views (comma join + WHERE)."""
-    register(order_days(spark, sf_dir), "daily_prices")
+    tag = uuid.uuid4().hex[:8]
+    days, nxt = f"daily_prices_{tag}", f"next_prices_{tag}"
+    register(order_days(spark, sf_dir), days)
     register(
         sql(
             spark,
             "SELECT date_add(Date, -1) AS Date, Open AS NextOpen, Close AS NextClose, Low AS NextLow, "
-            "High AS NextHigh, Volume AS NextVolume FROM daily_prices",
+            f"High AS NextHigh, Volume AS NextVolume FROM {days}",
         ),
-        "next_prices",
+        nxt,
     )
     cols = ["Date", "Open", "Close", "Low", "High", "Volume", "NextOpen", "NextClose", "NextLow", "NextHigh", "NextVolume"]
     return sql(
         spark,
         "SELECT DISTINCT * FROM (SELECT s.Date, s.Open, s.Close, s.Low, s.High, s.Volume, c.NextOpen, c.NextClose, "
-        "c.NextLow, c.NextHigh, c.NextVolume FROM daily_prices s, next_prices c WHERE to_date(s.Date) = c.Date) "
+        f"c.NextLow, c.NextHigh, c.NextVolume FROM {days} s, {nxt} c WHERE to_date(s.Date) = c.Date) "
         "WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols),
     )
 
