@@ -117,6 +117,39 @@ pc AS (SELECT prediction AS label, count(*) AS n_pred FROM t GROUP BY 1)
 SELECT tp.label, round(CASE WHEN coalesce(pc.n_pred, 0) = 0 THEN 0.0 ELSE tp.tp / pc.n_pred END, 9) AS precision
 FROM tp LEFT JOIN pc ON tp.label = pc.label"""
 
+_NB_SCORED = f"""
+WITH d AS (
+  SELECT doc_id, n_chars, CAST(non_letters AS DOUBLE) / CAST(n_chars AS DOUBLE) AS share,
+         CAST(quality AS VARCHAR) AS ql, quality
+  FROM ({_DOCS_SQL})
+),
+tr AS (SELECT * FROM d WHERE doc_id % 4 <> 0),
+te AS (SELECT * FROM d WHERE doc_id % 4 = 0),
+lab AS (SELECT ql, CAST(row_number() OVER (ORDER BY count(*) DESC, ql) - 1 AS DOUBLE) AS label FROM tr GROUP BY ql),
+st AS (
+  SELECT lab.label, count(*) AS n_c, sum(CAST(tr.n_chars AS DOUBLE)) AS s1, sum(tr.share) AS s2
+  FROM tr JOIN lab ON tr.ql = lab.ql GROUP BY lab.label
+),
+tot AS (SELECT sum(n_c) AS nn, count(*) AS k FROM st),
+m AS (
+  SELECT label, ln(n_c + 1) - ln(nn + k) AS pi, ln(s1 + 1) - ln(s1 + s2 + 2) AS t1, ln(s2 + 1) - ln(s1 + s2 + 2) AS t2
+  FROM st, tot
+)
+SELECT te.doc_id, coalesce(lab.label, CAST((SELECT count(*) FROM lab) AS DOUBLE)) AS label,
+       arg_max(m.label, m.pi + te.n_chars * m.t1 + te.share * m.t2) AS prediction
+FROM te LEFT JOIN lab ON te.ql = lab.ql, m
+GROUP BY te.doc_id, lab.label"""
+
+_NB_REPORT = f"""
+WITH sc AS ({_NB_SCORED}),
+tp AS (SELECT label, sum(CASE WHEN label = prediction THEN 1 ELSE 0 END) AS tp FROM sc GROUP BY 1),
+pc AS (SELECT prediction AS label, count(*) AS n_pred FROM sc GROUP BY 1)
+SELECT 'accuracy' AS metric, CAST(NULL AS DOUBLE) AS label,
+       round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 9) AS value FROM sc
+UNION ALL
+SELECT 'precision', tp.label, round(CASE WHEN coalesce(pc.n_pred, 0) = 0 THEN 0.0 ELSE tp.tp / pc.n_pred END, 9)
+FROM tp LEFT JOIN pc ON tp.label = pc.label"""
+
 _OVERLAY = f"""
 WITH {_best_variance_split("SELECT x, y FROM (" + _PART_TREE + ") WHERE p_partkey % 4 <> 0")},
 grid AS (
@@ -230,4 +263,5 @@ SELECT 'accuracy' AS metric, CAST(NULL AS DOUBLE) AS label, accuracy AS value FR
 UNION ALL
 SELECT 'precision', label, precision FROM ({_PRECISION})""",
     "overlay_series": _OVERLAY,
+    "classify_naive_bayes": _NB_REPORT,
 }

@@ -575,7 +575,8 @@ def _classifier_report(kind: str, **params):
         model = models.fit_classifier(
             train, kind, ["n_chars", "non_letter_share"], "quality_label", handle_invalid="keep", seed=11, **params
         )
-        return evaluate.metrics_report(models.score(model, test))
+        report_df = evaluate.metrics_report(models.score(model, test))
+        return report_df.select("metric", "label", F.round("value", 9).alias("value"))
 
     run.__doc__ = f"Reference classification program with {kind}: fit, score the held-out keys, metrics table."
     return run
