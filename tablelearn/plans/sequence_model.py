@@ -305,8 +305,12 @@ def predict_sequence(
     key: str | None = None,
     mode: str = "frame",
     chunk_frames: int = 100_000,
+    extra: list[str] | None = None,
 ) -> DataFrame:
-    """Scaled predictions at each frame's last step: ``key?, frame_idx, part, pred`` (array<double>).
+    """Scaled predictions at each frame's last step: ``key?, frame_idx, part, extra..., pred`` (array<double>).
+
+    ``extra`` columns of ``frames`` are carried through unchanged, so callers
+    never need to join predictions back to their frames.
 
     ``mode="frame"``: every frame from a zero state (parallel over frames).
     ``mode="carry"``: per key, the network steps through the frames' last
@@ -320,11 +324,12 @@ def predict_sequence(
     shape = model.config.shape
     bc = spark.sparkContext.broadcast(model.params)
     keys = [key] if key else []
+    extra = list(extra or [])
+    passed = keys + ["frame_idx", "part"] + extra
     out_schema = StructType(
-        [f for f in frames.select(*keys, "frame_idx", "part").schema.fields]
-        + [StructField("pred", ArrayType(DoubleType()))]
+        [f for f in frames.select(*passed).schema.fields] + [StructField("pred", ArrayType(DoubleType()))]
     )
-    base = frames.select(*keys, "frame_idx", "part", "x")
+    base = frames.select(*passed, "x")
 
     if mode == "frame":
 
@@ -335,51 +340,58 @@ def predict_sequence(
                     continue
                 X = np.stack([np.stack(v) for v in pdf["x"].to_numpy()]).astype(float)
                 pred = rn.predict_last(shape, flat, X)
-                yield pd.DataFrame({**{c: pdf[c] for c in keys + ["frame_idx", "part"]}, "pred": list(pred)})
+                yield pd.DataFrame({**{c: pdf[c] for c in passed}, "pred": list(pred)})
 
         return base.mapInPandas(score, out_schema)
 
     if mode != "carry":
         raise ValueError("mode must be 'frame' or 'carry'")
-    return _predict_carry(frames, shape, bc, keys, chunk_frames)
+    return _predict_carry(frames, shape, bc, keys, chunk_frames, extra)
 
 
-def _predict_carry(frames: DataFrame, shape: rn.NetShape, bc, keys: list[str], chunk_frames: int) -> DataFrame:
+def _predict_carry(
+    frames: DataFrame, shape: rn.NetShape, bc, keys: list[str], chunk_frames: int, extra: list[str]
+) -> DataFrame:
     """Carry mode in chunks of ``chunk_frames`` frames per key: one Spark job per chunk
     (parallel across keys), each key's state handed to its next chunk through a
     size-checked join on the chunk's first frame. No task sees more than one
     chunk of one key, however long the series."""
     spark = frames.sparkSession
-    steps = frames.select(
-        *keys, "frame_idx", "part", F.element_at("x", -1).alias("x_last")
-    ).withColumn("_chunk", F.floor(F.col("frame_idx") / F.lit(chunk_frames)).cast("long"))
+    passed = keys + ["frame_idx", "part"] + extra
+    steps = frames.select(*passed, F.element_at("x", -1).alias("x_last")).withColumn(
+        "_chunk", F.floor(F.col("frame_idx") / F.lit(chunk_frames)).cast("long")
+    )
     stored = spark.read.parquet(write_parquet(steps, scratch_path(spark, "carry-steps"), partition_by=["_chunk"]))
     last_chunk = stored.agg(F.max("_chunk")).first()[0]
-    key_fields = [f for f in frames.select(*keys, "frame_idx", "part").schema.fields]
+    key_fields = [f for f in frames.select(*passed).schema.fields]
     vec = ArrayType(DoubleType())
     schema = StructType(key_fields + [StructField(n, vec) for n in ("pred", "h", "c")])
 
     def run_chunk(it):
         flat = bc.value
         current, state, last_idx, last_part = None, None, None, None
+        blanks = (None,) * len(extra)
         for pdf in it:
             out = []
             for i in range(len(pdf)):
                 k = tuple(pdf[c].iat[i] for c in keys)
                 if k != current:
                     if current is not None:
-                        out.append((*current, last_idx, last_part, None, state[0][0].tolist(), state[1][0].tolist()))
+                        out.append(
+                            (*current, last_idx, last_part, *blanks, None, state[0][0].tolist(), state[1][0].tolist())
+                        )
                     h0, c0 = pdf["h0"].iat[i], pdf["c0"].iat[i]
                     state = None if h0 is None else (np.asarray(h0, dtype=float)[None, :], np.asarray(c0, dtype=float)[None, :])
                     current = k
                 x = np.asarray(pdf["x_last"].iat[i], dtype=float)[None, None, :]
                 y, _, state = rn.forward(shape, flat, x, state=state, keep=False)
                 last_idx, last_part = int(pdf["frame_idx"].iat[i]), pdf["part"].iat[i]
-                out.append((*k, last_idx, last_part, y[0, -1, :].tolist(), None, None))
+                vals = tuple(pdf[c].iat[i] for c in extra)
+                out.append((*k, last_idx, last_part, *vals, y[0, -1, :].tolist(), None, None))
             if out:
                 yield pd.DataFrame(out, columns=schema.names)
         if current is not None:
-            tail = [(*current, last_idx, last_part, None, state[0][0].tolist(), state[1][0].tolist())]
+            tail = [(*current, last_idx, last_part, *blanks, None, state[0][0].tolist(), state[1][0].tolist())]
             yield pd.DataFrame(tail, columns=schema.names)
 
     paths, state_df = [], None
@@ -400,7 +412,7 @@ def _predict_carry(frames: DataFrame, shape: rn.NetShape, bc, keys: list[str], c
         )
     if not paths:
         return spark.createDataFrame([], StructType(key_fields + [StructField("pred", vec)]))
-    return spark.read.parquet(*paths).where(F.col("pred").isNotNull()).select(*keys, "frame_idx", "part", "pred")
+    return spark.read.parquet(*paths).where(F.col("pred").isNotNull()).select(*passed, "pred")
 
 
 def forecast_table(
@@ -419,10 +431,8 @@ def forecast_table(
     """
     keys = [key] if key else []
     j = model.config.labels.index(label)
-    pred = predict_sequence(frames, model, key=key, mode=mode, chunk_frames=chunk_frames)
-    actual = frames.select(*keys, "frame_idx", F.element_at(F.element_at("y", -1), j + 1).alias("actual"))
-    joined = pred.join(actual, on=keys + ["frame_idx"]).select(
-        *keys, "frame_idx", "part", "actual", F.element_at("pred", j + 1).alias("predicted")
-    )
-    out = feat.minmax_unscale(joined, ["actual", "predicted"], stats, stat_cols=[label, label], key=key)
+    with_actual = frames.withColumn("actual", F.element_at(F.element_at("y", -1), j + 1))
+    pred = predict_sequence(with_actual, model, key=key, mode=mode, chunk_frames=chunk_frames, extra=["actual"])
+    scored = pred.select(*keys, "frame_idx", "part", "actual", F.element_at("pred", j + 1).alias("predicted"))
+    out = feat.minmax_unscale(scored, ["actual", "predicted"], stats, stat_cols=[label, label], key=key)
     return out.select(*keys, "frame_idx", (F.col("frame_idx") + 1).alias("time"), "part", "actual", "predicted")
