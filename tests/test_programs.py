@@ -73,8 +73,8 @@ def _stock_rows(n_weeks=30):
 
 def test_process_stock_csv_and_train(spark, tmp_path):
     rows = _stock_rows()
-    path = _write(tmp_path, "GOOG.csv", "Date,Open,High,Low,Close,Adj Close,Volume", rows)
-    out = programs.process_stock_csv(spark, path, str(tmp_path / "goog.parquet"))
+    path = _write(tmp_path, "daily_prices.csv", "Date,Open,High,Low,Close,Adj Close,Volume", rows)
+    out = programs.process_stock_csv(spark, path, str(tmp_path / "daily_prices.parquet"))
     assert out.count() == 30 * 4  # no Friday has a next calendar day
     assert "Adj Close" not in out.columns
     cfg = SequenceConfig(
@@ -86,7 +86,7 @@ def test_process_stock_csv_and_train(spark, tmp_path):
         hidden=4,
         dense=4,
     )
-    table, model = programs.train_stock_model(spark, str(tmp_path / "goog.parquet"), cfg, model_path=str(tmp_path / "models"))
+    table, model = programs.train_stock_model(spark, str(tmp_path / "daily_prices.parquet"), cfg, model_path=str(tmp_path / "models"))
     n = out.where(F.col("Date") >= F.lit("2017-01-01").cast("date")).count()
     assert table.count() == max(1, n - cfg.frame_size)
     assert len(model.history) >= 1
