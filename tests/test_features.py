@@ -49,3 +49,17 @@ def test_assemble_names_with_symbols(spark):
     df = spark.createDataFrame([(15, 39)], "`Annual Income (k$)` int, `Spending Score (1-100)` int")
     out = features.assemble(df, ["Annual Income (k$)", "Spending Score (1-100)"])
     assert out.select(vector_to_array("features")).first()[0] == [15.0, 39.0]
+
+
+def test_label_names_back_to_strings(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.createDataFrame([("No",), ("No",), ("Yes",)], "p string")
+    model = StringIndexer(inputCol="p", outputCol="prediction").fit(df)
+    back = features.label_names(model).transform(model.transform(df))
+    assert sorted(r["predicted_label"] for r in back.collect()) == ["No", "No", "Yes"]
+
+
+def test_assemble_array(spark):
+    df = spark.createDataFrame([(1, 2.5)], "a int, b double")
+    assert features.assemble_array(df, ["a", "b"]).first()["features"] == [1.0, 2.5]

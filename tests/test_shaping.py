@@ -91,3 +91,17 @@ def test_daily_bars_open_close_by_time_then_tiebreak(spark):
     out = {r["Date"]: r for r in shaping.daily_bars(df, "ts", "v", key="k", tie_col="id").collect()}
     d1 = out[dt.date(2024, 1, 1)]
     assert (d1["Open"], d1["Close"], d1["Low"], d1["High"], d1["Volume"]) == (7.0, 3.0, 3.0, 7.0, 3.0)
+
+
+def test_dedupe_full_and_subset(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b")], "k int, v string")
+    assert shaping.dedupe(df).count() == 2
+    assert shaping.dedupe(df, ["k"]).count() == 1
+
+
+def test_next_day_join_by_row_follows_rows_not_days(spark):
+    days = _mon_fri(2)
+    out = shaping.next_day_join(_weekdays(spark, days), "Date", COLS, by="row").collect()
+    assert len(out) == len(days) - 1  # Friday pairs with the next Monday
+    fri = [r for r in out if r["Date"].weekday() == 4]
+    assert len(fri) == 1 and fri[0]["NextOpen"] == fri[0]["Open"] + 1.0
