@@ -90,3 +90,15 @@ def test_process_stock_csv_and_train(spark, tmp_path):
     n = out.where(F.col("Date") >= F.lit("2017-01-01").cast("date")).count()
     assert table.count() == max(1, n - cfg.frame_size)
     assert len(model.history) >= 1
+
+
+def test_command_line_runs_programs(spark, tmp_path):
+    from tablelearn.__main__ import main
+
+    rows = [(15600000 + i, "Male", 20 + i % 40, 20000 + 1500 * i, "Yes" if i % 3 == 0 else "No") for i in range(60)]
+    ads = _write(tmp_path, "ads.csv", "User ID,Gender,Age,EstimatedSalary,Purchased", rows)
+    main(["classify", "--input", ads, "--kind", "naive_bayes", "--split", "key", "--key", "User ID", "--output", str(tmp_path / "c")])
+    assert spark.read.parquet(str(tmp_path / "c" / "metrics")).where("metric = 'accuracy'").count() == 1
+    prices = _write(tmp_path, "prices.csv", "Date,Open,High,Low,Close,Adj Close,Volume", _stock_rows(2))
+    main(["stock-etl", "--input", prices, "--output", str(tmp_path / "p.parquet")])
+    assert spark.read.parquet(str(tmp_path / "p.parquet")).count() == 8
