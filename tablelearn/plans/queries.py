@@ -131,6 +131,7 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_daily_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily open/close/low/high/volume per event type (the stand-in daily price series)."""
     return event_days(spark, sf_dir)
 
 
@@ -180,6 +181,7 @@ def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_minmax_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: min and max of the eight price columns of the next-day table in one aggregate."""
     return features.minmax_stats(order_next_days(spark, sf_dir), PRICES + NEXT_PRICES)
 
 
@@ -191,11 +193,13 @@ def _scaled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def q_minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 + C4 + J2: rows from 1998 on scaled with bounds taken over all rows."""
     scaled, _ = _scaled(spark, sf_dir)
     return scaled.select("Date", *[F.round(c, 9).alias(c) for c in PRICES + NEXT_PRICES])
 
 
 def q_minmax_unscale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scaled rows mapped back with the same bounds."""
     scaled, stats = _scaled(spark, sf_dir)
     back = features.minmax_unscale(scaled, PRICES + NEXT_PRICES, stats)
     return back.select("Date", *[F.round(c, 6).alias(c) for c in PRICES + NEXT_PRICES])
@@ -286,6 +290,7 @@ def q_minibatches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3s: part split by key (key mod 4 = 0 is the test part); rows and price total per part."""
     df = split.with_key_split(load_table(spark, sf_dir, "part"), "p_partkey", buckets=4, test_buckets=(0,))
     return df.groupBy("part").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("p_retailprice"), 2).alias("sum_price")
@@ -312,6 +317,7 @@ def q_index_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_assemble_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_size, p_retailprice) assembled into an ML vector, shown as an array."""
     part = load_table(spark, sf_dir, "part")
     asm = features.assemble(part, ["p_size", "p_retailprice"], "vec")
     return asm.select("p_partkey", vector_to_array("vec").alias("features"))
@@ -390,7 +396,11 @@ def _tree_regressor_query(kind: str):
         scored = models.score(model, df)
         return scored.groupBy("x").agg(F.round(F.first("predict"), 4).alias("predict"), F.count(F.lit(1)).alias("n"))
 
-    run.__doc__ = f"M8/M9 ({kind}): depth-1 variance split of part price on a 10-valued feature."
+    run.__doc__ = (
+        "M8: depth-1 variance split of part price on a 10-valued feature."
+        if kind == "decision_tree"
+        else "M9: one-tree forest (no bootstrap, all features), which must equal the depth-1 tree's split."
+    )
     return run
 
 
@@ -410,7 +420,11 @@ def _tree_classifier_query(kind: str):
         scored = models.score(model, df)
         return scored.groupBy("bucket").agg(F.first("prediction").alias("prediction"), F.count(F.lit(1)).alias("n"))
 
-    run.__doc__ = f"M2/M5 ({kind}): depth-1 gini split of quality on the non-letter share decile."
+    run.__doc__ = (
+        "M2: depth-1 gini split of quality on the decile of the non-letter share."
+        if kind == "decision_tree"
+        else "M5: one-tree forest (no bootstrap, all features), which must equal the depth-1 tree's split."
+    )
     return run
 
 
@@ -459,20 +473,24 @@ def _toxic_as_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_confusion_matrix(spark, sf_dir):
+    """V1 + A3: cells over the true-label set, with the toxic flag as the prediction of quality."""
     return evaluate.confusion_matrix(_toxic_as_prediction(spark, sf_dir))
 
 
 def q_accuracy(spark, sf_dir):
+    """V2: share of rows where the toxic flag equals quality, over all rows."""
     return evaluate.accuracy(_toxic_as_prediction(spark, sf_dir)).select(F.round("accuracy", 9).alias("accuracy"), "n")
 
 
 def q_precision_by_label(spark, sf_dir):
+    """V3 + V4: precision per true label (0 when never predicted)."""
     return evaluate.precision_by_label(_toxic_as_prediction(spark, sf_dir)).select(
         "label", F.round("precision", 9).alias("precision")
     )
 
 
 def q_metrics_report(spark, sf_dir):
+    """Accuracy and per-label precision as one long table."""
     return evaluate.metrics_report(_toxic_as_prediction(spark, sf_dir)).select(
         "metric", "label", F.round("value", 9).alias("value")
     )
