@@ -165,12 +165,40 @@ UNION ALL
 SELECT 'Prediction', s.x, round(side.m, 4) FROM test s, best, side WHERE side.lft = (s.x <= best.thr)"""
 
 
+_EVENT_NEXT_DAYS = f"""
+WITH d AS ({_EVENT_DAYS_SQL})
+SELECT DISTINCT s.event_type, s.Date, s.Open, s.Close, s.Low, s.High, s.Volume,
+       c.Open AS NextOpen, c.Close AS NextClose, c.Low AS NextLow, c.High AS NextHigh, c.Volume AS NextVolume
+FROM d s JOIN d c ON c.event_type = s.event_type AND c.Date = s.Date + 1
+WHERE s.Open IS NOT NULL AND s.Close IS NOT NULL AND s.Low IS NOT NULL AND s.High IS NOT NULL
+  AND s.Volume IS NOT NULL AND c.Open IS NOT NULL AND c.Close IS NOT NULL AND c.Low IS NOT NULL
+  AND c.High IS NOT NULL AND c.Volume IS NOT NULL"""
+
+_EVENT_MINMAX = f"""
+WITH d AS ({_EVENT_DAYS_SQL}),
+s AS (SELECT event_type, min(Open) AS lo_o, max(Open) AS hi_o, min(Close) AS lo_c, max(Close) AS hi_c,
+             min(Low) AS lo_l, max(Low) AS hi_l, min(High) AS lo_h, max(High) AS hi_h FROM d GROUP BY 1)
+SELECT d.event_type, d.Date,
+       round((d.Open - s.lo_o) / (s.hi_o - s.lo_o), 9) AS Open,
+       round((d.Close - s.lo_c) / (s.hi_c - s.lo_c), 9) AS Close,
+       round((d.Low - s.lo_l) / (s.hi_l - s.lo_l), 9) AS Low,
+       round((d.High - s.lo_h) / (s.hi_h - s.lo_h), 9) AS High
+FROM d JOIN s ON d.event_type = s.event_type"""
+
+_EVENT_SPLIT = f"""
+SELECT event_type, CASE WHEN idx < floor(n_frames * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part,
+       count(*) AS n, min(idx) AS first_idx, max(idx) AS last_idx
+FROM ({_EVENT_FRAMES}) GROUP BY 1, 2"""
+
 ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "parquet_roundtrip": "SELECT * FROM nation",
     "daily_ohlcv": _EVENT_DAYS_SQL,
     "next_day_join": _NEXT_DAYS_SQL,
     "next_day_join_sql": _NEXT_DAYS_SQL,
+    "event_next_days": _EVENT_NEXT_DAYS,
+    "event_minmax_scale": _EVENT_MINMAX,
+    "event_split": _EVENT_SPLIT,
     "stock_etl": _NEXT_DAYS_SQL,
     "since_filter": f"""
 SELECT Date, Open, Close, Low, High, NextOpen, NextClose, NextLow, NextHigh

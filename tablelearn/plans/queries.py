@@ -140,6 +140,18 @@ def q_next_day_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_next_days(spark, sf_dir)
 
 
+def q_event_next_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 per key: each event type's day joined with the same type's next calendar day."""
+    return shaping.next_day_join(event_days(spark, sf_dir), "Date", PRICES + ["Volume"], key="event_type")
+
+
+def q_event_minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 per key: each event type's prices scaled with that type's own bounds (size-checked join)."""
+    days = event_days(spark, sf_dir)
+    scaled = features.minmax_scale(days, PRICES, key="event_type")
+    return scaled.select("event_type", "Date", *[F.round(c, 9).alias(c) for c in PRICES])
+
+
 def q_next_day_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 + S4 (+ J1): the next-day join as SQL text over registered views (comma join + WHERE)."""
     tag = uuid.uuid4().hex[:8]
@@ -270,6 +282,14 @@ def q_lineitem_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_event_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2s per key: the first floor(0.8 n) frames of each event type train, the rest test."""
+    fr = split.chronological_split(_event_frames(spark, sf_dir), 0.8, key="event_type")
+    return fr.groupBy("event_type", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.min("frame_idx").alias("first_idx"), F.max("frame_idx").alias("last_idx")
+    )
+
+
 def q_chronological_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2s: first floor(0.98 n) frames train, the rest test."""
     fr = split.chronological_split(_order_frames(spark, sf_dir), 0.98)
@@ -606,6 +626,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_ohlcv": q_daily_ohlcv,
     "next_day_join": q_next_day_join,
     "next_day_join_sql": q_next_day_join_sql,
+    "event_next_days": q_event_next_days,
+    "event_minmax_scale": q_event_minmax_scale,
     "stock_etl": q_stock_etl,
     "since_filter": q_since_filter,
     "minmax_stats": q_minmax_stats,
@@ -615,6 +637,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_frames": q_order_frames,
     "lineitem_frames": q_lineitem_frames,
     "chronological_split": q_chronological_split,
+    "event_split": q_event_split,
     "minibatches": q_minibatches,
     "key_split": q_key_split,
     "random_split": q_random_split,
