@@ -134,3 +134,12 @@ def test_checkpoint_and_resume_equals_one_run(spark, tmp_path):
     saved = SequenceModel.load(spark, str(tmp_path / "ck" / "epoch-1"), half_cfg)
     resumed = fit_sequence_model(frames, half_cfg, init=saved)
     assert np.allclose(resumed.params, full.params, atol=1e-10)
+
+
+def test_dropout_training_is_repeatable(spark):
+    frames, _ = prepare_series(_series(spark), _cfg(), order="t")
+    a = fit_sequence_model(frames, _cfg(epochs=1, drop_prob=0.3))
+    b = fit_sequence_model(frames, _cfg(epochs=1, drop_prob=0.3))
+    plain = fit_sequence_model(frames, _cfg(epochs=1))
+    assert np.array_equal(a.params, b.params)
+    assert not np.allclose(a.params, plain.params)
