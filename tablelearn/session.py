@@ -8,7 +8,6 @@ setting (tests, bench) gets a fresh folder under the system temp dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,17 +72,6 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.sparkContext.defaultParallelism))
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def materialize(df, name: str):
     """Write ``df`` once to the shared checkpoint folder and read it back (cuts lineage;
     later jobs and a lost executor read files instead of recomputing the plan)."""
