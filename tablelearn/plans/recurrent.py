@@ -87,84 +87,93 @@ def _hs(x):
     return np.clip(0.2 * x + 0.5, 0.0, 1.0)
 
 
-def _hs_grad(x):
-    return np.where((x > -2.5) & (x < 2.5), 0.2, 0.0)
+def _hs_grad_from_value(a):
+    """Derivative of the hard sigmoid, read off its output: 0.2 strictly inside (0, 1), else 0."""
+    return np.where((a > 0.0) & (a < 1.0), 0.2, 0.0).astype(a.dtype)
 
 
 def forward(shape: NetShape, flat: np.ndarray, X: np.ndarray, state=None, mask=None, keep=True):
-    """X: [B, T, n_in] -> outputs [B, T, n_out], cache (for ``backward``), final (h, c)."""
+    """X: [B, T, n_in] -> outputs [B, T, n_out], cache (for ``backward``), final (h, c).
+
+    Computes in ``flat``'s dtype. The cache keeps only the four gate
+    activations per step plus the hidden and cell sequences; everything else
+    the backward pass needs is derived from them.
+    """
+    dt = flat.dtype
     p = shape.unpack(flat)
     B, T, _ = X.shape
     H = shape.hidden
-    h = np.zeros((B, H)) if state is None else state[0]
-    c = np.zeros((B, H)) if state is None else state[1]
-    Xin = X if mask is None else X * mask
-    hs_all = np.empty((B, T, H))
-    steps = []
+    X = X.astype(dt, copy=False)
+    h = np.zeros((B, H), dt) if state is None else state[0].astype(dt, copy=False)
+    c = np.zeros((B, H), dt) if state is None else state[1].astype(dt, copy=False)
+    Xin = X if mask is None else X * mask.astype(dt, copy=False)
+    hs_all = np.empty((B, T, H), dt)
+    cs_all = np.empty((B, T, H), dt) if keep else None
+    gates = [] if keep else None
     for t in range(T):
-        x = Xin[:, t, :]
-        z = x @ p["W"] + h @ p["R"] + p["b"]
-        zi = z[:, :H] + c * p["pi"]
-        zf = z[:, H : 2 * H] + c * p["pf"]
-        zg = z[:, 3 * H :]
-        i, f, g = _hs(zi), _hs(zf), np.tanh(zg)
-        c_new = f * c + i * g
-        zo = z[:, 2 * H : 3 * H] + c_new * p["po"]
-        o = _hs(zo)
-        tc = np.tanh(c_new)
-        h_new = o * tc
-        if keep:
-            steps.append((x, h, c, zi, zf, zo, i, f, g, o, c_new, tc))
-        h, c = h_new, c_new
+        z = Xin[:, t, :] @ p["W"] + h @ p["R"] + p["b"]
+        i = _hs(z[:, :H] + c * p["pi"])
+        f = _hs(z[:, H : 2 * H] + c * p["pf"])
+        g = np.tanh(z[:, 3 * H :])
+        c = f * c + i * g
+        o = _hs(z[:, 2 * H : 3 * H] + c * p["po"])
+        h = o * np.tanh(c)
         hs_all[:, t, :] = h
+        if keep:
+            cs_all[:, t, :] = c
+            gates.append((i, f, g, o))
     a = hs_all @ p["W2"] + p["b2"]
     r = np.maximum(a, 0.0)
     y = r @ p["W3"] + p["b3"]
-    cache = (steps, hs_all, a, r) if keep else None
+    cache = (Xin, gates, hs_all, cs_all, a, r, state) if keep else None
     return y, cache, (h, c)
 
 
 def loss_and_grad(shape: NetShape, flat: np.ndarray, X: np.ndarray, Y: np.ndarray, l2: float = 0.0, mask=None):
     """Loss and flat gradient of one mini-batch (full back-propagation through the frame)."""
+    dt = flat.dtype
     p = shape.unpack(flat)
     B, T, _ = X.shape
     H = shape.hidden
-    out, (steps, hs_all, a, r), _ = forward(shape, flat, X, mask=mask)
-    diff = out - Y
+    out, (Xin, gates, hs_all, cs_all, a, r, _), _ = forward(shape, flat, X, mask=mask)
+    diff = out - Y.astype(dt, copy=False)
     scale = 1.0 / (B * shape.n_out)
-    loss = float(np.sum(diff * diff) * scale)
-    g = {name: np.zeros(s) for name, s in shape.layout()}
-    dy = 2.0 * diff * scale
+    loss = float(np.sum(diff * diff, dtype=np.float64) * scale)
+    g = {name: np.zeros(sz, dt) for name, sz in shape.layout()}
+    dy = (2.0 * scale) * diff
     g["W3"] = np.einsum("btd,bto->do", r, dy)
     g["b3"] = dy.sum(axis=(0, 1))
     da = (dy @ p["W3"].T) * (a > 0)
     g["W2"] = np.einsum("bth,btd->hd", hs_all, da)
     g["b2"] = da.sum(axis=(0, 1))
     dhs = da @ p["W2"].T
-    dh_next = np.zeros((B, H))
-    dc_next = np.zeros((B, H))
+    dh_next = np.zeros((B, H), dt)
+    dc_next = np.zeros((B, H), dt)
+    zeros = np.zeros((B, H), dt)
     for t in range(T - 1, -1, -1):
-        x, h_prev, c_prev, zi, zf, zo, i, f, gg, o, c_new, tc = steps[t]
+        i, f, gg, o = gates[t]
+        c_new = cs_all[:, t, :]
+        c_prev = cs_all[:, t - 1, :] if t > 0 else zeros
+        h_prev = hs_all[:, t - 1, :] if t > 0 else zeros
+        tc = np.tanh(c_new)
         dh = dhs[:, t, :] + dh_next
-        do = dh * tc
-        dc = dc_next + dh * o * (1.0 - tc * tc)
-        dzo = do * _hs_grad(zo)
-        dc = dc + dzo * p["po"]
+        dzo = dh * tc * _hs_grad_from_value(o)
+        dc = dc_next + dh * o * (1.0 - tc * tc) + dzo * p["po"]
         g["po"] += np.sum(dzo * c_new, axis=0)
-        dzi = dc * gg * _hs_grad(zi)
-        dzf = dc * c_prev * _hs_grad(zf)
+        dzi = dc * gg * _hs_grad_from_value(i)
+        dzf = dc * c_prev * _hs_grad_from_value(f)
         dzg = dc * i * (1.0 - gg * gg)
         g["pi"] += np.sum(dzi * c_prev, axis=0)
         g["pf"] += np.sum(dzf * c_prev, axis=0)
         dz = np.concatenate([dzi, dzf, dzo, dzg], axis=1)
-        g["W"] += x.T @ dz
-        g["R"] += h_prev.T @ dz
+        g["W"] += Xin[:, t, :].T @ dz
         g["b"] += dz.sum(axis=0)
+        g["R"] += h_prev.T @ dz
         dh_next = dz @ p["R"].T
         dc_next = dc * f + dzi * p["pi"] + dzf * p["pf"]
     if l2:
         for name in _REGULARISED:
-            loss += 0.5 * l2 * float(np.sum(p[name] * p[name]))
+            loss += 0.5 * l2 * float(np.sum(p[name] * p[name], dtype=np.float64))
             g[name] += l2 * p[name]
     return loss, shape.pack(g)
 

@@ -70,6 +70,7 @@ class SequenceConfig:
     workers: int | None = None
     chunk_size: int = 4096
     split_ratio: float = 0.98
+    dtype: str = "float32"  # compute precision inside tasks; averaging and storage stay float64
 
     @property
     def shape(self) -> rn.NetShape:
@@ -193,25 +194,26 @@ _RESULT_SCHEMA = StructType(
 def _slot_trainer(shape: rn.NetShape, cfg: SequenceConfig, bc, key: str | None, round_seed: int):
     lr, decay, eps, l2, drop = cfg.learning_rate, cfg.rms_decay, cfg.epsilon, cfg.l2, cfg.drop_prob
     chunk = cfg.chunk_size
+    dt = np.dtype(cfg.dtype)
     sort_cols = ([key] if key else []) + ["batch_id", "frame_idx"]
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         state = bc.value
         size = shape.size
-        params, rms = state[:size].copy(), state[size:].copy()
+        params, rms = state[:size].astype(dt), state[size:].astype(dt)
         pdf = pdf.sort_values(sort_cols)
         rng = np.random.default_rng([round_seed, int(pdf["slot"].iloc[0])])
         loss_sum, n = 0.0, 0
         group_cols = ([key] if key else []) + ["batch_id"]
         for _, b in pdf.groupby(group_cols, sort=False):
-            X = np.stack([np.stack(v) for v in b["x"].to_numpy()]).astype(float)
-            Y = np.stack([np.stack(v) for v in b["y"].to_numpy()]).astype(float)
+            X = np.stack([np.stack(v) for v in b["x"].to_numpy()]).astype(dt)
+            Y = np.stack([np.stack(v) for v in b["y"].to_numpy()]).astype(dt)
             mask = rn.dropout_mask(rng, X.shape, drop)
             loss, grad = rn.loss_and_grad(shape, params, X, Y, l2=l2, mask=mask)
             params, rms = rn.rmsprop(params, rms, grad, lr, decay, eps)
             loss_sum += loss * len(b)
             n += len(b)
-        both = np.concatenate([params, rms]) * n
+        both = np.concatenate([params, rms]).astype(np.float64) * n
         out = [
             (i // chunk, n, loss_sum if i == 0 else 0.0, both[i : i + chunk].tolist())
             for i in range(0, both.size, chunk)
@@ -322,7 +324,7 @@ def predict_sequence(
     """
     spark = frames.sparkSession
     shape = model.config.shape
-    bc = spark.sparkContext.broadcast(model.params)
+    bc = spark.sparkContext.broadcast(model.params.astype(np.dtype(model.config.dtype)))
     keys = [key] if key else []
     extra = list(extra or [])
     passed = keys + ["frame_idx", "part"] + extra

@@ -63,7 +63,7 @@ def test_loss_falls(spark):
 
 
 def test_one_slot_equals_plain_training(spark):
-    cfg = _cfg(epochs=2, workers=1, averaging_frequency=100)
+    cfg = _cfg(epochs=2, workers=1, averaging_frequency=100, dtype="float64")
     frames, _ = prepare_series(_series(spark), cfg, order="t")
     model = fit_sequence_model(frames, cfg)
     shape = cfg.shape
@@ -84,7 +84,7 @@ def test_one_slot_equals_plain_training(spark):
 
 
 def test_carry_mode_is_one_stateful_pass_per_key(spark):
-    cfg = _cfg(epochs=1)
+    cfg = _cfg(epochs=1, dtype="float64")
     frames, stats = prepare_series(_series(spark, 40, keys=("a", "b")), cfg, order="t", key="k")
     model = fit_sequence_model(frames, cfg, key="k")
     got = {
@@ -109,7 +109,7 @@ def test_carry_mode_is_one_stateful_pass_per_key(spark):
 
 
 def test_frame_mode_and_save_load(spark, tmp_path):
-    cfg = _cfg(epochs=1)
+    cfg = _cfg(epochs=1, dtype="float64")
     frames, stats = prepare_series(_series(spark), cfg, order="t")
     model = fit_sequence_model(frames, cfg)
     path = model.save(spark, str(tmp_path / "seq"))
