@@ -160,7 +160,7 @@ def sliding_frames(
         F.col("idx").alias("frame_idx"),
         n_frames.alias("n_frames"),
         F.col(order).alias("start"),
-        F.element_at(F.collect_list(F.col(order)).over(w), -1).alias("end"),
+        F.last(F.col(order)).over(w).alias("end"),
         steps(features).alias("x"),
         *([steps(labels).alias("y")] if labels else []),
         F.col("_own"),
