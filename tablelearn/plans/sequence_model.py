@@ -357,7 +357,8 @@ def _predict_carry(
     """Carry mode in chunks of ``chunk_frames`` frames per key: one Spark job per chunk
     (parallel across keys), each key's state handed to its next chunk through a
     size-checked join on the chunk's first frame. No task sees more than one
-    chunk of one key, however long the series."""
+    chunk of one key, however long the series. Inside a task the rows are
+    time-major, so the keys of one step share a single vectorised network step."""
     spark = frames.sparkSession
     passed = keys + ["frame_idx", "part"] + extra
     steps = frames.select(*passed, F.element_at("x", -1).alias("x_last")).withColumn(
@@ -370,30 +371,58 @@ def _predict_carry(
     schema = StructType(key_fields + [StructField(n, vec) for n in ("pred", "h", "c")])
 
     def run_chunk(it):
+        # Rows arrive time-major (frame_idx, then key): every key present at a step
+        # is advanced in one vectorised network step. One state row per key of
+        # this task's hash partition is kept (2 x hidden values each).
         flat = bc.value
-        current, state, last_idx, last_part = None, None, None, None
+        H = shape.hidden
+        pos: dict = {}
+        h_mat = np.zeros((16, H), dtype=flat.dtype)
+        c_mat = np.zeros((16, H), dtype=flat.dtype)
+        last: list = []
         blanks = (None,) * len(extra)
         for pdf in it:
-            out = []
-            for i in range(len(pdf)):
-                k = tuple(pdf[c].iat[i] for c in keys)
-                if k != current:
-                    if current is not None:
-                        out.append(
-                            (*current, last_idx, last_part, *blanks, None, state[0][0].tolist(), state[1][0].tolist())
-                        )
+            if pdf.empty:
+                continue
+            key_tuples = list(zip(*[pdf[c].tolist() for c in keys])) if keys else [()] * len(pdf)
+            idx = np.empty(len(pdf), dtype=np.int64)
+            for i, k in enumerate(key_tuples):
+                j = pos.get(k)
+                if j is None:
+                    j = pos[k] = len(pos)
+                    if j >= h_mat.shape[0]:
+                        h_mat = np.vstack([h_mat, np.zeros_like(h_mat)])
+                        c_mat = np.vstack([c_mat, np.zeros_like(c_mat)])
                     h0, c0 = pdf["h0"].iat[i], pdf["c0"].iat[i]
-                    state = None if h0 is None else (np.asarray(h0, dtype=float)[None, :], np.asarray(c0, dtype=float)[None, :])
-                    current = k
-                x = np.asarray(pdf["x_last"].iat[i], dtype=float)[None, None, :]
-                y, _, state = rn.forward(shape, flat, x, state=state, keep=False)
-                last_idx, last_part = int(pdf["frame_idx"].iat[i]), pdf["part"].iat[i]
-                vals = tuple(pdf[c].iat[i] for c in extra)
-                out.append((*k, last_idx, last_part, *vals, y[0, -1, :].tolist(), None, None))
-            if out:
-                yield pd.DataFrame(out, columns=schema.names)
-        if current is not None:
-            tail = [(*current, last_idx, last_part, *blanks, None, state[0][0].tolist(), state[1][0].tolist())]
+                    if h0 is not None:
+                        h_mat[j] = np.asarray(h0, dtype=flat.dtype)
+                        c_mat[j] = np.asarray(c0, dtype=flat.dtype)
+                    last.append(None)
+                idx[i] = j
+            steps = pdf["frame_idx"].to_numpy()
+            x_all = np.stack([np.asarray(v, dtype=float) for v in pdf["x_last"].to_numpy()])
+            preds = np.empty((len(pdf), shape.n_out))
+            bounds = np.flatnonzero(np.diff(steps)) + 1
+            for lo, hi in zip(np.r_[0, bounds], np.r_[bounds, len(pdf)]):
+                sel = idx[lo:hi]
+                y, _, (h, c) = rn.forward(
+                    shape, flat, x_all[lo:hi, None, :], state=(h_mat[sel], c_mat[sel]), keep=False
+                )
+                h_mat[sel], c_mat[sel] = h, c
+                preds[lo:hi] = y[:, -1, :]
+            parts = pdf["part"].tolist()
+            for i, j in enumerate(idx):
+                last[j] = (int(steps[i]), parts[i])
+            out = pd.DataFrame({c: pdf[c] for c in passed})
+            out["pred"] = list(preds)
+            out["h"] = None
+            out["c"] = None
+            yield out
+        tail = [
+            (*k, last[j][0], last[j][1], *blanks, None, h_mat[j].tolist(), c_mat[j].tolist())
+            for k, j in pos.items()
+        ]
+        if tail:
             yield pd.DataFrame(tail, columns=schema.names)
 
     paths, state_df = [], None
@@ -404,7 +433,7 @@ def _predict_carry(
         else:
             chunk = join_small(chunk, state_df, on=keys + ["frame_idx"], how="left")
         chunk = chunk.repartition(*keys) if keys else chunk.repartition(1)
-        out = chunk.sortWithinPartitions(*keys, "frame_idx").mapInPandas(run_chunk, schema)
+        out = chunk.sortWithinPartitions("frame_idx", *keys).mapInPandas(run_chunk, schema)
         path = write_parquet(out, scratch_path(spark, f"carry-out-{j}"))
         paths.append(path)
         state_df = (
