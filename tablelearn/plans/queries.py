@@ -104,6 +104,11 @@ SELECT d.doc_id, d.n_chars,
        length(regexp_replace(d.text, '\\p{L}', '', 'g')) AS non_letters, l.quality, l.toxic
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
 
+def _rounded(x: float, digits: int) -> float:
+    """A model coefficient rounded for reporting; ``+ 0.0`` turns a rounded -0.0 into 0.0."""
+    return round(float(x), digits) + 0.0
+
+
 # --------------------------------------------------------------------------- sources / sinks
 
 
@@ -357,8 +362,8 @@ def q_linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     lr = models.last_stage(model)
     scored = models.score(model, test)
     return scored.agg(
-        F.lit(round(float(lr.coefficients[0]), 8)).alias("slope"),
-        F.lit(round(float(lr.intercept), 3)).alias("intercept"),
+        F.lit(_rounded(lr.coefficients[0], 8)).alias("slope"),
+        F.lit(_rounded(lr.intercept, 3)).alias("intercept"),
         F.lit(int(lr.summary.numInstances)).cast("long").alias("n_train"),
         F.count(F.lit(1)).alias("n_test"),
         F.round(F.sqrt(F.avg((F.col("p_retailprice") - F.col("predict")) ** 2)), 4).alias("rmse_test"),
@@ -370,9 +375,9 @@ def q_multiple_linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _part_split(spark, sf_dir)
     lr = models.last_stage(models.fit_regressor(train, "linear", ["p_partkey", "p_size"], "p_retailprice"))
     return spark.range(1).select(
-        F.lit(round(float(lr.coefficients[0]), 8)).alias("b_partkey"),
-        F.lit(round(float(lr.coefficients[1]), 6)).alias("b_size"),
-        F.lit(round(float(lr.intercept), 3)).alias("intercept"),
+        F.lit(_rounded(lr.coefficients[0], 8)).alias("b_partkey"),
+        F.lit(_rounded(lr.coefficients[1], 6)).alias("b_size"),
+        F.lit(_rounded(lr.intercept, 3)).alias("intercept"),
     )
 
 
@@ -384,7 +389,7 @@ def q_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     theta = nb.theta.toArray()
     pi = nb.pi.toArray()
     rows = [
-        (float(i), name, round(float(pi[i]), 9), round(float(theta[i][0]), 9), round(float(theta[i][1]), 9))
+        (float(i), name, _rounded(pi[i], 9), _rounded(theta[i][0], 9), _rounded(theta[i][1], 9))
         for i, name in enumerate(indexer.labels)
     ]
     return spark.createDataFrame(rows, "label double, p_type string, log_prior double, log_theta_size double, log_theta_price double")
