@@ -143,3 +143,27 @@ def test_dropout_training_is_repeatable(spark):
     plain = fit_sequence_model(frames, _cfg(epochs=1))
     assert np.array_equal(a.params, b.params)
     assert not np.allclose(a.params, plain.params)
+
+
+def test_bounds_from_all_rows_or_training_rows(spark):
+    cfg = _cfg()
+    rows = _series(spark)
+    _, all_stats = prepare_series(rows, cfg, order="t", since=None)
+    _, kept_stats = prepare_series(
+        rows.withColumn("t", F.col("t").cast("long")), cfg, order="t", stats_from="train"
+    )
+    assert all_stats.first()["max_Open"] == kept_stats.first()["max_Open"]  # no filter: same rows
+    dated = rows.withColumn("Date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("t").cast("int")))
+    _, everything = prepare_series(dated, cfg, order="Date", since="2024-02-15")
+    _, later = prepare_series(dated, cfg, order="Date", since="2024-02-15", stats_from="train")
+    lo_all, lo_later = everything.first()["min_Open"], later.first()["min_Open"]
+    assert lo_all <= lo_later
+    assert lo_later == dated.where("Date >= '2024-02-15'").agg(F.min("Open")).first()[0]
+
+
+def test_reference_presets():
+    cfg = SequenceConfig.reference()
+    assert (cfg.hidden, cfg.dense, cfg.frame_size, cfg.batch_size, cfg.epochs) == (512, 32, 50, 512, 3000)
+    assert (cfg.learning_rate, cfg.drop_prob, cfg.averaging_frequency, cfg.split_ratio) == (0.05, 0.2, 4, 0.98)
+    assert cfg.features == ["Open", "Close", "Low", "High"]
+    assert cfg.labels == ["NextOpen", "NextClose", "NextLow", "NextHigh"]
