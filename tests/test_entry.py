@@ -29,3 +29,24 @@ def test_query_matches_oracle_on_smallest_tables(spark, name):
     assert sorted(df.columns) == sorted(ocols)
     srows = [tuple(r[c] for c in ocols) for r in df.collect()]
     assert _norm(srows) == _norm(orows)
+
+
+def test_python_workers_need_no_package_on_their_path(tmp_path):
+    """Queries with NumPy tasks run when the driver imports the repo from elsewhere."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "print('ROWS', e.queries()['forecast_events_carry'](spark, %r).count())\n"
+    ) % (repo, SF)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600
+    )
+    assert "ROWS 125" in out.stdout, out.stderr[-2000:]
