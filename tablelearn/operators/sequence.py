@@ -140,11 +140,7 @@ def sliding_frames(
         df.select(*keys, *order_cols, *value_cols), order_cols, key, num_partitions=num_partitions
     )
     order = order_cols[0]
-    own = F.floor(F.col("_pos") / bucket)
-    copy_back = (F.col("_pos") % bucket < size - 1) & (own > 0)
-    spread = numbered.withColumn("_own", own).withColumn(
-        "_bucket", F.explode(F.when(copy_back, F.array(own, own - 1)).otherwise(F.array(own)))
-    )
+    spread = _spread_into_buckets(numbered, size, bucket)
     w = Window.partitionBy("_bucket").orderBy("_pos").rowsBetween(0, size - 1)
 
     def steps(cols: list[str]):
@@ -171,6 +167,17 @@ def sliding_frames(
     ).drop("_own", "_bucket")
 
 
+def _spread_into_buckets(numbered: DataFrame, size: int, bucket: int) -> DataFrame:
+    """Rows get ``_own = _pos div bucket``; the first ``size-1`` rows of each bucket are also
+    copied into the bucket before (``_bucket``), so every frame fits inside one bucket and
+    every bucket holds at most ``bucket + size - 1`` rows."""
+    own = F.floor(F.col("_pos") / bucket)
+    copy_back = (F.col("_pos") % bucket < size - 1) & (own > 0)
+    return numbered.withColumn("_own", own).withColumn(
+        "_bucket", F.explode(F.when(copy_back, F.array(own, own - 1)).otherwise(F.array(own)))
+    )
+
+
 def next_row_join(
     df: DataFrame, order: str, cols: list[str], *, key: str | None = None, prefix: str = "Next"
 ) -> DataFrame:

@@ -120,3 +120,19 @@ def test_key_split_is_partition_independent(spark):
     b_train, b_test = split.key_split(df.repartition(7), "key")
     assert sorted(r[0] for r in a_test.collect()) == sorted(r[0] for r in b_test.collect())
     assert a_train.count() + a_test.count() == 100
+
+
+def test_window_groups_are_bounded_whatever_the_skew(spark):
+    from pyspark.sql import functions as F
+
+    from tablelearn.operators.sequence import _spread_into_buckets
+
+    sizes = {"hot": 900, "a": 40, "b": 3}  # one key holds ~95 % of the rows
+    numbered = sequence.number_rows(_series(spark, sizes, seed=9), "t", "k", num_partitions=6)
+    size, bucket = 5, 32
+    spread = _spread_into_buckets(numbered, size, bucket)
+    per_bucket = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("k").alias("keys"))
+    stats = per_bucket.agg(F.max("rows").alias("most"), F.count(F.lit(1)).alias("buckets")).first()
+    assert stats["most"] <= bucket + size - 1
+    hot_buckets = spread.where(F.col("k") == "hot").select("_bucket").distinct().count()
+    assert hot_buckets >= 900 // bucket
