@@ -39,6 +39,12 @@ class ClassificationResult:
     metrics: DataFrame
 
 
+def _read_once(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Parse a CSV once (header, inferred types) into Parquet in the shared folder:
+    the fit's several passes and the scoring then read columns, not text."""
+    return materialize(read_csv(spark, path), name)
+
+
 def _split(df: DataFrame, weights, seed: int, how: str, key: str | None):
     if how == "random":
         return split.random_split(df, list(weights), seed)
@@ -57,7 +63,7 @@ def segment_customers(
     seed: int = 1,
 ) -> DataFrame:
     """K-means on the whole table; the input columns + ``features`` + ``prediction``."""
-    df = read_csv(spark, path)
+    df = _read_once(spark, path, "segment-input")
     return models.score(models.fit_kmeans(df, list(features), k=k, seed=seed), df)
 
 
@@ -77,7 +83,7 @@ def classify_purchases(
 ) -> ClassificationResult:
     """Split, fit assembler + label indexer + classifier on the training
     part, score the test part, confusion matrix and metrics."""
-    df = read_csv(spark, path)
+    df = _read_once(spark, path, "classify-input")
     train, test = _split(df, weights, seed, split_by, key)
     model = models.fit_classifier(train, kind, list(features), label, handle_invalid=handle_invalid, **params)
     scored = models.score(model, test)
@@ -99,7 +105,7 @@ def regress_linear(
 
     The x of each series is the first feature.
     """
-    df = read_csv(spark, path)
+    df = _read_once(spark, path, "regress-input")
     train, test = _split(df, weights, seed, split_by, key)
     model = models.fit_regressor(train, "linear", list(features), label)
     x = features[0]
@@ -127,8 +133,8 @@ def regress_levels(
 ) -> DataFrame:
     """Tree regressor on the training levels; training points, the model
     curve over a grid of the feature's range, and the test prediction."""
-    train = read_csv(spark, train_path)
-    test = read_csv(spark, test_path)
+    train = _read_once(spark, train_path, "levels-train")
+    test = _read_once(spark, test_path, "levels-test")
     model = models.fit_regressor(train, kind, [feature], label, seed=seed, **params)
     grid = report.grid_over(train, feature, grid_step)
     name = "Decision Tree Regression" if kind == "decision_tree" else "Random Forest Regression"
