@@ -102,3 +102,15 @@ def test_command_line_runs_programs(spark, tmp_path):
     prices = _write(tmp_path, "prices.csv", "Date,Open,High,Low,Close,Adj Close,Volume", _stock_rows(2))
     main(["stock-etl", "--input", prices, "--output", str(tmp_path / "p.parquet")])
     assert spark.read.parquet(str(tmp_path / "p.parquet")).count() == 8
+
+
+def test_command_line_stock_training(spark, tmp_path):
+    from tablelearn.__main__ import main
+
+    prices = _write(tmp_path, "prices.csv", "Date,Open,High,Low,Close,Adj Close,Volume", _stock_rows(60))
+    main(["stock-etl", "--input", prices, "--output", str(tmp_path / "p.parquet")])
+    main(["stock-train", "--input", str(tmp_path / "p.parquet"), "--epochs", "1", "--hidden", "4", "--output", str(tmp_path / "t")])
+    forecast = spark.read.parquet(str(tmp_path / "t" / "forecast"))
+    kept = spark.read.parquet(str(tmp_path / "p.parquet")).where(F.col("Date") >= F.lit("2017-01-01").cast("date")).count()
+    assert forecast.count() == max(1, kept - 50)
+    assert spark.read.parquet(str(tmp_path / "t" / "history")).count() >= 1
