@@ -71,6 +71,7 @@ class SequenceConfig:
     chunk_size: int = 4096
     split_ratio: float = 0.98
     dtype: str = "float32"  # compute precision inside tasks; averaging and storage stay float64
+    averaging: str = "examples"  # or "workers": a plain mean over the slots of a round
 
     @property
     def shape(self) -> rn.NetShape:
@@ -185,6 +186,7 @@ _RESULT_SCHEMA = StructType(
     [
         StructField("chunk", LongType()),
         StructField("n", LongType()),
+        StructField("w", DoubleType()),
         StructField("loss", DoubleType()),
         StructField("vals", ArrayType(DoubleType())),
     ]
@@ -195,6 +197,9 @@ def _slot_trainer(shape: rn.NetShape, cfg: SequenceConfig, bc, key: str | None,
     lr, decay, eps, l2, drop = cfg.learning_rate, cfg.rms_decay, cfg.epsilon, cfg.l2, cfg.drop_prob
     chunk = cfg.chunk_size
     dt = np.dtype(cfg.dtype)
+    by_examples = cfg.averaging == "examples"
+    if cfg.averaging not in ("examples", "workers"):
+        raise ValueError("averaging must be 'examples' or 'workers'")
     sort_cols = ([key] if key else []) + ["batch_id", "frame_idx"]
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -213,26 +218,29 @@ def _slot_trainer(shape: rn.NetShape, cfg: SequenceConfig, bc, key: str | None,
             params, rms = rn.rmsprop(params, rms, grad, lr, decay, eps)
             loss_sum += loss * len(b)
             n += len(b)
-        both = np.concatenate([params, rms]).astype(np.float64) * n
+        w = float(n) if by_examples else 1.0
+        both = np.concatenate([params, rms]).astype(np.float64) * w
         out = [
-            (i // chunk, n, loss_sum if i == 0 else 0.0, both[i : i + chunk].tolist())
+            (i // chunk, n, w, loss_sum if i == 0 else 0.0, both[i : i + chunk].tolist())
             for i in range(0, both.size, chunk)
         ]
-        return pd.DataFrame(out, columns=["chunk", "n", "loss", "vals"])
+        return pd.DataFrame(out, columns=["chunk", "n", "w", "loss", "vals"])
 
     return train
 
 
 def _average(results: DataFrame) -> tuple[np.ndarray, int, float]:
-    """Example-weighted mean of the slots' vectors, chunk by chunk (a grouped sum, not a driver loop)."""
+    """Weighted mean of the slots' vectors, chunk by chunk (a grouped sum, not a driver loop)."""
     summed = results.groupBy("chunk").agg(
         F.sum("n").alias("n"),
+        F.sum("w").alias("w"),
         F.sum("loss").alias("loss"),
         F.collect_list("vals").alias("vs"),
     )
     summed = summed.select(
         "chunk",
         "n",
+        "w",
         "loss",
         F.aggregate(
             F.slice("vs", 2, F.greatest(F.size("vs") - 1, F.lit(0))),
@@ -242,7 +250,8 @@ def _average(results: DataFrame) -> tuple[np.ndarray, int, float]:
     )
     rows = sorted(summed.collect(), key=lambda r: r["chunk"])  # one row per chunk of the parameter vector
     n = int(rows[0]["n"]) if rows else 0
-    vec = np.concatenate([np.asarray(r["total"], dtype=float) for r in rows]) / max(n, 1)
+    weight = float(rows[0]["w"]) if rows else 1.0
+    vec = np.concatenate([np.asarray(r["total"], dtype=float) for r in rows]) / (weight or 1.0)
     return vec, n, float(rows[0]["loss"]) if rows else 0.0
 
 

@@ -167,3 +167,14 @@ def test_reference_presets():
     assert (cfg.learning_rate, cfg.drop_prob, cfg.averaging_frequency, cfg.split_ratio) == (0.05, 0.2, 4, 0.98)
     assert cfg.features == ["Open", "Close", "Low", "High"]
     assert cfg.labels == ["NextOpen", "NextClose", "NextLow", "NextHigh"]
+
+
+def test_worker_averaging_is_a_plain_mean(spark):
+    frames, _ = prepare_series(_series(spark, 120), _cfg(batch_size=8), order="t")
+    ex = fit_sequence_model(frames, _cfg(batch_size=8, epochs=1, workers=3, averaging_frequency=1, dtype="float64"))
+    wk = fit_sequence_model(
+        frames, _cfg(batch_size=8, epochs=1, workers=3, averaging_frequency=1, dtype="float64", averaging="workers")
+    )
+    assert ex.history[0][3] == wk.history[0][3]  # same frames seen
+    assert np.all(np.isfinite(wk.params))
+    assert not np.allclose(ex.params, wk.params)  # the short last batch weighs less by examples
