@@ -114,3 +114,24 @@ def test_command_line_stock_training(spark, tmp_path):
     kept = spark.read.parquet(str(tmp_path / "p.parquet")).where(F.col("Date") >= F.lit("2017-01-01").cast("date")).count()
     assert forecast.count() == max(1, kept - 50)
     assert spark.read.parquet(str(tmp_path / "t" / "history")).count() >= 1
+
+
+def test_command_line_segment_regress_levels(spark, tmp_path):
+    from tablelearn.__main__ import main
+
+    mall = _write(
+        tmp_path,
+        "mall.csv",
+        "CustomerID,Genre,Age,Annual Income (k$),Spending Score (1-100)",
+        [(i, "Male", 20 + i % 30, 15 + (i * 7) % 120, 1 + (i * 13) % 99) for i in range(1, 41)],
+    )
+    main(["segment", "--input", mall, "-k", "3", "--output", str(tmp_path / "s")])
+    assert spark.read.parquet(str(tmp_path / "s" / "segments")).count() == 40
+    salary = _write(tmp_path, "salary.csv", "YearsExperience,Salary", [(1.0 + 0.5 * i, 30000.0 + 9000 * i) for i in range(20)])
+    main(["regress", "--input", salary, "--output", str(tmp_path / "r")])
+    assert spark.read.parquet(str(tmp_path / "r" / "series")).select("series").distinct().count() == 4
+    rows = [(f"Job{i}", float(i), 45000.0 * 1.6 ** (i - 1)) for i in range(1, 11)]
+    train = _write(tmp_path, "lv_train.csv", "Position,Level,Salary", rows)
+    test = _write(tmp_path, "lv_test.csv", "Position,Level,Salary", [("x", 6.5, 165000.0)])
+    main(["levels", "--train", train, "--test", test, "--grid-step", "0.5", "--output", str(tmp_path / "l")])
+    assert spark.read.parquet(str(tmp_path / "l" / "series")).count() == 10 + 19 + 1
