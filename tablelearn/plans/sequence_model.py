@@ -22,8 +22,9 @@
 
 from __future__ import annotations
 
+import json
 import time
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -112,22 +113,31 @@ class SequenceModel:
         )
 
     def save(self, spark: SparkSession, path: str) -> str:
-        """Weights and RMSProp state (one row per chunk) plus the settings in the path's rows."""
+        """Weights and RMSProp state (one row per chunk) under ``path/weights`` and the
+        settings and history under ``path/settings``, so training can resume from it."""
         cfg = self.config
         rows = [
             (i, self.params[i : i + cfg.chunk_size].tolist(), self.rms[i : i + cfg.chunk_size].tolist())
             for i in range(0, self.params.size, cfg.chunk_size)
         ]
-        df = spark.createDataFrame(rows, "offset long, params array<double>, rms array<double>")
-        write_parquet(df.coalesce(1), path)
+        weights = spark.createDataFrame(rows, "offset long, params array<double>, rms array<double>")
+        write_parquet(weights.coalesce(1), f"{path.rstrip('/')}/weights")
+        settings = spark.createDataFrame(
+            [(json.dumps(asdict(cfg)), json.dumps([list(h) for h in self.history]))], "config string, history string"
+        )
+        write_parquet(settings.coalesce(1), f"{path.rstrip('/')}/settings")
         return path
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, config: SequenceConfig) -> SequenceModel:
-        rows = spark.read.parquet(path).orderBy("offset").collect()
+    def load(cls, spark: SparkSession, path: str, config: SequenceConfig | None = None) -> SequenceModel:
+        base = path.rstrip("/")
+        rows = spark.read.parquet(f"{base}/weights").orderBy("offset").collect()  # one row per chunk
         params = np.concatenate([np.asarray(r["params"], dtype=float) for r in rows])
         rms = np.concatenate([np.asarray(r["rms"], dtype=float) for r in rows])
-        return cls(config, params, rms)
+        saved = spark.read.parquet(f"{base}/settings").first()
+        cfg = config or SequenceConfig(**json.loads(saved["config"]))
+        history = [tuple(h) for h in json.loads(saved["history"])]
+        return cls(cfg, params, rms, history)
 
 
 def model_name(cfg: SequenceConfig) -> str:

@@ -113,8 +113,9 @@ def test_frame_mode_and_save_load(spark, tmp_path):
     frames, stats = prepare_series(_series(spark), cfg, order="t")
     model = fit_sequence_model(frames, cfg)
     path = model.save(spark, str(tmp_path / "seq"))
-    back = SequenceModel.load(spark, path, cfg)
+    back = SequenceModel.load(spark, path)
     assert np.array_equal(back.params, model.params) and np.array_equal(back.rms, model.rms)
+    assert back.config == cfg and back.history == model.history
     table = forecast_table(frames, model, stats).collect()
     assert len(table) == frames.count()
     assert {r["part"] for r in table} == {"train", "test"}

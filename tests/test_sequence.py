@@ -136,3 +136,11 @@ def test_window_groups_are_bounded_whatever_the_skew(spark):
     assert stats["most"] <= bucket + size - 1
     hot_buckets = spread.where(F.col("k") == "hot").select("_bucket").distinct().count()
     assert hot_buckets >= 900 // bucket
+
+
+def test_random_split_repeats_on_the_same_partitioning(spark):
+    df = spark.range(500).repartition(4, "id")
+    a_train, a_test = split.random_split(df, [0.75, 0.25], 123)
+    b_train, b_test = split.random_split(df, [0.75, 0.25], 123)
+    assert sorted(r[0] for r in a_test.collect()) == sorted(r[0] for r in b_test.collect())
+    assert a_train.count() + a_test.count() == 500
