@@ -190,6 +190,23 @@ SELECT event_type, CASE WHEN idx < floor(n_frames * CAST(0.8 AS DOUBLE)) THEN 't
        count(*) AS n, min(idx) AS first_idx, max(idx) AS last_idx
 FROM ({_EVENT_FRAMES}) GROUP BY 1, 2"""
 
+_PREPARED = f"""
+WITH n AS ({_NEXT_DAYS_SQL}),
+s AS (SELECT min(Open) AS lo_o, max(Open) AS hi_o, min(NextClose) AS lo_nc, max(NextClose) AS hi_nc FROM n),
+k AS (SELECT * FROM n WHERE Date >= DATE '1996-01-01'),
+r AS (
+  SELECT Date, Open, row_number() OVER (ORDER BY Date) - 1 AS idx, count(*) OVER () AS cnt,
+         lead(NextClose, 49) OVER (ORDER BY Date) AS last_nc
+  FROM k
+),
+f AS (SELECT *, CASE WHEN cnt < 50 THEN 0 ELSE greatest(1, cnt - 50) END AS n_frames FROM r)
+SELECT idx AS frame_idx,
+       CASE WHEN idx < floor(n_frames * CAST(0.98 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part,
+       idx // 512 AS batch_id,
+       round((f.Open - s.lo_o) / (s.hi_o - s.lo_o), 9) AS x_first,
+       round(((f.last_nc - s.lo_nc) / (s.hi_nc - s.lo_nc)) * (s.hi_nc - s.lo_nc) + s.lo_nc, 6) AS actual
+FROM f, s WHERE idx < n_frames AND idx + 49 < cnt"""
+
 ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "parquet_roundtrip": "SELECT * FROM nation",
@@ -292,4 +309,5 @@ UNION ALL
 SELECT 'precision', label, precision FROM ({_PRECISION})""",
     "overlay_series": _OVERLAY,
     "classify_naive_bayes": _NB_REPORT,
+    "prepare_series": _PREPARED,
 }

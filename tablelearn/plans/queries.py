@@ -564,6 +564,25 @@ def _fit_orders_model(spark: SparkSession, sf_dir: str, cfg: SequenceConfig):
     return frames, stats, fit_sequence_model(frames, cfg)
 
 
+def q_prepare_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1-L3 (+ W1, P2s, L2, C4, C5): the forecast's series preparation without the model —
+    bounds from all rows, frames of 50 days from 1996 on, 98 % split, batches of 512; per frame
+    its part, batch, first scaled Open and the last NextClose scaled and unscaled back."""
+    cfg = _forecast_config()
+    frames, stats = prepare_series(order_next_days(spark, sf_dir), cfg, order="Date", since="1996-01-01")
+    out = frames.select(
+        "frame_idx",
+        "part",
+        "batch_id",
+        F.element_at(F.element_at("x", 1), 1).alias("x_first"),
+        F.element_at(F.element_at("y", -1), 2).alias("actual"),
+    )
+    back = features.minmax_unscale(out, ["actual"], stats, stat_cols=["NextClose"])
+    return back.select(
+        "frame_idx", "part", "batch_id", F.round("x_first", 9).alias("x_first"), F.round("actual", 6).alias("actual")
+    )
+
+
 def q_forecast_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + L1-L9 on the long orders series: next-day join, bounds from all rows, frames of 50
     days from 1996 on, 98 % chronological split, data-parallel training with parameter
@@ -672,6 +691,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regress_linear": _regressor_report("linear"),
     "regress_decision_tree": _regressor_report("decision_tree"),
     "regress_random_forest": _regressor_report("random_forest", numTrees=20),
+    "prepare_series": q_prepare_series,
     "forecast_table": q_forecast_table,
     "training_history": q_training_history,
     "forecast_events_carry": q_forecast_events_carry,
