@@ -207,6 +207,23 @@ SELECT idx AS frame_idx,
        round(((f.last_nc - s.lo_nc) / (s.hi_nc - s.lo_nc)) * (s.hi_nc - s.lo_nc) + s.lo_nc, 6) AS actual
 FROM f, s WHERE idx < n_frames AND idx + 49 < cnt"""
 
+_PREPARED_EVENTS = f"""
+WITH d AS ({_EVENT_DAYS_SQL}),
+s AS (SELECT event_type, min(Open) AS lo_o, max(Open) AS hi_o, min(Close) AS lo_c, max(Close) AS hi_c
+      FROM d GROUP BY event_type),
+r AS (
+  SELECT event_type, Date, Open, row_number() OVER w - 1 AS idx, count(*) OVER (PARTITION BY event_type) AS cnt,
+         lead(Close, 4) OVER w AS last_c
+  FROM d WINDOW w AS (PARTITION BY event_type ORDER BY Date)
+),
+f AS (SELECT *, CASE WHEN cnt < 5 THEN 0 ELSE greatest(1, cnt - 5) END AS n_frames FROM r)
+SELECT f.event_type, idx AS frame_idx,
+       CASE WHEN idx < floor(n_frames * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part,
+       idx // 8 AS batch_id,
+       round((f.Open - s.lo_o) / (s.hi_o - s.lo_o), 9) AS x_first,
+       round(((f.last_c - s.lo_c) / (s.hi_c - s.lo_c)) * (s.hi_c - s.lo_c) + s.lo_c, 6) AS actual
+FROM f JOIN s ON f.event_type = s.event_type WHERE idx < n_frames AND idx + 4 < cnt"""
+
 ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "parquet_roundtrip": "SELECT * FROM nation",
@@ -310,4 +327,5 @@ SELECT 'precision', label, precision FROM ({_PRECISION})""",
     "overlay_series": _OVERLAY,
     "classify_naive_bayes": _NB_REPORT,
     "prepare_series": _PREPARED,
+    "prepare_event_series": _PREPARED_EVENTS,
 }

@@ -599,12 +599,39 @@ def q_training_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.history_df(spark)
 
 
+def _event_config() -> SequenceConfig:
+    return SequenceConfig(
+        features=PRICES, labels=PRICES, frame_size=5, batch_size=8, epochs=2, hidden=8, dense=8, split_ratio=0.8
+    )
+
+
+def q_prepare_event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 per key: per-type bounds (size-checked join), frames of 5 days per type, 80 % split
+    per type, batches of 8; per frame its part, batch, first scaled Open and last Close unscaled."""
+    frames, stats = prepare_series(event_days(spark, sf_dir), _event_config(), order="Date", key="event_type")
+    out = frames.select(
+        "event_type",
+        "frame_idx",
+        "part",
+        "batch_id",
+        F.element_at(F.element_at("x", 1), 1).alias("x_first"),
+        F.element_at(F.element_at("y", -1), 2).alias("actual"),
+    )
+    back = features.minmax_unscale(out, ["actual"], stats, stat_cols=["Close"], key="event_type")
+    return back.select(
+        "event_type",
+        "frame_idx",
+        "part",
+        "batch_id",
+        F.round("x_first", 9).alias("x_first"),
+        F.round("actual", 6).alias("actual"),
+    )
+
+
 def q_forecast_events_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + L8 (carry) on one daily series per event type: frames of 5 days, state carried
     down each type's frames while scoring."""
-    cfg = SequenceConfig(
-        features=PRICES, labels=PRICES, frame_size=5, batch_size=8, epochs=2, hidden=8, dense=8, split_ratio=0.8
-    )
+    cfg = _event_config()
     days = event_days(spark, sf_dir)
     frames, stats = prepare_series(days, cfg, order="Date", key="event_type")
     frames = materialize(frames, "event-frames")
@@ -692,6 +719,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regress_decision_tree": _regressor_report("decision_tree"),
     "regress_random_forest": _regressor_report("random_forest", numTrees=20),
     "prepare_series": q_prepare_series,
+    "prepare_event_series": q_prepare_event_series,
     "forecast_table": q_forecast_table,
     "training_history": q_training_history,
     "forecast_events_carry": q_forecast_events_carry,
