@@ -6,7 +6,8 @@ from tablelearn.sources import TABLES
 
 SF = "/root/testdata/sf0.001"
 FAST = ["daily_ohlcv", "next_day_join", "minmax_scale", "sliding_frames", "key_split", "index_label",
-        "linear_regression", "naive_bayes", "decision_tree_regressor", "confusion_matrix", "precision_by_label"]
+        "linear_regression", "naive_bayes", "decision_tree_regressor", "confusion_matrix", "precision_by_label",
+        "event_next_days", "event_split", "prepare_event_series"]
 
 
 def test_every_oracle_has_a_query():
