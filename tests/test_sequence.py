@@ -144,3 +144,15 @@ def test_random_split_repeats_on_the_same_partitioning(spark):
     b_train, b_test = split.random_split(df, [0.75, 0.25], 123)
     assert sorted(r[0] for r in a_test.collect()) == sorted(r[0] for r in b_test.collect())
     assert a_train.count() + a_test.count() == 500
+
+
+def test_numbering_ignores_input_partitioning_and_breaks_ties_by_values(spark):
+    rows = [("a", t % 5, float(v)) for t in range(40) for v in (t % 3, 7 - t % 4)]  # many ties on (k, t)
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    runs = []
+    for parts in (1, 3, 8):
+        out = sequence.number_rows(df.repartition(parts), "t", "k", num_partitions=4)
+        runs.append(sorted((r["idx"], r["t"], r["v"]) for r in out.collect()))
+    assert runs[0] == runs[1] == runs[2]
+    ordered = [(t, v) for _, t, v in runs[0]]
+    assert ordered == sorted(ordered)  # idx follows (t, then v)
