@@ -135,3 +135,18 @@ def test_command_line_segment_regress_levels(spark, tmp_path):
     test = _write(tmp_path, "lv_test.csv", "Position,Level,Salary", [("x", 6.5, 165000.0)])
     main(["levels", "--train", train, "--test", test, "--grid-step", "0.5", "--output", str(tmp_path / "l")])
     assert spark.read.parquet(str(tmp_path / "l" / "series")).count() == 10 + 19 + 1
+
+
+def test_classify_purchases_random_split_default(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(120):
+        age, sal = int(rng.integers(18, 60)), int(rng.integers(15000, 150000))
+        rows.append((15800000 + i, "Female", age, sal, "Yes" if age * 2000 + sal > 180000 else "No"))
+    path = _write(tmp_path, "ads2.csv", "User ID,Gender,Age,EstimatedSalary,Purchased", rows)
+    for kind, params in (("logistic", {"maxIter": 10}), ("naive_bayes", {})):
+        res = programs.classify_purchases(spark, path, kind, **params)
+        n_test = res.scored.count()
+        assert 0 < n_test < 120
+        acc = [r["value"] for r in res.metrics.collect() if r["metric"] == "accuracy"][0]
+        assert 0.0 <= acc <= 1.0
