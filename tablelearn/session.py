@@ -62,10 +62,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The one folder (under this context's checkpoint folder) that holds every
+    intermediate table the library writes; remove it with the cluster's own tools
+    once the session's results are saved. The library itself deletes nothing."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tablelearn-scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tablelearn-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused path under ``scratch_root``."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def default_parallelism(spark: SparkSession) -> int:

@@ -21,3 +21,10 @@ def test_parquet_roundtrip_and_views(spark):
     sources.register(back, "tiny")
     assert sources.sql(spark, "SELECT count(*) AS n FROM tiny WHERE id >= :lo", lo=2).first()["n"] == 1
     assert preview(back, 1).count() == 1
+
+
+def test_scratch_paths_live_under_one_root(spark):
+    from tablelearn.session import scratch_root
+
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(scratch_root(spark) + "/") and b.startswith(scratch_root(spark) + "/")
