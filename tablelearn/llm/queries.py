@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import fingerprints, lines
+from tablelearn.llm import fingerprints, lines, neardup
 from tablelearn.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over 2-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and the hash of the kept text of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -28,5 +33,6 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
 }
