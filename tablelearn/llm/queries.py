@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import fingerprints, lines, neardup
+from tablelearn.llm import fingerprints, lines, neardup, quality
 from tablelearn.llm.common import table
 
 
@@ -31,8 +31,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op9_quality": op9_quality,
 }
