@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import fingerprints, lines, neardup, quality
+from tablelearn.llm import fingerprints, langid, lines, neardup, quality
 from tablelearn.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over 2-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
@@ -38,6 +43,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_language_id": op2_language_id,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op9_quality": op9_quality,
