@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.llm.common import SPACE_CLASS
 
-SAMPLES = 16
+SAMPLES = 32
 _WIDTH = 8  # hex digits of a coordinate
 _MASK = (1 << 21) - 1
 

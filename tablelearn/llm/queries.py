@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import fingerprints, langid, lines, neardup, quality
+from tablelearn.llm import fingerprints, langid, lines, neardup, packing, quality
 from tablelearn.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all token pieces in sequences of 2048."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line counts and the hash of the kept text of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +50,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_language_id": op2_language_id,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
     "op9_quality": op9_quality,
 }
