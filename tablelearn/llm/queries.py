@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import fingerprints, langid, lines, neardup, packing, quality
+from tablelearn.llm import decontaminate, fingerprints, langid, lines, neardup, packing, quality, spans
 from tablelearn.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose sentences to spans repeated in earlier documents or places."""
+    out = spans.remove_repeated(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "first_doc_ids", "n_sentences", "n_removed", "n_words_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over 2-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
@@ -41,6 +49,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, one row per pair."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -49,8 +62,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_language_id": op2_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
 }
