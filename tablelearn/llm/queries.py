@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import decontaminate, fingerprints, langid, lines, neardup, packing, quality, spans
+from tablelearn.llm import decontaminate, fingerprints, langid, lines, neardup, packing, quality, rollups, spans, toxicity
 from tablelearn.llm.common import table
 
 
@@ -49,6 +49,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals by source, language and tokenizer version after insert, revision and deletion batches."""
+    return rollups.corpus_rollup(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, one row per pair."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -59,6 +64,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_language_id": op2_language_id,
@@ -66,6 +76,8 @@ QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
+    "op10_toxicity": op10_toxicity,
 }
