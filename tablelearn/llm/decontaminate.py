@@ -29,13 +29,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.llm.common import WordCache, worker_cache
 from tablelearn.llm.wordsets import shingles, word_hashes
-from tablelearn.session import materialize
 
 PASSAGE, STRIDE = 64, 32
 RECALL_SHARE = 0.5
@@ -229,8 +229,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> D
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents; all columns stay. A row without
-    ``doc_id`` can't be named by the report and stays."""
-    bad = materialize(contaminated(docs, benchmark).select(F.col("doc_id").alias("__bad_id")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"] == bad["__bad_id"], "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
+    """``docs`` without the contaminated rows; all columns stay. Rows are filtered where they
+    are read, nothing is shuffled."""
+    at = docs.columns.index("text")
+    for rows in _shards(benchmark, shard):
+        index = build_index(rows)
+        if index is None:
+            continue
+
+        def run(batches, index=index):
+            for batch in batches:
+                for k in range(0, len(batch), 1000):
+                    part = batch.slice(k, 1000)
+                    yield part.filter(pa.array([not index.matches(t) for t in part.column(at).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -218,7 +218,10 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` reduced to the kept document of each component; all columns stay."""
-    kept = near_duplicates(docs, shingle, threshold).filter("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    kept = materialize(kept, "kept-ids")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept_id"]), "left_semi")
+    """``docs`` reduced to the kept document of each component; all columns stay. Of rows that
+    repeat a kept ``doc_id`` one stays; rows without ``doc_id`` all stay."""
+    kept = near_duplicates(docs, shingle, threshold).filter("kept and doc_id is not null")
+    kept = materialize(kept.select(F.col("doc_id").alias("__kept_id")).distinct(), "kept-ids")
+    named = docs.filter(F.col("doc_id").isNotNull())
+    named = named.join(kept, named["doc_id"] == kept["__kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter(F.col("doc_id").isNull()))

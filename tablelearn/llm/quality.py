@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -173,6 +174,22 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, score double")
 
 
+def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows whose score is below ``threshold``; all columns stay. Rows are
+    filtered where they are read, nothing is shuffled."""
+    model = fit_quality(docs, labels)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, len(batch), 1000):
+                part = batch.slice(k, 1000)
+                score = model.net.score(model.features(part.column(at).to_pylist()).astype(float))
+                yield part.filter(pa.array(score >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row."""
     scored = score_quality(docs, fit_quality(docs, labels))
