@@ -6,7 +6,8 @@ runs over the shortest sequence of at least ``MIN_SENTENCES`` sentences with at
 ``MIN_WORDS`` words. Spans are hashed over their words (A-Z lower-cased, any white space between
 words), to 128 bits. All spans of all documents are joined by hash; the first holder of a
 span is the smallest ``doc_id``, and within a document its first place. Every sentence that
-a non-first repeated span covers is removed.
+a non-first repeated span covers is removed. The last sentences of a passage stay when no span
+inside the passage needs them to reach ``MIN_WORDS``.
 
 A hash shared by many documents is counted with map-side aggregation, and its rows meet the
 small table of repeated hashes in a plain join that Spark can split.
