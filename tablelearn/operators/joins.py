@@ -1,29 +1,39 @@
 """Join helper for small per-key tables (statistics, offsets).
 
-Broadcasting is only done behind a measured size: the small side is counted
-first and broadcast only while rows x row width stays below
-``max_broadcast_bytes``; above that the join
-stays a shuffle join, where AQE's skew-join split handles hot keys of the big
-side.
+Broadcasting is only done behind a measured size: the small side is written, its
+bytes are added up (arrays and strings by their real lengths), and it is broadcast
+only while they stay below ``max_broadcast_bytes``; above that the join stays a
+shuffle join, where AQE's skew-join split handles hot keys of the big side.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tablelearn.session import materialize
 
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _row_width(df: DataFrame) -> int:
-    """Rough in-memory bytes per row of a flat table (8 per fixed-width value, 32 per string)."""
-    width = 16
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a stored flat table in memory, from its rows: 16 per row and 8 per column,
+    plus what strings and arrays of fixed-width values really hold. One aggregate pass."""
+    fixed = 16 + 8 * len(df.columns)
+    held = [F.lit(0).cast("long")]
     for f in df.schema.fields:
-        name = f.dataType.typeName()
-        width += 32 if name in ("string", "binary") else 64 if name in ("array", "map", "struct") else 8
-    return width
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            held.append(F.coalesce(F.octet_length(f.name), F.lit(0)).cast("long"))
+        elif isinstance(f.dataType, ArrayType):
+            held.append(8 * F.greatest(F.size(f.name), F.lit(0)).cast("long"))
+        elif isinstance(f.dataType, (MapType, StructType)):
+            held.append(F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0)).cast("long"))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(held[1:], held[0])).alias("held")).first()
+    return row["n"] * fixed + (row["held"] or 0)
 
 
 def join_small(
@@ -33,7 +43,10 @@ def join_small(
     how: str = "inner",
     max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Equi-join ``big`` with a per-key table, broadcasting it only when its counted size is small."""
+    """Equi-join ``big`` with a per-key table, broadcasting it only when its measured size is small.
+
+    NULL keys match each other (as a window's ``PARTITION BY`` groups them), so rows whose
+    key is NULL keep their place in per-key results."""
     if not on:
         raise ValueError("join_small needs join keys")
     # The small side is usually an aggregate over the big input: write it once to the
@@ -41,10 +54,10 @@ def join_small(
     # that full pass.
     small = materialize(small, "join-small")
     limit = DEFAULT_MAX_BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
-    n = small.count()
-    if n * _row_width(small) <= limit:
-        return big.join(F.broadcast(small), on=on, how=how)
-    return big.join(small, on=on, how=how)
+    hinted = F.broadcast(small) if measured_bytes(small) <= limit else small
+    right = hinted.select(*[F.col(c).alias(f"__on_{c}") if c in on else F.col(c) for c in small.columns])
+    same = reduce(and_, [big[c].eqNullSafe(right[f"__on_{c}"]) for c in on])
+    return big.join(right, on=same, how=how).drop(*[f"__on_{c}" for c in on])
 
 
 def first_row(df: DataFrame) -> dict:
