@@ -25,6 +25,22 @@ def overlay_series(series: dict[str, tuple[DataFrame, str | Column, str | Column
     return reduce(DataFrame.unionByName, parts)
 
 
+def scored_series(scored: DataFrame, x: str, series: dict[str, dict[str, str]], part: str = "part") -> DataFrame:
+    """O1 from one scored table: ``(series, x, y)`` for the series of each row's part.
+
+    ``series`` maps a value of ``part`` to ``{series name: y column}``. The table is read (and
+    scored) once; each row is expanded into its part's points.
+    """
+    points = F.lit(None)
+    for value, own in series.items():
+        point = [
+            F.struct(F.lit(n).alias("series"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+            for n, y in own.items()
+        ]
+        points = F.when(F.col(part) == value, F.array(*point)).otherwise(points)
+    return scored.select(F.explode(points).alias("p")).select("p.series", "p.x", "p.y")
+
+
 def prediction_grid(spark: SparkSession, lo: float, hi: float, step: float, col: str = "x") -> DataFrame:
     """P4s: evenly spaced values ``lo, lo + step, ... <= hi`` (distributed ``range``)."""
     if step <= 0:
