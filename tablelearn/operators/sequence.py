@@ -62,12 +62,12 @@ def number_rows(
     ties = _orderable(df, keys + order)
     # Without an explicit count the range exchange follows the session's shuffle
     # settings and AQE merges small neighbouring ranges (which keeps them in order).
-    by_range = (
-        df.repartitionByRange(num_partitions, *keys, *order) if num_partitions else df.repartitionByRange(*keys, *order)
-    )
+    # The tie columns are part of the range, so rows tied on (key, order) are spread too.
+    total = [*keys, *order, *ties]
+    by_range = df.repartitionByRange(num_partitions, *total) if num_partitions else df.repartitionByRange(*total)
     ranged = (
         by_range
-        .sortWithinPartitions(*keys, *order, *ties)
+        .sortWithinPartitions(*total)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", _LOC_BITS))
         .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOC_BITS) - 1)))
@@ -162,9 +162,11 @@ def sliding_frames(
         F.col("_own"),
         F.col("_bucket"),
     )
-    return framed.where(
-        (F.col("_own") == F.col("_bucket")) & (F.col("frame_idx") < F.col("n_frames")) & (F.size("x") == size)
-    ).drop("_own", "_bucket")
+    # An index below n_frames has all its steps in the bucket, so no array is looked at here
+    # and unused ones are pruned.
+    return framed.where((F.col("_own") == F.col("_bucket")) & (F.col("frame_idx") < F.col("n_frames"))).drop(
+        "_own", "_bucket"
+    )
 
 
 def _spread_into_buckets(numbered: DataFrame, size: int, bucket: int) -> DataFrame:
@@ -193,11 +195,6 @@ def minibatches(frames: DataFrame, batch_size: int, *, key: str | None = None, i
     return frames.withColumn("batch_id", F.floor(F.col(idx_col) / F.lit(batch_size)).cast("long"))
 
 
-def scoring_frames(frames: DataFrame) -> DataFrame:
-    """L3: one scoring set per frame — the frames table is already one row per frame."""
-    return frames
-
-
 def last_step_values(frames: DataFrame, col: str, index: int, alias: str) -> DataFrame:
     """Value ``index`` of the last time step of an ``array<array<double>>`` frame column."""
     return frames.withColumn(alias, F.element_at(tf.last_step(col), index + 1))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn import functions as tf
+from tablelearn.session import materialize
 
 PRICE_COLS = ["Open", "Close", "Low", "High", "Volume"]
 
@@ -59,14 +60,13 @@ def next_day_join(
     (weekends, holidays, the last day) are dropped — this is not ``lead()``.
     Duplicate days multiply and the distinct removes exact copies.
 
-    Plan: the null filter and the distinct are applied to each side before
-    the join, which gives the same rows (the distinct of a product is the
-    product of distincts) but never pairs up copies. The distinct is a
-    partial aggregation, so copies are dropped map-side before any shuffle
-    (Catalyst drops it entirely when the input is already unique per day, as
-    for daily bars). The join's own exchange is left to Spark, so AQE can
-    split a skewed (key, day) partition or switch to a broadcast once the
-    side's size is measured.
+    Plan: the null filter and the distinct come first, once (the distinct of a
+    product is the product of distincts, and copies are never paired up). The
+    distinct is a partial aggregation, so copies are dropped map-side before any
+    shuffle. The result is written once and read by both sides, so the input is
+    scanned once. The join's own exchange is left to Spark, so AQE can split a
+    skewed (key, day) partition or switch to a broadcast once the side's size is
+    known.
 
     ``by="row"`` pairs each row with the next row of its key instead (see
     ``sequence.next_row_join``).
@@ -79,19 +79,17 @@ def next_day_join(
     if by != "day":
         raise ValueError("by must be 'day' or 'row'")
     keys = [key] if key else []
-    jk = "_day"
-    left = (
-        df.select(*keys, date_col, *cols)
-        .where(tf.all_not_null(keys + [date_col] + cols))
-        .withColumn(jk, tf.as_date(date_col))
+    # Both sides are the same complete, distinct rows; they are written once, so what makes
+    # them runs once, and re-labelling days afterwards keeps them distinct.
+    days = df.select(*keys, date_col, *cols).where(tf.all_not_null(keys + [date_col] + cols)).distinct()
+    days = materialize(days.withColumn("_day", tf.as_date(date_col)), "days")
+    following = days.select(
+        *keys, tf.day_shift("_day", -1).alias("_day"), *[F.col(c).alias(prefix + c) for c in cols]
     )
-    right = (
-        df.select(*keys, tf.day_shift(date_col, -1).alias(jk), *[F.col(c).alias(prefix + c) for c in cols])
-        .where(tf.all_not_null(keys + [jk] + [prefix + c for c in cols]))
-    )
-    left = left.distinct()
-    right = right.distinct()
-    out = left.join(right, on=keys + [jk], how="inner")
+    if days.schema[date_col].dataType.typeName() != "date":
+        # Several times of one day may hold equal values.
+        following = following.distinct()
+    out = days.join(following, on=keys + ["_day"], how="inner")
     return out.select(*keys, date_col, *cols, *[prefix + c for c in cols])
 
 
