@@ -4,7 +4,7 @@
   since-filter, scaling, sliding frames, the chronological split and
   mini-batch numbers, all distributed (no rows go to the driver).
 * ``fit_sequence_model`` (L6, L7, L10): per epoch, the training batches are
-  dealt to ``workers`` slots, ``averaging_frequency`` batches per slot and
+  dealt to ``workers`` slots (a fixed setting; cores only decide how many run at once), ``averaging_frequency`` batches per slot and
   round. The batches are written once to the shared checkpoint folder,
   partitioned by round, so a round reads only its own files. One round is
   one Spark job: ``groupBy(slot).applyInPandas`` trains from the broadcast
@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from tablelearn.operators import features as feat
-from tablelearn.operators import sequence, shaping, split
+from tablelearn.operators import report, sequence, shaping, split
 from tablelearn.operators.joins import join_small
 from tablelearn.plans import recurrent as rn
-from tablelearn.session import default_parallelism, scratch_path
+from tablelearn.session import scratch_path
 from tablelearn.sources.sinks import write_parquet
 
 # The reference's series and training settings.
@@ -68,7 +68,7 @@ class SequenceConfig:
     epsilon: float = 1e-8
     seed: int = 12345
     averaging_frequency: int = 4
-    workers: int | None = None
+    workers: int = 4  # averaging slots: part of the model, whatever the number of cores
     chunk_size: int = 4096
     split_ratio: float = 0.98
     dtype: str = "float32"  # compute precision inside tasks; averaging and storage stay float64
@@ -157,17 +157,19 @@ def prepare_series(
     since: str | None = None,
     stats_from: str = "all",
     bucket_rows: int | None = None,
+    constant: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """L1: scaled frames with ``part`` (train/test) and ``batch_id``; returns ``(frames, stats)``.
 
     Bounds come from all rows (``stats_from="all"``, as the reference) or only
     from the rows kept by ``since`` (``"train"``). They are per key when
-    ``key`` is given.
+    ``key`` is given. A column of one value scales to ``constant``; without it
+    such a column is NULL, which training refuses.
     """
     cols = list(dict.fromkeys(cfg.features + cfg.labels))
     kept = shaping.since(rows, order, since) if since else rows
     stats = feat.minmax_stats(rows if stats_from == "all" else kept, cols, key)
-    scaled = feat.minmax_scale(kept.select(*([key] if key else []), order, *cols), cols, stats, key=key)
+    scaled = feat.minmax_scale(kept.select(*([key] if key else []), order, *cols), cols, stats, key=key, constant=constant)
     frames = sequence.sliding_frames(
         scaled, order, cfg.features, cfg.frame_size, key=key, labels=cfg.labels, bucket_rows=bucket_rows
     )
@@ -180,21 +182,25 @@ def prepare_series(
 
 
 def _deal_batches(train: DataFrame, key: str | None, workers: int, freq: int) -> DataFrame:
-    """Give each training batch a slot (worker) and a round: slot by hash, then ``freq`` batches per slot and round."""
-    keys = [key] if key else []
-    batches = train.select(*keys, "batch_id").distinct()
-    slot = F.pmod(F.xxhash64(*keys, "batch_id"), F.lit(workers))
-    # One row per batch (frames / batch_size rows), windowed per slot.
-    dealt = batches.withColumn("slot", slot).withColumn(
-        "round",
-        F.floor((F.row_number().over(Window.partitionBy("slot").orderBy(*keys, "batch_id")) - 1) / F.lit(freq)).cast("int"),
-    )
-    return join_small(train, dealt, on=keys + ["batch_id"])
+    """Give each training batch a slot (worker) and a round by its number: batches go round
+    the slots, and ``freq`` turns make a round. Batches of several keys are numbered one
+    key after the other."""
+    number = F.col("batch_id")
+    if key:
+        # One row per key: how many batches the keys before it have.
+        per_key = train.groupBy(key).agg((F.max("batch_id") + 1).alias("_batches"))
+        before = Window.orderBy(F.col(key).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+        per_key = per_key.select(key, F.coalesce(F.sum("_batches").over(before), F.lit(0)).alias("_before"))
+        train = join_small(train, per_key, on=[key])
+        number = number + F.col("_before")
+    dealt = train.withColumn("slot", F.pmod(number, F.lit(workers)).cast("long"))
+    return dealt.withColumn("round", F.floor(number / F.lit(workers * freq)).cast("int")).drop("_before")
 
 
 _RESULT_SCHEMA = StructType(
     [
         StructField("chunk", LongType()),
+        StructField("slot", LongType()),
         StructField("n", LongType()),
         StructField("w", DoubleType()),
         StructField("loss", DoubleType()),
@@ -217,13 +223,19 @@ def _slot_trainer(shape: rn.NetShape, cfg: SequenceConfig, bc, key: str | None,
         size = shape.size
         params, rms = state[:size].astype(dt), state[size:].astype(dt)
         pdf = pdf.sort_values(sort_cols)
-        rng = np.random.default_rng([round_seed, int(pdf["slot"].iloc[0])])
+        slot = int(pdf["slot"].iloc[0])
+        rng = np.random.default_rng([round_seed, slot])
         loss_sum, n = 0.0, 0
         group_cols = ([key] if key else []) + ["batch_id"]
         for _, b in pdf.groupby(group_cols, sort=False):
             X = np.stack([np.stack(v) for v in b["x"].to_numpy()]).astype(dt)
             Y = np.stack([np.stack(v) for v in b["y"].to_numpy()]).astype(dt)
             mask = rn.dropout_mask(rng, X.shape, drop)
+            if not (np.isfinite(X).all() and np.isfinite(Y).all()):
+                raise ValueError(
+                    "a training frame holds NULL or NaN: a column of one value scales to NULL unless "
+                    "prepare_series gets constant=, and incomplete rows have to be dropped first"
+                )
             loss, grad = rn.loss_and_grad(shape, params, X, Y, l2=l2, mask=mask)
             params, rms = rn.rmsprop(params, rms, grad, lr, decay, eps)
             loss_sum += loss * len(b)
@@ -231,21 +243,24 @@ def _slot_trainer(shape: rn.NetShape, cfg: SequenceConfig, bc, key: str | None,
         w = float(n) if by_examples else 1.0
         both = np.concatenate([params, rms]).astype(np.float64) * w
         out = [
-            (i // chunk, n, w, loss_sum if i == 0 else 0.0, both[i : i + chunk].tolist())
+            (i // chunk, slot, n, w, loss_sum if i == 0 else 0.0, both[i : i + chunk].tolist())
             for i in range(0, both.size, chunk)
         ]
-        return pd.DataFrame(out, columns=["chunk", "n", "w", "loss", "vals"])
+        return pd.DataFrame(out, columns=["chunk", "slot", "n", "w", "loss", "vals"])
 
     return train
 
 
 def _average(results: DataFrame) -> tuple[np.ndarray, int, float]:
-    """Weighted mean of the slots' vectors, chunk by chunk (a grouped sum, not a driver loop)."""
+    """Weighted mean of the slots' vectors, chunk by chunk (a grouped sum, not a driver loop).
+
+    The slots are added in their order, so the sum is the same bit for bit in every run; a
+    group holds one chunk of each slot, a fixed number."""
     summed = results.groupBy("chunk").agg(
         F.sum("n").alias("n"),
         F.sum("w").alias("w"),
         F.sum("loss").alias("loss"),
-        F.collect_list("vals").alias("vs"),
+        F.transform(F.array_sort(F.collect_list(F.struct("slot", "vals"))), lambda s: s["vals"]).alias("vs"),
     )
     summed = summed.select(
         "chunk",
@@ -283,10 +298,12 @@ def fit_sequence_model(
     """
     spark = frames.sparkSession
     shape = cfg.shape
-    workers = cfg.workers or default_parallelism(spark)
+    workers = cfg.workers
     keys = [key] if key else []
     train = frames.where(F.col("part") == "train").select(*keys, "frame_idx", "batch_id", "x", "y")
     dealt = _deal_batches(train, key, workers, cfg.averaging_frequency)
+    # A slot's frames of a round are one task's rows and one file.
+    dealt = dealt.repartition("round", "slot")
     path = write_parquet(dealt, scratch_path(spark, "sequence-batches"), partition_by=["round"])
     stored = spark.read.parquet(path)
     last_round = stored.agg(F.max("round")).first()[0]
@@ -305,7 +322,7 @@ def fit_sequence_model(
             trainer = _slot_trainer(shape, cfg, bc, key, cfg.seed + epoch * 100003 + r)
             results = stored.where(F.col("round") == r).groupBy("slot").applyInPandas(trainer, _RESULT_SCHEMA)
             vec, n, loss_sum = _average(results)
-            bc.unpersist()
+            bc.destroy()  # also removes the driver's file
             if n == 0:
                 continue
             params, rms = vec[: shape.size], vec[shape.size :]
@@ -486,3 +503,15 @@ def forecast_table(
     scored = pred.select(*keys, "frame_idx", "part", "actual", F.element_at("pred", j + 1).alias("predicted"))
     out = feat.minmax_unscale(scored, ["actual", "predicted"], stats, stat_cols=[label, label], key=key)
     return out.select(*keys, "frame_idx", (F.col("frame_idx") + 1).alias("time"), "part", "actual", "predicted")
+
+
+def forecast_overlay(table: DataFrame) -> DataFrame:
+    """O1 on a forecast table: the four series ``(series, x, y)`` over the frame counter."""
+    return report.scored_series(
+        table,
+        "time",
+        {
+            "train": {"Training Set": "actual", "Training Predictions": "predicted"},
+            "test": {"Test Set": "actual", "Test Predictions": "predicted"},
+        },
+    )
