@@ -19,7 +19,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tablelearn.plans import programs
-from tablelearn.plans.sequence_model import SequenceConfig
+from tablelearn.plans.sequence_model import SequenceConfig, forecast_overlay
 from tablelearn.session import ensure_checkpoint_dir
 from tablelearn.sources.sinks import write_parquet
 
@@ -76,6 +76,9 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--hidden", type=int, default=512)
     t.add_argument("--since", default="2017-01-01")
     t.add_argument("--output", required=True)
+    for parser in (s, c, r, lv, e):
+        parser.add_argument("--schema", help="column names and types of the CSV (DDL); spares the inference pass")
+        parser.add_argument("--null-value", help="text that stands for NULL in the CSV")
     return p
 
 
@@ -84,8 +87,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"tablelearn-{args.cmd}").getOrCreate()
     ensure_checkpoint_dir(spark)
     out = args.output.rstrip("/")
+    csv = {"schema": getattr(args, "schema", None), "null_value": getattr(args, "null_value", None)}
     if args.cmd == "segment":
-        df = programs.segment_customers(spark, args.input, tuple(args.features), k=args.k, seed=args.seed)
+        df = programs.segment_customers(spark, args.input, tuple(args.features), k=args.k, seed=args.seed, csv=csv)
         write_parquet(df.drop("features"), f"{out}/segments")
     elif args.cmd == "classify":
         params = {}
@@ -103,27 +107,30 @@ def main(argv: list[str] | None = None) -> None:
             split_by=args.split,
             key=args.key,
             handle_invalid=args.handle_invalid,
+            csv=csv,
             **params,
         )
+        write_parquet(res.scored.drop("features", "rawPrediction", "probability"), f"{out}/scored")
         write_parquet(res.confusion, f"{out}/confusion")
         write_parquet(res.metrics, f"{out}/metrics")
     elif args.cmd == "regress":
         df = programs.regress_linear(
-            spark, args.input, tuple(args.features), args.label, weights=tuple(args.weights), seed=args.seed
+            spark, args.input, tuple(args.features), args.label, weights=tuple(args.weights), seed=args.seed, csv=csv
         )
         write_parquet(df, f"{out}/series")
     elif args.cmd == "levels":
         params = {"numTrees": args.num_trees} if args.num_trees else {}
         df = programs.regress_levels(
-            spark, args.train, args.test, args.kind, args.feature, args.label, grid_step=args.grid_step, **params
+            spark, args.train, args.test, args.kind, args.feature, args.label, grid_step=args.grid_step, csv=csv, **params
         )
         write_parquet(df, f"{out}/series")
     elif args.cmd == "stock-etl":
-        programs.process_stock_csv(spark, args.input, out)
+        programs.process_stock_csv(spark, args.input, out, csv)
     elif args.cmd == "stock-train":
         cfg = SequenceConfig.reference(epochs=args.epochs, hidden=args.hidden)
         table, model = programs.train_stock_model(spark, args.input, cfg, since=args.since, model_path=f"{out}/models")
         write_parquet(table, f"{out}/forecast")
+        write_parquet(forecast_overlay(spark.read.parquet(f"{out}/forecast")), f"{out}/series")
         write_parquet(model.history_df(spark), f"{out}/history")
 
 

@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from tablelearn.plans.queries import _DOCS_SQL, _EVENT_DAYS_SQL, _NEXT_DAYS_SQL
 
+# The daily bars with one type's name missing.
+_NULL_DAYS_SQL = _EVENT_DAYS_SQL.replace("FROM events", "FROM (SELECT * REPLACE (nullif(event_type, 'click') AS event_type) FROM events)")
+
 _P = ["Open", "Close", "Low", "High", "NextOpen", "NextClose", "NextLow", "NextHigh"]
 
 
@@ -166,13 +169,12 @@ SELECT 'Prediction', s.x, round(side.m, 4) FROM test s, best, side WHERE side.lf
 
 
 _EVENT_NEXT_DAYS = f"""
-WITH d AS ({_EVENT_DAYS_SQL})
-SELECT DISTINCT s.event_type, s.Date, s.Open, s.Close, s.Low, s.High, s.Volume,
-       c.Open AS NextOpen, c.Close AS NextClose, c.Low AS NextLow, c.High AS NextHigh, c.Volume AS NextVolume
-FROM d s JOIN d c ON c.event_type = s.event_type AND c.Date = s.Date + 1
-WHERE s.Open IS NOT NULL AND s.Close IS NOT NULL AND s.Low IS NOT NULL AND s.High IS NOT NULL
-  AND s.Volume IS NOT NULL AND c.Open IS NOT NULL AND c.Close IS NOT NULL AND c.Low IS NOT NULL
-  AND c.High IS NOT NULL AND c.Volume IS NOT NULL"""
+WITH bars AS ({_EVENT_DAYS_SQL}),
+ahead AS (
+  SELECT bars.*, lead(Date) OVER t AS following, lead(Open) OVER t AS NextOpen, lead(Close) OVER t AS NextClose,
+         lead(Low) OVER t AS NextLow, lead(High) OVER t AS NextHigh, lead(Volume) OVER t AS NextVolume
+  FROM bars WINDOW t AS (PARTITION BY event_type ORDER BY Date))
+SELECT * EXCLUDE (following) FROM ahead WHERE date_diff('day', Date, following) = 1"""
 
 _EVENT_MINMAX = f"""
 WITH d AS ({_EVENT_DAYS_SQL}),
@@ -224,6 +226,38 @@ SELECT f.event_type, idx AS frame_idx,
        round(((f.last_c - s.lo_c) / (s.hi_c - s.lo_c)) * (s.hi_c - s.lo_c) + s.lo_c, 6) AS actual
 FROM f JOIN s ON f.event_type = s.event_type WHERE idx < n_frames AND idx + 4 < cnt"""
 
+_NULL_LABEL_PAIRS = """
+SELECT CASE WHEN toxic = 0 THEN CAST(quality AS DOUBLE) END AS label,
+       CASE WHEN quality = 1 THEN CAST(toxic AS DOUBLE) END AS prediction FROM labels"""
+
+# Least squares of price on (part key, size) over the training keys: intercept and two slopes.
+_TWO_SLOPES = """
+tr AS (SELECT CAST(p_partkey AS DOUBLE) AS x1, CAST(p_size AS DOUBLE) AS x2, p_retailprice AS y
+       FROM part WHERE p_partkey % 4 <> 0),
+s AS (SELECT covar_pop(x1, x1) AS s11, covar_pop(x2, x2) AS s22, covar_pop(x1, x2) AS s12,
+             covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM tr),
+b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+             (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM s),
+c AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b)"""
+
+# Batches go round 4 slots and 4 turns make an averaging round.
+_TRAINING_ROUNDS = f"""
+SELECT CAST(e AS INTEGER) AS epoch, CAST(idx // 512 // 16 AS INTEGER) AS round, count(*) AS n_frames, true AS finite
+FROM ({_PREPARED.replace("SELECT idx AS frame_idx,", "SELECT idx, idx AS frame_idx,")}), range(3) t(e)
+WHERE part = 'train' GROUP BY 1, 2"""
+
+_LINEITEM_ROUNDS = """
+WITH d AS (SELECT l_returnflag, l_shipdate FROM lineitem GROUP BY 1, 2),
+r AS (SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate) - 1 AS idx,
+             count(*) OVER (PARTITION BY l_returnflag) AS n FROM d),
+f AS (SELECT *, CASE WHEN n < 5 THEN 0 ELSE greatest(1, n - 5) END AS n_frames FROM r),
+tr AS (SELECT l_returnflag, idx, idx // 32 AS batch FROM f
+       WHERE idx < n_frames AND idx < floor(n_frames * CAST(0.8 AS DOUBLE))),
+k AS (SELECT l_returnflag, max(batch) + 1 AS batches FROM tr GROUP BY 1),
+o AS (SELECT l_returnflag, coalesce(sum(batches) OVER (ORDER BY l_returnflag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k)
+SELECT CAST(e AS INTEGER) AS epoch, CAST((tr.batch + o.before) // 8 AS INTEGER) AS round, count(*) AS n_frames, true AS finite
+FROM tr JOIN o ON tr.l_returnflag = o.l_returnflag, range(2) t(e) GROUP BY 1, 2"""
+
 ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "parquet_roundtrip": "SELECT * FROM nation",
@@ -287,23 +321,59 @@ te AS (SELECT CAST(p_partkey AS DOUBLE) AS x, p_retailprice AS y FROM part WHERE
 SELECT round(co.slope, 8) AS slope, round(co.intercept, 3) AS intercept, co.n_train, count(*) AS n_test,
        round(sqrt(avg(power(te.y - (co.intercept + co.slope * te.x), 2))), 4) AS rmse_test
 FROM te, co GROUP BY co.slope, co.intercept, co.n_train""",
-    "multiple_linear_regression": """
-WITH tr AS (SELECT CAST(p_partkey AS DOUBLE) AS x1, CAST(p_size AS DOUBLE) AS x2, p_retailprice AS y
-            FROM part WHERE p_partkey % 4 <> 0),
-s AS (SELECT covar_pop(x1, x1) AS s11, covar_pop(x2, x2) AS s22, covar_pop(x1, x2) AS s12,
-             covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM tr),
-b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
-             (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM s)
-SELECT round(b1, 8) AS b_partkey, round(b2, 6) AS b_size, round(my - b1 * m1 - b2 * m2, 3) AS intercept FROM b""",
+    "multiple_linear_regression": f"""
+WITH {_TWO_SLOPES}
+SELECT round(b1, 8) AS b_partkey, round(b2, 6) AS b_size, round(b0, 3) AS intercept, count(*) AS n_test,
+       round(sqrt(avg(power(p_retailprice - (b0 + b1 * p_partkey + b2 * p_size), 2))), 4) AS rmse_test
+FROM c, part WHERE p_partkey % 4 = 0 GROUP BY b1, b2, b0""",
+    "regress_linear": f"""
+WITH {_TWO_SLOPES},
+p AS (SELECT p_partkey % 4 = 0 AS test, CAST(p_partkey AS DOUBLE) AS x, CAST(p_retailprice AS DOUBLE) AS y,
+             b0 + b1 * p_partkey + b2 * p_size AS h FROM part, c)
+SELECT CASE WHEN test THEN 'Test Set' ELSE 'Training Set' END AS series, x, round(y, 4) AS y FROM p
+UNION ALL
+SELECT CASE WHEN test THEN 'Predictions' ELSE 'Regression' END, x, round(h, 4) FROM p""",
+    "random_split_cover": "SELECT p_partkey, count(*) AS times FROM part GROUP BY 1",
+    "model_roundtrip": """
+WITH m AS (SELECT regr_slope(p_retailprice, p_partkey) AS b, regr_intercept(p_retailprice, p_partkey) AS a
+           FROM part WHERE p_partkey % 4 <> 0)
+SELECT p_partkey, round(a + b * p_partkey, 4) AS predict, true AS same FROM part, m WHERE p_partkey % 4 = 0""",
+    "preview_rows": "SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey LIMIT 20",
+    "kmeans_segments_check": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest, true AS within_k FROM customer",
+    "kmeans_embeddings_check": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest, true AS within_k FROM embeddings",
+    "forest_is_mean_of_trees": "SELECT p_partkey, true AS is_mean FROM part",
+    "forecast_check": f"""
+SELECT frame_idx, frame_idx + 1 AS time, part, actual, true AS finite FROM ({_PREPARED})""",
+    "training_check": _TRAINING_ROUNDS,
+    "lineitem_training": _LINEITEM_ROUNDS,
+    "null_key_frames": f"""
+SELECT event_type, idx AS frame_idx, n_frames,
+       CASE WHEN idx < floor(n_frames * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part, last_Close AS last_close
+FROM ({_frames_sql(_NULL_DAYS_SQL, 5, "event_type", ["Close"])})""",
+    "null_key_minmax": _EVENT_MINMAX.replace(_EVENT_DAYS_SQL, _NULL_DAYS_SQL).replace(
+        "d.event_type = s.event_type", "d.event_type IS NOT DISTINCT FROM s.event_type"
+    ),
+    "null_metrics": f"""
+WITH t AS ({_NULL_LABEL_PAIRS}),
+tp AS (SELECT label, count(*) FILTER (WHERE label = prediction) AS tp FROM t WHERE label IS NOT NULL GROUP BY 1),
+pc AS (SELECT prediction AS label, count(*) AS n_pred FROM t GROUP BY 1)
+SELECT 'accuracy' AS metric, CAST(NULL AS DOUBLE) AS label, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 9) AS value FROM t
+UNION ALL
+SELECT 'precision', tp.label, round(CASE WHEN coalesce(n_pred, 0) = 0 THEN 0.0 ELSE tp / n_pred END, 9)
+FROM tp LEFT JOIN pc ON tp.label = pc.label""",
     "naive_bayes": """
 WITH tr AS (SELECT * FROM part WHERE p_partkey % 4 <> 0),
 c AS (SELECT p_type, count(*) AS n_c, sum(CAST(p_size AS DOUBLE)) AS s1, sum(p_retailprice) AS s2 FROM tr GROUP BY 1),
-tot AS (SELECT sum(n_c) AS nn, count(*) AS k FROM c)
-SELECT CAST(row_number() OVER (ORDER BY n_c DESC, p_type) - 1 AS DOUBLE) AS label, p_type,
-       round(ln(n_c + 1) - ln(nn + k), 9) AS log_prior,
-       round(ln(s1 + 1) - ln(s1 + s2 + 2), 9) AS log_theta_size,
-       round(ln(s2 + 1) - ln(s1 + s2 + 2), 9) AS log_theta_price
-FROM c, tot""",
+tot AS (SELECT sum(n_c) AS nn, count(*) AS k FROM c),
+m AS (SELECT CAST(row_number() OVER (ORDER BY n_c DESC, p_type) - 1 AS DOUBLE) AS label, p_type,
+             ln(n_c + 1) - ln(nn + k) AS prior, ln(s1 + 1) - ln(s1 + s2 + 2) AS t1, ln(s2 + 1) - ln(s1 + s2 + 2) AS t2
+      FROM c, tot),
+best AS (SELECT p.p_partkey, arg_max(m.label, m.prior + p.p_size * m.t1 + p.p_retailprice * m.t2) AS label
+         FROM part p, m WHERE p.p_partkey % 4 = 0 GROUP BY 1),
+given AS (SELECT label, count(*) AS n_test FROM best GROUP BY 1)
+SELECT m.label, p_type, round(prior, 9) AS log_prior, round(t1, 9) AS log_theta_size, round(t2, 9) AS log_theta_price,
+       coalesce(n_test, 0) AS n_test
+FROM m LEFT JOIN given ON m.label = given.label""",
     "logistic_regression": f"""
 SELECT CAST(n_chars > 1500 AS DOUBLE) AS long_text, round(avg(quality), 4) AS p_quality, count(*) AS n
 FROM ({_DOCS_SQL}) GROUP BY 1""",

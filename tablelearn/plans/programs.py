@@ -39,10 +39,11 @@ class ClassificationResult:
     metrics: DataFrame
 
 
-def _read_once(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Parse a CSV once (header, inferred types) into Parquet in the shared folder:
-    the fit's several passes and the scoring then read columns, not text."""
-    return materialize(read_csv(spark, path), name)
+def _read_once(spark: SparkSession, path: str, name: str, csv: dict | None) -> DataFrame:
+    """Parse a CSV once into Parquet in the shared folder: the fit's several passes and the
+    scoring then read columns, not text. ``csv`` goes to ``read_csv``: a ``schema`` spares
+    the inference pass, ``null_value`` names the text that stands for NULL."""
+    return materialize(read_csv(spark, path, **(csv or {})), name)
 
 
 def _split(df: DataFrame, weights, seed: int, how: str, key: str | None):
@@ -61,9 +62,10 @@ def segment_customers(
     features=("Annual Income (k$)", "Spending Score (1-100)"),
     k: int = 5,
     seed: int = 1,
+    csv: dict | None = None,
 ) -> DataFrame:
     """K-means on the whole table; the input columns + ``features`` + ``prediction``."""
-    df = _read_once(spark, path, "segment-input")
+    df = _read_once(spark, path, "segment-input", csv)
     return models.score(models.fit_kmeans(df, list(features), k=k, seed=seed), df)
 
 
@@ -79,14 +81,16 @@ def classify_purchases(
     split_by: str = "random",
     key: str | None = None,
     handle_invalid: str = "error",
+    csv: dict | None = None,
     **params,
 ) -> ClassificationResult:
     """Split, fit assembler + label indexer + classifier on the training
     part, score the test part, confusion matrix and metrics."""
-    df = _read_once(spark, path, "classify-input")
+    df = _read_once(spark, path, "classify-input", csv)
     train, test = _split(df, weights, seed, split_by, key)
     model = models.fit_classifier(train, kind, list(features), label, handle_invalid=handle_invalid, **params)
-    scored = models.score(model, test)
+    # Written once: the metrics and the caller read the scored rows, the model runs once.
+    scored = materialize(models.score(model, test), "classify-scored")
     return ClassificationResult(model, scored, evaluate.confusion_matrix(scored), evaluate.metrics_report(scored))
 
 
@@ -100,22 +104,24 @@ def regress_linear(
     seed: int = 123,
     split_by: str = "random",
     key: str | None = None,
+    csv: dict | None = None,
 ) -> DataFrame:
     """Linear regression; the four series of the reference's plot, as rows.
 
     The x of each series is the first feature.
     """
-    df = _read_once(spark, path, "regress-input")
+    df = _read_once(spark, path, "regress-input", csv)
     train, test = _split(df, weights, seed, split_by, key)
     model = models.fit_regressor(train, "linear", list(features), label)
-    x = features[0]
-    return report.overlay_series(
+    both = train.withColumn("_part", F.lit("train")).unionByName(test.withColumn("_part", F.lit("test")))
+    return report.scored_series(
+        models.score(model, both),
+        features[0],
         {
-            "Training Set": (train, x, label),
-            "Linear Regression": (models.score(model, train), x, "predict"),
-            "Test Set": (test, x, label),
-            "Predictions": (models.score(model, test), x, "predict"),
-        }
+            "train": {"Training Set": label, "Linear Regression": "predict"},
+            "test": {"Test Set": label, "Predictions": "predict"},
+        },
+        part="_part",
     )
 
 
@@ -129,12 +135,13 @@ def regress_levels(
     *,
     grid_step: float = 0.01,
     seed: int = 0,
+    csv: dict | None = None,
     **params,
 ) -> DataFrame:
     """Tree regressor on the training levels; training points, the model
     curve over a grid of the feature's range, and the test prediction."""
-    train = _read_once(spark, train_path, "levels-train")
-    test = _read_once(spark, test_path, "levels-test")
+    train = _read_once(spark, train_path, "levels-train", csv)
+    test = _read_once(spark, test_path, "levels-test", csv)
     model = models.fit_regressor(train, kind, [feature], label, seed=seed, **params)
     grid = report.grid_over(train, feature, grid_step)
     name = "Decision Tree Regression" if kind == "decision_tree" else "Random Forest Regression"
@@ -147,10 +154,10 @@ def regress_levels(
     )
 
 
-def process_stock_csv(spark: SparkSession, path: str, out_path: str) -> DataFrame:
+def process_stock_csv(spark: SparkSession, path: str, out_path: str, csv: dict | None = None) -> DataFrame:
     """P10: daily stock CSV -> each day with the next calendar day's values, non-null,
     distinct -> Parquet (overwrite). Returns the written table."""
-    df = read_csv(spark, path)
+    df = read_csv(spark, path, **(csv or {}))
     joined = shaping.next_day_join(df, "Date", STOCK_COLS)
     write_parquet(joined, out_path)
     return read_parquet(spark, out_path)

@@ -20,10 +20,16 @@ from pyspark.sql import functions as F
 from tablelearn import functions as tf
 from tablelearn.operators import evaluate, features, report, sequence, shaping, split
 from tablelearn.plans import models
-from tablelearn.plans.sequence_model import SequenceConfig, fit_sequence_model, forecast_table, prepare_series
+from tablelearn.plans.sequence_model import (
+    SequenceConfig,
+    fit_sequence_model,
+    forecast_overlay,
+    forecast_table,
+    prepare_series,
+)
 from tablelearn.session import materialize, scratch_path
 from tablelearn.sources import load_table, read_csv, read_parquet, register, sql
-from tablelearn.sources.sinks import write_csv, write_parquet
+from tablelearn.sources.sinks import load_model, preview, save_model, write_csv, write_parquet
 
 PRICES = ["Open", "Close", "Low", "High"]
 NEXT_PRICES = ["NextOpen", "NextClose", "NextLow", "NextHigh"]
@@ -91,13 +97,12 @@ FROM events WHERE ts IS NOT NULL AND value IS NOT NULL
 GROUP BY 1, 2"""
 
 _NEXT_DAYS_SQL = f"""
-WITH d AS ({_ORDER_DAYS_SQL})
-SELECT DISTINCT s.Date, s.Open, s.Close, s.Low, s.High, s.Volume,
-       c.Open AS NextOpen, c.Close AS NextClose, c.Low AS NextLow, c.High AS NextHigh, c.Volume AS NextVolume
-FROM d s JOIN d c ON c.Date = s.Date + 1
-WHERE s.Open IS NOT NULL AND s.Close IS NOT NULL AND s.Low IS NOT NULL AND s.High IS NOT NULL
-  AND s.Volume IS NOT NULL AND c.Open IS NOT NULL AND c.Close IS NOT NULL AND c.Low IS NOT NULL
-  AND c.High IS NOT NULL AND c.Volume IS NOT NULL"""
+WITH bars AS ({_ORDER_DAYS_SQL}),
+ahead AS (
+  SELECT bars.*, lead(Date) OVER t AS following, lead(Open) OVER t AS NextOpen, lead(Close) OVER t AS NextClose,
+         lead(Low) OVER t AS NextLow, lead(High) OVER t AS NextHigh, lead(Volume) OVER t AS NextVolume
+  FROM bars WINDOW t AS (ORDER BY Date))
+SELECT * EXCLUDE (following) FROM ahead WHERE date_diff('day', Date, following) = 1"""
 
 _DOCS_SQL = """
 SELECT d.doc_id, d.n_chars,
@@ -158,24 +163,15 @@ def q_event_minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_next_day_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3 + S4 (+ J1): the next-day join as SQL text over registered views (comma join + WHERE)."""
-    tag = uuid.uuid4().hex[:8]
-    days, nxt = f"daily_prices_{tag}", f"next_prices_{tag}"
-    register(order_days(spark, sf_dir), days)
-    register(
-        sql(
-            spark,
-            "SELECT date_add(Date, -1) AS Date, Open AS NextOpen, Close AS NextClose, Low AS NextLow, "
-            f"High AS NextHigh, Volume AS NextVolume FROM {days}",
-        ),
-        nxt,
-    )
-    cols = ["Date", "Open", "Close", "Low", "High", "Volume", "NextOpen", "NextClose", "NextLow", "NextHigh", "NextVolume"]
+    """S3 + S4 (+ J1): the next-day join as SQL text over a registered view."""
+    view = f"bars_{uuid.uuid4().hex[:8]}"
+    values = PRICES + ["Volume"]
+    register(shaping.dedupe(shaping.drop_incomplete(order_days(spark, sf_dir))), view)
     return sql(
         spark,
-        "SELECT DISTINCT * FROM (SELECT s.Date, s.Open, s.Close, s.Low, s.High, s.Volume, c.NextOpen, c.NextClose, "
-        f"c.NextLow, c.NextHigh, c.NextVolume FROM {days} s, {nxt} c WHERE to_date(s.Date) = c.Date) "
-        "WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols),
+        f"SELECT today.*, {', '.join(f'tomorrow.{c} AS Next{c}' for c in values)} "
+        f"FROM {view} AS today INNER JOIN {view} AS tomorrow ON datediff(tomorrow.Date, today.Date) = 1 "
+        "AND tomorrow.Date = date_add(today.Date, 1)",
     )
 
 
@@ -329,6 +325,12 @@ def q_random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+def q_random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1s checked: how often each row is found in the two parts together."""
+    both = q_random_split(spark, sf_dir)
+    return both.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("times"))
+
+
 def q_prediction_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4s: grid over the observed range of part.p_size, step 0.5."""
     return report.grid_over(load_table(spark, sf_dir, "part"), "p_size", 0.5, "x")
@@ -371,19 +373,23 @@ def q_linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_multiple_linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7: price on (part key, size)."""
-    train, _ = _part_split(spark, sf_dir)
-    lr = models.last_stage(models.fit_regressor(train, "linear", ["p_partkey", "p_size"], "p_retailprice"))
-    return spark.range(1).select(
+    """M7: price on (part key, size), fitted on 3/4 of the keys, scored on the rest."""
+    train, test = _part_split(spark, sf_dir)
+    model = models.fit_regressor(train, "linear", ["p_partkey", "p_size"], "p_retailprice")
+    lr = models.last_stage(model)
+    return models.score(model, test).agg(
         F.lit(_rounded(lr.coefficients[0], 8)).alias("b_partkey"),
         F.lit(_rounded(lr.coefficients[1], 6)).alias("b_size"),
         F.lit(_rounded(lr.intercept, 3)).alias("intercept"),
+        F.count(F.lit(1)).alias("n_test"),
+        F.round(F.sqrt(F.avg((F.col("p_retailprice") - F.col("predict")) ** 2)), 4).alias("rmse_test"),
     )
 
 
 def q_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 (+ X2): multinomial NB of p_type on (p_size, p_retailprice): class priors and conditionals."""
-    train, _ = _part_split(spark, sf_dir)
+    """M4 (+ X2): multinomial NB of p_type on (p_size, p_retailprice): class priors and
+    conditionals, and how many rows of the held-out quarter get each class."""
+    train, test = _part_split(spark, sf_dir)
     model = models.fit_classifier(train, "naive_bayes", ["p_size", "p_retailprice"], "p_type")
     indexer, nb = model.stages[1], model.stages[-1]
     theta = nb.theta.toArray()
@@ -392,7 +398,9 @@ def q_naive_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (float(i), name, _rounded(pi[i], 9), _rounded(theta[i][0], 9), _rounded(theta[i][1], 9))
         for i, name in enumerate(indexer.labels)
     ]
-    return spark.createDataFrame(rows, "label double, p_type string, log_prior double, log_theta_size double, log_theta_price double")
+    classes = spark.createDataFrame(rows, "label double, p_type string, log_prior double, log_theta_size double, log_theta_price double")
+    given = models.score(model, test).groupBy(F.col("prediction").alias("label")).agg(F.count(F.lit(1)).alias("n_test"))
+    return classes.join(given, "label", "left").withColumn("n_test", F.coalesce("n_test", F.lit(0)))
 
 
 def q_logistic_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -470,13 +478,17 @@ def q_kmeans_two_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_kmeans_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 with the reference's k = 5: customers by balance and total order value."""
+    df = _customer_totals(spark, sf_dir)
+    model = models.fit_kmeans(df, ["c_acctbal", "order_total"], k=5, seed=1)
+    return models.score(model, df).select("c_custkey", F.col("prediction").alias("cluster"))
+
+
+def _customer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = load_table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.sum("o_totalprice").alias("order_total")
     )
     cust = load_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    df = cust.join(totals, on="c_custkey", how="left").fillna(0.0, subset=["order_total"])
-    model = models.fit_kmeans(df, ["c_acctbal", "order_total"], k=5, seed=1)
-    return models.score(model, df).select("c_custkey", F.col("prediction").alias("cluster"))
+    return cust.join(totals, on="c_custkey", how="left").fillna(0.0, subset=["order_total"])
 
 
 def q_kmeans_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -639,21 +651,157 @@ def q_forecast_events_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast_table(frames, model, stats, label="Close", key="event_type", mode="carry")
 
 
+def _null_key_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars of the events where one type's name is missing: its key is NULL."""
+    events = load_table(spark, sf_dir, "events").select(
+        F.nullif("event_type", F.lit("click")).alias("event_type"), "ts", "value", "event_id"
+    )
+    return shaping.daily_bars(events, "ts", "value", key="event_type", tie_col="event_id", volume="sum", volume_digits=2)
+
+
+def q_null_key_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2 + P2s with a NULL series key: its rows form a series like any other."""
+    frames = sequence.sliding_frames(_null_key_days(spark, sf_dir), "Date", PRICES, 5, key="event_type", bucket_rows=64)
+    parted = split.chronological_split(frames.drop("n_frames"), 0.8, key="event_type")
+    return parted.select("event_type", "frame_idx", "n_frames", "part", F.element_at(tf.last_step("x"), 2).alias("last_close"))
+
+
+def q_null_key_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3 per key with a NULL key: scaled with its own bounds."""
+    scaled = features.minmax_scale(_null_key_days(spark, sf_dir), PRICES, key="event_type")
+    return scaled.select("event_type", "Date", *[F.round(c, 9).alias(c) for c in PRICES])
+
+
+def q_null_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 with NULL predictions (labels of quality 0) and NULL labels (toxic documents)."""
+    rows = load_table(spark, sf_dir, "labels").select(
+        F.when(F.col("toxic") == 0, F.col("quality").cast("double")).alias("label"),
+        F.when(F.col("quality") == 1, F.col("toxic").cast("double")).alias("prediction"),
+    )
+    return evaluate.metrics_report(rows).select("metric", "label", F.round("value", 9).alias("value"))
+
+
+def q_model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fitted model saved to the shared folder, loaded and used; per row its prediction
+    and whether it equals the unsaved model's."""
+    train, test = _part_split(spark, sf_dir)
+    model = models.fit_regressor(train, "linear", ["p_partkey"], "p_retailprice")
+    path = save_model(model, scratch_path(spark, "price-model"))
+    direct = models.score(model, test).select("p_partkey", F.col("predict").alias("direct"))
+    loaded = models.score(load_model(path), test).select("p_partkey", "predict")
+    return loaded.join(direct, "p_partkey").select(
+        "p_partkey", F.round("predict", 4).alias("predict"), (F.col("predict") == F.col("direct")).alias("same")
+    )
+
+
+def q_preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 20 nations in key order, as a preview shows them (the limit is the feature)."""
+    return preview(load_table(spark, sf_dir, "nation").orderBy("n_nationkey"), 20).select("n_nationkey", "n_name")
+
+
+def _nearest_check(scored: DataFrame, centres: list, point, k: int) -> DataFrame:
+    """One row: rows scored, rows that are not given the nearest centre, clusters used."""
+    def distance(c):
+        sides = F.zip_with(point, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(sides, F.lit(0.0), lambda s, v: s + v)
+
+    away = F.array(*[distance(c) for c in centres])
+    wrong = F.element_at(away, F.col("prediction") + 1) > F.array_min(away) * (1 + 1e-9) + 1e-9
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(wrong.cast("long")), F.lit(0)).alias("not_nearest"),
+        (F.count_distinct("prediction") <= k).alias("within_k"),
+    )
+
+
+def q_kmeans_segments_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, k = 5: every customer has the nearest of the model's centres."""
+    df = _customer_totals(spark, sf_dir)
+    model = models.fit_kmeans(df, ["c_acctbal", "order_total"], k=5, seed=1)
+    point = F.array(F.col("c_acctbal").cast("double"), F.col("order_total").cast("double"))
+    return _nearest_check(models.score(model, df), models.last_stage(model).clusterCenters(), point, 5)
+
+
+def q_kmeans_embeddings_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1, k = 10: every embedding has the nearest of the model's centres."""
+    emb = load_table(spark, sf_dir, "embeddings").select(
+        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("embedding_vec")
+    )
+    model = models.fit_kmeans(emb, ["embedding_vec"], k=10, seed=1)
+    return _nearest_check(models.score(model, emb), models.last_stage(model).clusterCenters(), vector_to_array("embedding_vec"), 10)
+
+
+def q_forest_is_mean_of_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: a bootstrapped forest of 5 trees over the whole table; per row whether the forest's
+    prediction is the mean of its trees' predictions."""
+    part = load_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    model = models.fit_regressor(part, "random_forest", ["p_partkey", "p_size"], "p_retailprice", numTrees=5, seed=3)
+    scored = models.score(model, part)
+    for k, tree in enumerate(models.last_stage(model).trees):
+        scored = tree.setPredictionCol(f"tree_{k}").transform(scored)
+    mean = sum((F.col(f"tree_{k}") for k in range(1, 5)), F.col("tree_0")) / 5
+    return scored.select("p_partkey", (F.abs(mean - F.col("predict")) < 1e-6).alias("is_mean"))
+
+
+def q_forecast_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8, L9 checked: part, time and unscaled actual close of every frame, and whether the
+    forecast is a finite number."""
+    out = q_forecast_table(spark, sf_dir)
+    return out.select(
+        "frame_idx", "time", "part", F.round("actual", 6).alias("actual"),
+        (F.col("predicted").isNotNull() & ~F.isnan("predicted") & (F.abs("predicted") < 1e12)).alias("finite"),
+    )
+
+
+def q_lineitem_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10, L6, L7, L10 on one series per return flag, which grows with the table: frames per
+    epoch and averaging round, and whether the loss is finite."""
+    rows = load_table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    rows = materialize(rows.groupBy("l_returnflag", "l_shipdate").agg(F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price")), "shipping-days")
+    cfg = SequenceConfig(
+        features=["quantity", "price"], labels=["quantity"], frame_size=5, batch_size=32, epochs=2, hidden=4, dense=4,
+        split_ratio=0.8, averaging_frequency=2,
+    )
+    frames, _ = prepare_series(rows, cfg, order="l_shipdate", key="l_returnflag", constant=0.0)
+    model = fit_sequence_model(materialize(frames, "shipping-frames"), cfg, key="l_returnflag")
+    return model.history_df(spark).select(
+        "epoch", "round", "n_frames", (~F.isnan("loss") & (F.col("loss") < 1e9)).alias("finite")
+    )
+
+
+def q_training_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L6, L7, L10 checked: frames per epoch and averaging round of the orders model."""
+    history = q_training_history(spark, sf_dir)
+    return history.select("epoch", "round", "n_frames", (~F.isnan("loss") & (F.col("loss") < 1e9)).alias("finite"))
+
+
+def q_forecast_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 on the forecast: actual and predicted close of training and test frames over time."""
+    return forecast_overlay(q_forecast_table(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------- registry
 
 
 def _regressor_report(kind: str, **params):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        train, test = _part_split(spark, sf_dir)
-        model = models.fit_regressor(train, kind, ["p_partkey", "p_size"], "p_retailprice", seed=11, **params)
-        return report.overlay_series(
-            {
-                "Test Set": (test, "p_partkey", "p_retailprice"),
-                "Predictions": (models.score(model, test), "p_partkey", "predict"),
-            }
+        part = split.with_key_split(load_table(spark, sf_dir, "part"), "p_partkey", buckets=4, test_buckets=(0,))
+        model = models.fit_regressor(
+            part.where("part = 'train'"), kind, ["p_partkey", "p_size"], "p_retailprice", seed=11, **params
         )
+        series = report.scored_series(
+            models.score(model, part),
+            "p_partkey",
+            {"train": {"Training Set": "p_retailprice", "Regression": "predict"}, "test": {"Test Set": "p_retailprice", "Predictions": "predict"}},
+        )
+        return series.withColumn("y", F.round("y", 4))
 
-    run.__doc__ = f"Reference regression program with {kind}: fit on the key split, actual vs predicted on the test part."
+    run.__doc__ = (
+        f"Reference regression program with {kind}: fit on the key split, then training points, the model "
+        "there, test points and predictions, from one scoring of the table."
+    )
     return run
 
 
@@ -723,4 +871,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_table": q_forecast_table,
     "training_history": q_training_history,
     "forecast_events_carry": q_forecast_events_carry,
+    "null_key_frames": q_null_key_frames,
+    "null_key_minmax": q_null_key_minmax,
+    "null_metrics": q_null_metrics,
+    "random_split_cover": q_random_split_cover,
+    "model_roundtrip": q_model_roundtrip,
+    "preview_rows": q_preview_rows,
+    "kmeans_segments_check": q_kmeans_segments_check,
+    "kmeans_embeddings_check": q_kmeans_embeddings_check,
+    "forest_is_mean_of_trees": q_forest_is_mean_of_trees,
+    "forecast_check": q_forecast_check,
+    "forecast_overlay": q_forecast_overlay,
+    "training_check": q_training_check,
+    "lineitem_training": q_lineitem_training,
 }

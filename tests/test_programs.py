@@ -53,7 +53,7 @@ def test_regress_linear_series(spark, tmp_path):
 def test_regress_levels_tree_and_forest(spark, tmp_path):
     rows = [(f"Job{i}", float(i), 45000.0 * 1.6 ** (i - 1)) for i in range(1, 11)]
     train = _write(tmp_path, "pos_train.csv", "Position,Level,Salary", rows)
-    test = _write(tmp_path, "pos_test.csv", "Position,Level,Salary", [("Region Manager", 6.5, 165000.0)])
+    test = _write(tmp_path, "pos_test.csv", "Position,Level,Salary", [("Between", 3.25, 70000.0)])
     out = programs.regress_levels(spark, train, test, grid_step=0.1)
     assert out.where(F.col("series") == "Decision Tree Regression").count() == 91
     forest = programs.regress_levels(spark, train, test, "random_forest", grid_step=0.5, numTrees=5)
@@ -132,7 +132,7 @@ def test_command_line_segment_regress_levels(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "r" / "series")).select("series").distinct().count() == 4
     rows = [(f"Job{i}", float(i), 45000.0 * 1.6 ** (i - 1)) for i in range(1, 11)]
     train = _write(tmp_path, "lv_train.csv", "Position,Level,Salary", rows)
-    test = _write(tmp_path, "lv_test.csv", "Position,Level,Salary", [("x", 6.5, 165000.0)])
+    test = _write(tmp_path, "lv_test.csv", "Position,Level,Salary", [("x", 3.25, 70000.0)])
     main(["levels", "--train", train, "--test", test, "--grid-step", "0.5", "--output", str(tmp_path / "l")])
     assert spark.read.parquet(str(tmp_path / "l" / "series")).count() == 10 + 19 + 1
 
