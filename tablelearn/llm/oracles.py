@@ -1,4 +1,31 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express.
+
+The others run models, tokenizers or hash-based sampling; they are tested against brute
+force, exact round trips or held-out accuracy."""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
+
+OP4 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) AS s FROM w WHERE len(words) >= 2
+    UNION ALL SELECT doc_id, words[1] FROM w WHERE len(words) = 1)),
+sizes AS (SELECT w.doc_id, count(s) AS n FROM w LEFT JOIN shingles ON w.doc_id = shingles.doc_id GROUP BY 1),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sizes
+  UNION SELECT reach.doc_id, edges.y FROM reach JOIN edges ON reach.other = edges.x)
+SELECT r.doc_id, any_value(sizes.n) AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
+FROM reach r JOIN sizes ON r.doc_id = sizes.doc_id GROUP BY r.doc_id
+"""
 
 OP6 = r"""
 WITH lines AS (
@@ -21,4 +48,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL = {"op6_line_dedup": OP6}
+# Every pair whose question and answer runs are found is retrieved by the passage search.
+OP8 = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+cuts AS (
+  SELECT item_id, words, len(words) AS n, least(5, len(words)) AS width,
+         coalesce(list_max(list_filter(range(1, len(words)), lambda k: words[k][-1] IN ('.', '!', '?'))), greatest(1, 2 * len(words) // 3)) AS cut
+  FROM items WHERE len(words) > 0),
+parts AS (
+  SELECT item_id, 'q' AS part, width, words[1:greatest(cut, width)] AS words FROM cuts
+  UNION ALL SELECT item_id, 'a', width, words[least(cut, n - width) + 1:] FROM cuts),
+runs AS (
+  SELECT DISTINCT item_id, part, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS run
+  FROM parts),
+held AS (
+  SELECT DISTINCT doc_id, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS run
+  FROM (SELECT doc_id, {_WORDS} AS words FROM documents), (SELECT DISTINCT width FROM cuts)),
+totals AS (SELECT item_id, part, count(*) AS n FROM runs GROUP BY 1, 2),
+found AS (
+  SELECT doc_id, item_id, part, count(*) AS n
+  FROM runs JOIN held ON runs.run = held.run AND runs.width = held.width GROUP BY 1, 2, 3),
+shares AS (SELECT doc_id, f.item_id, f.part, f.n / t.n AS share FROM found f JOIN totals t ON f.item_id = t.item_id AND f.part = t.part)
+SELECT q.doc_id, q.item_id, q.share AS question_overlap, a.share AS answer_overlap
+FROM shares q JOIN shares a ON q.doc_id = a.doc_id AND q.item_id = a.item_id AND q.part = 'q' AND a.part = 'a'
+WHERE q.share >= 0.6 AND a.share >= 0.6
+"""
+
+ORACLE_SQL = {
+    "op4_minhash_near_dedup": OP4,
+    "op6_line_dedup": OP6,
+    "op8_decontamination": OP8,
+}

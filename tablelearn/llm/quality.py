@@ -127,7 +127,7 @@ def _word_vectors(sample: DataFrame, known: dict[str, int], tag: str) -> np.ndar
                     np.add.at(total, ids[k:], near[:-k])
                     np.add.at(total, ids[:-k], near[k:])
         used = np.flatnonzero(np.abs(total[:-1]).sum(1))
-        yield pd.DataFrame({"id": used, "v": list(total[used])})
+        yield pd.DataFrame({"id": used, "v": pd.Series(list(total[used]), dtype=object)})
 
     parts = sample.select("text").mapInPandas(run, "id long, v array<float>")
     sums = parts.groupBy("id").agg(*[F.sum(F.col("v")[k]).alias(f"c{k}") for k in range(DIM)]).collect()
@@ -147,7 +147,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
 
     def run(frames):
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "x": list(model.features(frame["text"]))})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "x": pd.Series(list(model.features(frame["text"])), dtype=object, index=frame.index)})
 
     rows = sample.select("doc_id", "text", F.col("label").cast("double")).mapInPandas(
         run, "doc_id long, label double, x array<float>"

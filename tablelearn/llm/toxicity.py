@@ -261,7 +261,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS)
 
     def describe(frames):
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "x": [model.features(t) for t in frame["text"]]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "x": pd.Series([model.features(t) for t in frame["text"]], dtype=object, index=frame.index)})
 
     rows = sample.mapInPandas(describe, "doc_id long, label int, x array<double>").orderBy("doc_id").toPandas()
     y = rows["label"].to_numpy(float)
