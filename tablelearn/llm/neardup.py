@@ -4,11 +4,18 @@ A document's set is its distinct ``shingle``-word runs. Every shingle gets a pla
 circle of ``UNIVERSE`` places by a first permutation; a second permutation ranks the places.
 Signature coordinate ``k`` is the smallest rank after shifting the second permutation by
 ``k`` places, so two permutations make all coordinates. Bands of coordinates are hashed to
-buckets. Inside a bucket documents are first compared with one member (the smallest id, then
-the largest), and only members that are still in different components are compared with each
-other. Every link is confirmed on the full sets: ``100 * intersection >= 80 * union``.
-No bucket, partner or candidate is capped. The default bands miss a pair at similarity 0.8
-with probability (1 - 0.8^5)^40, about 1e-7.
+buckets. The default bands miss a pair at similarity 0.8 with probability
+(1 - 0.8^8)^64, below 1e-5, and one at 0.85 with 1e-9.
+
+Inside a bucket nothing is paired with everything. Members are first compared with the
+smallest id; then, in ``ROUNDS`` rounds, members outside the bucket's smallest component are
+compared with one of its documents, another one in every bucket and round. What is still apart
+after that is compared in full, never two members of one component: pair by pair in small
+buckets; in larger ones blocks of the members outside the smallest component meet chunks of
+all members in bounded tasks, which return links only. Before that a pair is dropped unread when the sizes rule the threshold out, or when the sketches (one bit of each of
+256 coordinates) differ in more places than a pair at the threshold does with probability
+1 - 1e-9. Every link is confirmed on the full sets: ``100 * intersection >= 80 * union``. No
+bucket, partner or candidate is capped.
 
 Equal sets form one class and are linked without comparison. Components are found by
 alternating large-star / small-star rounds on written tables.
@@ -24,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
@@ -32,11 +40,16 @@ from pyspark.sql import functions as F
 
 from tablelearn.llm.common import worker_cache
 from tablelearn.llm.wordsets import mix, shingle_set
+from tablelearn.operators.joins import join_small
 from tablelearn.session import materialize
 
 UNIVERSE = 1 << 18
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 64, 8
 THRESHOLD = 80  # per cent
+ROUNDS = 2
+SMALL_BUCKET = 16  # members up to which what is apart is compared pair by pair
+BLOCK, CHUNK = 256, 512  # rows that meet in one task in larger buckets
+SKETCH = 256  # coordinates that give a bit to the sketch
 
 
 def _permutations(width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,41 +78,53 @@ def band_buckets(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sketch(signature: np.ndarray) -> np.ndarray:
+    """The lowest bits of the first ``SKETCH`` coordinates in four 64-bit words (fewer
+    coordinates repeat)."""
+    return np.packbits(np.resize(signature, SKETCH) & 1).view(np.int64)
+
+
+def sketch_limit(threshold: int, coordinates: int) -> int:
+    """Differing sketch bits that a pair at the threshold exceeds with probability 1e-9 or less
+    (mean and six deviations; repeated coordinates count once)."""
+    own = min(SKETCH, coordinates)
+    p = (1 - threshold / 100) / 2
+    return int(np.ceil(SKETCH * (p + 6 * np.sqrt(p * (1 - p) / own))))
+
+
+_SIGNATURE = "doc_id long, n_shingles long, k1 long, k2 long, s0 long, s1 long, s2 long, s3 long, buckets array<long>"
+
+
 def signatures(docs: DataFrame, shingle: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, k1, k2 (hash of the set), buckets`` of every row."""
+    """``doc_id, n_shingles, k1, k2 (hash of the set), s0 .. s3 (sketch), buckets`` of every row."""
+    names = [c.split()[0] for c in _SIGNATURE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for start in range(0, len(batch), 2000):
-                sizes, k1, k2, buckets = [], [], [], []
-                for text in texts.slice(start, 2000):
+                part = texts.slice(start, 2000)
+                numbers = np.zeros((7, len(part)), np.int64)
+                buckets = []
+                for k, text in enumerate(part):
                     items = shingle_set(text.as_py(), shingle)
-                    key = xxhash.xxh3_128_digest(items.tobytes())
-                    a, b = np.frombuffer(key, np.int64)
-                    sizes.append(len(items))
-                    k1.append(a)
-                    k2.append(b)
-                    buckets.append(
-                        band_buckets(circulant_signature(items, bands * rows), bands, rows) if len(items) else None
-                    )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(start, 2000).cast(pa.int64()),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(k1, pa.int64()),
-                        pa.array(k2, pa.int64()),
-                        pa.array(buckets, pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "n_shingles", "k1", "k2", "buckets"],
-                )
-
-    schema = "doc_id long, n_shingles long, k1 long, k2 long, buckets array<long>"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
-
-
-def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """``id, items (sorted 64-bit hashes as bytes)`` of the documents named by ``ids``."""
+                    numbers[0, k] = len(items)
+                    numbers[1:3, k] = np.frombuffer(xxhash.xxh3_128_digest(items.tobytes()), np.int64)
+                    if len(items):
+                        signature = circulant_signature(items, bands * rows)
+                        numbers[3:, k] = sketch(signature)
+                        buckets.append(band_buckets(signature, bands, rows))
+                    else:
+                        buckets.append(None)
+                columns = [ids.slice(start, 2000).cast(pa.int64()), *map(pa.array, numbers), pa.array(buckets, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SIGNATURE)
+
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """``id, items (sorted 64-bit hashes as bytes)`` of the documents named by ``ids``, written
+    once. The ids are broadcast while they are small, so texts are not shuffled then."""
 
     def run(batches):
         for batch in batches:
@@ -108,14 +133,13 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 items = [shingle_set(t.as_py(), shingle).tobytes() for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(items, pa.binary())], names=["id", "items"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return wanted.mapInArrow(run, "id long, items binary")
+    texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), "text")
+    wanted = join_small(texts, ids, on=["id"]).select("id", "text")
+    return materialize(wanted.mapInArrow(run, "id long, items binary"), "shingle-sets")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, shingle: int, threshold: int = THRESHOLD) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The distinct pairs ``a, b`` whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialize(_sets(docs, ids, shingle), "shingle-sets")
 
     def run(batches):
         for batch in batches:
@@ -153,13 +177,63 @@ def components(edges: DataFrame) -> DataFrame:
         e = materialize(moved.unionByName(low.select("hi", F.col("m").alias("lo"))).distinct(), "small-star")
 
 
-def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of buckets that still hold more than one component, with their component."""
+def _apart(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """``bucket, rep, component, c0`` of members of buckets that hold more than one component;
+    ``c0`` is the smallest component there."""
     c = comps.select(F.col("node").alias("rep"), "component")
-    m = members.join(c, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    m = members.select("bucket", "rep").join(c, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     m = materialize(m, "labelled-members")
     mixed = m.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
-    return m.join(materialize(mixed.select("bucket"), "mixed"), "bucket")
+    return materialize(m.join(materialize(mixed.select("bucket", "c0"), "mixed"), "bucket"), "apart")
+
+
+def _alike(pairs: DataFrame, sizes: DataFrame, threshold: int, limit: int) -> DataFrame:
+    """Pairs that sizes and sketches do not rule out."""
+    x = sizes.select(F.col("id").alias("a"), F.col("n").alias("n0"), *[F.col(f"s{k}").alias(f"x{k}") for k in range(4)])
+    y = sizes.select(F.col("id").alias("b"), F.col("n").alias("n1"), *[F.col(f"s{k}").alias(f"y{k}") for k in range(4)])
+    differ = sum((F.bit_count(F.col(f"x{k}").bitwiseXOR(F.col(f"y{k}"))) for k in range(4)), F.lit(0))
+    near = F.expr(f"100 * least(n0, n1) >= {threshold} * greatest(n0, n1)") & (differ <= limit)
+    return pairs.join(x, "a").join(y, "b").filter(near).select("a", "b")
+
+
+def _block_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links ``a, b`` between members of different components of the same bucket.
+
+    ``members``: ``bucket, rep, component, c0, m (members), o (members outside c0)``. The
+    outsiders are dealt to blocks of about ``BLOCK`` and all members to chunks of about
+    ``CHUNK``; every block of a bucket meets every chunk of it in a task of its own."""
+    one = members.withColumn("blocks", F.ceil(F.col("o") / BLOCK).cast("int")).withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
+    dealt = lambda n: F.pmod(F.xxhash64("rep", F.lit(5)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    outside = one.filter("component <> c0").select("bucket", "rep", "component", F.lit(True).alias("ask"), dealt("blocks").alias("block"), every("chunks").alias("chunk"))
+    inside = one.select("bucket", "rep", "component", F.lit(False).alias("ask"), every("blocks").alias("block"), dealt("chunks").alias("chunk"))
+    rows = outside.unionByName(inside).join(sets.withColumnRenamed("id", "rep"), "rep")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        items = [np.frombuffer(v, np.uint64) for v in frame["items"]]
+        rep, comp = frame["rep"].to_numpy(np.int64), frame["component"].to_numpy(np.int64)
+        ask = np.flatnonzero(frame["ask"].to_numpy(bool))
+        others = np.flatnonzero(~frame["ask"].to_numpy(bool))
+        sizes = np.array([len(v) for v in items])
+        found = []
+        # As many askers at a time as keep the incidence table below 32 MB.
+        step = max(1, min(BLOCK, (1 << 25) // max(1, int(sizes[ask].sum()) if len(ask) else 1)))
+        for start in range(0, len(ask), step):
+            some = ask[start : start + step]
+            known = np.unique(np.concatenate([items[k] for k in some]))
+            has = np.zeros((len(known), len(some)), np.uint8)
+            for column, k in enumerate(some):
+                has[np.searchsorted(known, items[k]), column] = 1
+            for y in others:
+                at = np.searchsorted(known, items[y])
+                at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == items[y])]
+                both = has[at].sum(0, dtype=np.int64)
+                near = 100 * both >= threshold * (sizes[some] + sizes[y] - both)
+                for k in some[near & (comp[some] != comp[y])]:
+                    found.append((min(rep[k], rep[y]), max(rep[k], rep[y])))
+        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("bucket", "block", "chunk").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -172,41 +246,60 @@ def near_duplicates(
     classes = filled.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     classes = materialize(classes, "set-classes")
     reps = filled.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"])
-    entries = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("buckets").alias("bucket"))
+    entries = materialize(reps.select(F.col("doc_id").alias("rep"), F.explode("buckets").alias("bucket")), "bucket-entries")
     leads = entries.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi")
-    members = materialize(entries.join(materialize(leads, "bucket-leads"), "bucket"), "members")
-
-    near_size = F.expr(f"100 * least(n, m) >= {threshold} * greatest(n, m)")
-    sizes = materialize(members.select(F.col("rep").alias("id"), F.col("n").alias("m")).distinct(), "sizes")
-
-    def with_size(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes alone allow the threshold; ``n`` is the size of ``b``."""
-        return pairs.join(sizes, pairs["a"] == sizes["id"]).filter(near_size).select("a", "b")
-
-    star = members.filter("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b"), "n").distinct()
-    checked = materialize(with_size(star), "pairs")
-    links = materialize(verify(docs, checked, shingle, threshold), "links")
+    leads = materialize(leads.select("bucket", "lo"), "bucket-leads")
+    members = materialize(entries.join(leads, "bucket"), "members")
+    ids = materialize(members.select(F.col("rep").alias("id")).distinct(), "candidates")
+    described = filled.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), *[f"s{k}" for k in range(4)])
+    sizes = materialize(described.join(ids, "id", "left_semi").dropDuplicates(["id"]), "candidate-sketches")
+    sets = shingle_sets(docs, ids, shingle)
+    limit = sketch_limit(threshold, bands * rows)
+
+    # Every document with the smallest one of each of its buckets.
+    star = members.filter("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
+    checked = materialize(_alike(star, sizes, threshold, limit), "pairs")
+    links = materialize(verify(checked, sets, threshold), "links")
     comps = components(links)
 
-    rest = _labelled(members, comps)
-    star = rest.filter("rep <> hi").select(F.col("hi").alias("a"), F.col("rep").alias("b"), "n").distinct()
-    star = with_size(star).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    star = materialize(star.distinct().join(checked, ["a", "b"], "left_anti"), "pairs")
-    if star.take(1):
-        more = materialize(verify(docs, star, shingle, threshold), "links")
-        checked, links = checked.unionByName(star), links.unionByName(more)
+    def compare(pairs: DataFrame) -> bool:
+        """Check pairs that are new; whether any link was found."""
+        nonlocal checked, links, comps
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        new = _alike(ordered.join(checked, ["a", "b"], "left_anti"), sizes, threshold, limit)
+        new = materialize(new, "pairs")
+        found = materialize(verify(new, sets, threshold), "links")
+        checked = checked.unionByName(new)
+        if not found.take(1):
+            return False
+        links = links.unionByName(found)
+        comps = components(links)
+        return True
+
+    apart = _apart(members, comps)
+    for turn in range(ROUNDS):
+        inside = apart.filter("component = c0").groupBy("bucket").agg(
+            F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(turn)).alias("h"), F.col("rep"))).alias("m")
+        )
+        inside = materialize(inside.select("bucket", F.col("m.rep").alias("a")), "insiders")
+        outside = apart.filter("component <> c0").select("bucket", F.col("rep").alias("b"))
+        if compare(outside.join(inside, "bucket").select("a", "b")):
+            apart = _apart(members, comps)
+
+    # What is still apart inside a bucket is compared in full. Buckets of two are done.
+    held = apart.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("m"), F.sum((F.col("component") != F.col("c0")).cast("long")).alias("o")
+    )
+    held = materialize(held.filter("m > 2"), "apart-buckets")
+    small = apart.join(held.filter(F.col("m") <= SMALL_BUCKET), "bucket")
+    x = small.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"))
+    y = small.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"))
+    compare(x.join(y, (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b"))
+    large = apart.join(held.filter(F.col("m") > SMALL_BUCKET), "bucket")
+    more = materialize(_block_links(large, sets, threshold), "links")
+    if more.take(1):
+        links = links.unionByName(more)
         comps = components(links)
-
-    # What is still apart inside a bucket is compared pair by pair, but never two members of
-    # one component.
-    rest = materialize(_labelled(members, comps), "apart")
-    x = rest.select("bucket", F.col("rep").alias("a"), F.col("n").alias("m"), F.col("component").alias("ca"))
-    y = rest.select("bucket", F.col("rep").alias("b"), "n", F.col("component").alias("cb"))
-    cross = x.join(y, "bucket").filter("a < b and ca <> cb").filter(near_size).select("a", "b").distinct()
-    cross = materialize(cross.join(checked, ["a", "b"], "left_anti"), "pairs")
-    if cross.take(1):
-        more = materialize(verify(docs, cross, shingle, threshold), "links")
-        comps = components(links.unionByName(more))
 
     c = comps.select(F.col("node").alias("rep"), "component")
     # A rep's row count is that of its class, so the small class table is labelled first.
