@@ -6,6 +6,8 @@ the words it has met."""
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 
 from tablelearn.llm.common import worker_cache
@@ -19,37 +21,44 @@ def vocabulary_path(name: str = VOCABULARY_FILE) -> str:
     return public_tokenizers.path(name)
 
 
-def _split_word(word: bytes) -> tuple[bytes, bytes]:
-    """A word as the part that decides its ids and a comma or full stop that is a token of
-    its own; capitals of plain ASCII words do not matter. Both spare most new words."""
-    end = b""
-    if len(word) > 1 and word[-1] in b".," and word[:-1].isascii() and word[-2:-1].isalnum():
-        word, end = word[:-1], word[-1:]
-    if word.isascii() and b"<|" not in word:
-        word = word.lower()
-    return word, end
+_SIGNS = re.compile(rb"(?<=[a-z0-9])[!-&(-/:-@\[-`{-~]+(?=[\x20\x09-\x0D])")
+_PLAIN = re.compile(rb"[a-z]+").fullmatch
+
+
+def _words(text: str) -> list[bytes]:
+    """Space-separated words. ASCII signs (but the apostrophe) between a letter or digit and white
+    space are split from the word by the tokenizer, and capitals do not matter: both are evened
+    out here, which spares most new words. Texts
+    with special tokens or combining marks (which may belong to a capital) stay as they are."""
+    data = text.encode("utf-8", "replace")
+    if b"<|" not in data and b"\xcc" not in data and b"\xcd" not in data:
+        data = _SIGNS.sub(rb" \g<0>", data.lower())
+    return data.split()
 
 
 class _WordIds(dict):
     """``word (bytes) -> its ids as little-endian 32-bit numbers``, emptied at ``limit`` words."""
 
-    def __init__(self, path: str, limit: int = 500_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, limit: int = 800_000):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         super().__init__()
         self.limit = limit
         self.tokenizer = Tokenizer.from_file(path)
+        # Words of a-z only need neither normalising nor splitting.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for w, k in vocabulary.items() if w.endswith("</w>")]] = True
-        self.sign = {b".": self._one("."), b",": self._one(","), b"": b""}
 
     def _one(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, words: list[str]) -> list[bytes]:
+    def _together(self, words: list[str], tokenizer) -> list[bytes]:
         """Ids of words of letters only, encoded as one text: each ends with an end-of-word id."""
-        ids = np.asarray(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ids = np.asarray(tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words) or (len(ids) and cuts[-1] != len(ids)):
             return [self._one(w) for w in words]
@@ -60,29 +69,27 @@ class _WordIds(dict):
         """Make sure that all of ``words`` have entries."""
         if len(self) + len(words) > self.limit:
             self.clear()
-        parts = {w: _split_word(w) for w in words if w not in self}
-        known = {}
-        new = list({base for base, _ in parts.values()})
-        letters = []
-        for base in new:
-            if base in self:
-                known[base] = self[base]
+        plain, letters = [], []
+        for word in words:
+            if word in self:
+                continue
+            if _PLAIN(word):
+                plain.append(word)
                 continue
-            text = base.decode("utf-8", "replace")
+            text = word.decode("utf-8", "replace")
             if text.isalpha() and text.lower().isalpha():
-                letters.append((base, text))
+                letters.append(word)
             else:
-                known[base] = self._one(text)
-        for k in range(0, len(letters), 1000):
-            some = letters[k : k + 1000]
-            known.update(zip([b for b, _ in some], self._letters([t for _, t in some]), strict=True))
-        for word, (base, end) in parts.items():
-            self[word] = known[base] + self.sign[end]
+                self[word] = self._one(text)
+        for some, tokenizer in ((plain, self.plain), (letters, self.tokenizer)):
+            for k in range(0, len(some), 1000):
+                part = some[k : k + 1000]
+                self.update(zip(part, self._together([w.decode() for w in part], tokenizer), strict=True))
 
 
 def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     """Ids of whole texts, 4 little-endian bytes each id."""
     ids = worker_cache("word_ids_" + path, lambda: _WordIds(path))
-    words = [(t or "").encode("utf-8", "replace").split() for t in texts]
+    words = [_words(t or "") for t in texts]
     ids.learn(set().union(*words))
     return [b"".join(map(ids.__getitem__, w)) for w in words]
