@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tablelearn.operators import sequence, split
 
@@ -156,3 +157,31 @@ def test_numbering_ignores_input_partitioning_and_breaks_ties_by_values(spark):
     assert runs[0] == runs[1] == runs[2]
     ordered = [(t, v) for _, t, v in runs[0]]
     assert ordered == sorted(ordered)  # idx follows (t, then v)
+
+
+def test_rows_tied_on_the_order_are_spread(spark, monkeypatch):
+    stored, write = [], sequence.materialize
+    monkeypatch.setattr(sequence, "materialize", lambda df, name: stored.append(write(df, name)) or stored[-1])
+    tied = spark.range(20_000).select(F.lit("k").alias("key"), F.lit(1).alias("t"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = sequence.number_rows(tied, "t", "key", num_partitions=8)
+        assert out.select("idx").distinct().count() == 20_000
+        assert out.where("idx <> v").count() == 0
+        assert stored[0].select("_pid").distinct().count() > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_series_with_a_null_key_has_frames(spark):
+    rows = [(k, t, float(t)) for k in ("a", None) for t in range(10)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    frames = sequence.sliding_frames(df, "t", ["v"], 3, key="k")
+    assert {r["k"]: r["count"] for r in frames.groupBy("k").count().collect()} == {"a": 7, None: 7}
+
+
+def test_unused_frame_arrays_are_pruned(spark, tmp_path):
+    spark.range(100).select("id", F.col("id").cast("double").alias("v")).write.parquet(str(tmp_path / "s"))
+    frames = sequence.sliding_frames(spark.read.parquet(str(tmp_path / "s")), "id", ["v"], 5)
+    plan = frames.select("frame_idx", "n_frames")._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
