@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +32,21 @@ def lower_ascii(text: Column) -> Column:
 
 
 def worker_cache(name: str, make):
-    """A value kept for the life of a Python worker. Library functions travel inside task
-    closures, so their module globals are new in every task; this is not."""
+    """A value kept between the tasks of a Python worker. Library functions travel inside task
+    closures, so their module globals are new in every task; this is not. When a value is
+    made, those that the running task has not used are dropped, so what earlier operators or
+    models left does not add up."""
     state = sys.modules.setdefault("_tablelearn_worker_state", types.ModuleType("_tablelearn_worker_state"))
-    if not hasattr(state, name):
-        setattr(state, name, make())
-    return getattr(state, name)
+    held = state.__dict__.setdefault("held", {})
+    context = TaskContext.get()
+    task = context.taskAttemptId() if context else None
+    if name not in held:
+        for other in [k for k, (used, _) in held.items() if used != task]:
+            del held[other]
+        held[name] = (task, make())
+    value = held[name][1]
+    held[name] = (task, value)
+    return value
 
 
 class WordCache(dict):

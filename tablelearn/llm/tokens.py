@@ -39,7 +39,7 @@ def _words(text: str) -> list[bytes]:
 class _WordIds(dict):
     """``word (bytes) -> its ids as little-endian 32-bit numbers``, emptied at ``limit`` words."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         super().__init__()
