@@ -44,6 +44,7 @@ SHINGLE = 5
 BLOCK = 16
 SHARD = 20_000
 K1, B = 1.2, 0.75
+_DENSE = 1 << 21  # tables up to this size replace sorting
 _EDGE = re.compile(rb"^[^0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff]+$")
 
 
@@ -61,6 +62,33 @@ def _ragged(starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first + np.arange(len(owner)), owner
 
 
+def _distinct(keys: np.ndarray, size: int) -> np.ndarray:
+    """Sorted distinct ``keys`` below ``size``."""
+    if size > _DENSE:
+        return np.unique(keys)
+    flags = np.zeros(size, bool)
+    flags[keys] = True
+    return np.flatnonzero(flags)
+
+
+def _sums(keys: np.ndarray, weights: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``keys`` below ``size`` and the sums of their (positive) weights."""
+    if size > _DENSE:
+        found, inverse = np.unique(keys, return_inverse=True)
+        return found, np.bincount(inverse, weights)
+    sums = np.bincount(keys, weights, size)
+    found = np.flatnonzero(sums)
+    return found, sums[found]
+
+
+def _member(keys: np.ndarray, chosen: np.ndarray, size: int) -> np.ndarray:
+    if size > _DENSE:
+        return np.isin(keys, chosen)
+    flags = np.zeros(size, bool)
+    flags[chosen] = True
+    return flags[keys]
+
+
 @dataclass
 class ItemIndex:
     """Inverted index of one shard of test items (see the module text)."""
@@ -93,7 +121,8 @@ class ItemIndex:
         place = (at // STRIDE)[:, None] - np.arange(over)
         passage = np.maximum(place, 0).ravel()
         width = len(self.top)
-        pairs = np.unique(passage * width + np.repeat(ids[at], over))
+        count = int(passage.max()) + 1
+        pairs = _distinct(passage * width + np.repeat(ids[at], over), count * width)
         passage, term = pairs // width, pairs % width
         bound = np.bincount(passage, self.top[term])
         use = bound[passage] >= self.need.min()
@@ -103,16 +132,15 @@ class ItemIndex:
         n_blocks, n_items = len(self.block_need), len(self.need)
         entry, owner = _ragged(self.block_starts, term)
         key = passage[owner] * n_blocks + self.blocks[entry]
-        cells, inverse = np.unique(key, return_inverse=True)
-        open_cells = cells[np.bincount(inverse, self.block_top[entry]) >= self.block_need[cells % n_blocks]]
+        cells, bounds = _sums(key, self.block_top[entry], count * n_blocks)
+        open_cells = cells[bounds >= self.block_need[cells % n_blocks]]
         if not len(open_cells):
             return open_cells
         entry, owner = _ragged(self.starts, term)
         cell = passage[owner] * n_blocks + self.items[entry] // BLOCK
-        use = np.isin(cell, open_cells)
+        use = _member(cell, open_cells, count * n_blocks)
         entry, owner = entry[use], owner[use]
-        scored, inverse = np.unique(passage[owner] * n_items + self.items[entry], return_inverse=True)
-        score = np.bincount(inverse, self.impacts[entry])
+        scored, score = _sums(passage[owner] * n_items + self.items[entry], self.impacts[entry], count * n_items)
         return np.unique(scored[score >= self.need[scored % n_items]] % n_items)
 
     def matches(self, text: str | None) -> list[tuple[int, float, float]]:
