@@ -14,6 +14,10 @@ question's runs and of the answer's runs found there must both reach ``OVERLAP``
 answer is its last sentence and its question what comes before; an item of one sentence is
 cut at two thirds of its words. A part with fewer than five words takes words of the other
 part next to it; an item with fewer than five words in all must appear as one run.
+``contaminated`` reports the pairs of this rule, which its SQL states. ``drop_contaminated``
+also removes a document that holds an item on words without punctuation at their ends, where a
+short answer takes words of the question with it until it has ``ANSWER_RUNS`` runs: signs
+stuck to a copy or a touched last word do not hide it.
 
 The items are read in shards of at most ``SHARD`` items, so what a task holds is bounded.
 
@@ -41,6 +45,7 @@ PASSAGE, STRIDE = 64, 32
 RECALL_SHARE = 0.5
 OVERLAP = 0.6
 SHINGLE = 5
+ANSWER_RUNS = 5
 BLOCK = 16
 SHARD = 20_000
 K1, B = 1.2, 0.75
@@ -105,14 +110,22 @@ class ItemIndex:
     block_top: np.ndarray
     need: np.ndarray  # item -> threshold
     block_need: np.ndarray
-    question: list[np.ndarray]
-    answer: list[np.ndarray]
+    question: list[tuple[int, np.ndarray]]
+    answer: list[tuple[int, np.ndarray]]
+    bare_question: list[tuple[int, np.ndarray]]
+    bare_answer: list[tuple[int, np.ndarray]]
+
+    def term_ids(self, text: str) -> np.ndarray:
+        """For every word its number in the vocabulary, -1 for others, -2 for words of signs only."""
+        known = worker_cache("bm25_" + self.tag, lambda: WordCache(lambda w: _term_id(self.vocabulary, w)))
+        words = text.encode("utf-8", "surrogatepass").lower().split()
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def retrieve(self, text: str) -> np.ndarray:
         """Numbers of the items for which some passage of the text reaches the threshold."""
-        known = worker_cache("bm25_" + self.tag, lambda: WordCache(lambda w: self.vocabulary.get(_EDGE.sub(b"", w), -1)))
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return self._retrieve(self.term_ids(text))
+
+    def _retrieve(self, ids: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(ids >= 0)
         if not len(at):
             return at
@@ -147,13 +160,27 @@ class ItemIndex:
         """``item_id, question overlap, answer overlap`` of the verified items."""
         if not text:
             return []
-        found, out = self.retrieve(text), []
+        return self._verified(self._retrieve(self.term_ids(text)), word_hashes, text, self.question, self.answer)
+
+    def holds(self, text: str | None) -> bool:
+        """Whether some item is verified, by its words or by its words without signs at their ends."""
+        if not text:
+            return False
+        ids = self.term_ids(text)
+        found = self._retrieve(ids)
+        return bool(
+            self._verified(found, word_hashes, text, self.question, self.answer)
+            or self._verified(found, _bare_hashes, ids, self.bare_question, self.bare_answer)
+        )
+
+    def _verified(self, found: np.ndarray, hashed, text, question: list, answer: list) -> list[tuple[int, float, float]]:
+        out = []
         if len(found):
-            hashes = word_hashes(text)
+            hashes = hashed(text)
             by_size: dict[int, np.ndarray] = {}
             for k in found:
                 part = []
-                for width, runs in (self.question[k], self.answer[k]):
+                for width, runs in (question[k], answer[k]):
                     if width not in by_size:
                         by_size[width] = np.unique(shingles(hashes, width)) if len(hashes) >= width else np.empty(0, np.uint64)
                     part.append(float(np.isin(runs, by_size[width]).mean()))
@@ -162,19 +189,47 @@ class ItemIndex:
         return out
 
 
+def _term_id(vocabulary: dict[bytes, int], word: bytes) -> int:
+    term = _EDGE.sub(b"", word)
+    return vocabulary.get(term, -1) if term else -2
+
+
+def _bare_hashes(ids: np.ndarray) -> np.ndarray:
+    """Words without signs at their ends as input of ``shingles``; words of signs only are left out."""
+    return ids[ids != -2].astype(np.uint64)
+
+
+def _cut(words: list[bytes]) -> int:
+    """Number of words of an item's question."""
+    ends = [k + 1 for k, w in enumerate(words[:-1]) if w[-1:] in b".!?"]
+    return ends[-1] if ends else max(1, 2 * len(words) // 3)
+
+
 def _parts(text: str) -> tuple[tuple[int, np.ndarray], tuple[int, np.ndarray]]:
     """Run width and runs of an item's question and answer."""
     hashes = word_hashes(text)
     words = text.encode("utf-8", "surrogatepass").split()
-    n = len(words)
-    ends = [k + 1 for k, w in enumerate(words[:-1]) if w[-1:] in b".!?"]
-    cut = ends[-1] if ends else max(1, 2 * n // 3)
+    n, cut = len(words), _cut(words)
     width = min(SHINGLE, n)
     question = hashes[: max(cut, width)]
     answer = hashes[min(cut, n - width) :]
     return (width, np.unique(shingles(question, width))), (width, np.unique(shingles(answer, width)))
 
 
+def _bare_parts(text: str, vocabulary: dict[bytes, int]) -> tuple[tuple[int, np.ndarray], tuple[int, np.ndarray]]:
+    """As ``_parts``, on words without signs at their ends; the answer has ``ANSWER_RUNS`` runs
+    at least, as far as the item has them, and every run that touches it."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    ids = np.array([_term_id(vocabulary, w) for w in words])
+    cut = int((ids[: _cut(words)] != -2).sum())
+    hashes = _bare_hashes(ids)
+    n = len(hashes)
+    width = min(SHINGLE, n)
+    question = hashes[: max(cut, width)]
+    answer = hashes[max(0, min(cut - width + 1, n - width - ANSWER_RUNS + 1)) :]
+    return (width, np.unique(shingles(question, width))), (width, np.unique(shingles(answer, width)))
+
+
 def build_index(rows: list[tuple[int, str]]) -> ItemIndex | None:
     """Index of (item_id, text) rows; None if no item has a word."""
     rows = [(i, t, terms) for i, t in rows if t and (terms := _terms(t))]
@@ -208,7 +263,7 @@ def build_index(rows: list[tuple[int, str]]) -> ItemIndex | None:
     block_top = np.array([best[c] for c in cells])
     # A hair below the exact value, so that rounding never drops a pair.
     need = RECALL_SHARE * self_score[order] * (1 - 1e-9)
-    parts = [_parts(rows[k][1]) for k in order]
+    parts = [_parts(rows[k][1]) + _bare_parts(rows[k][1], vocabulary) for k in order]
     return ItemIndex(
         tag=xxhash.xxh3_64_hexdigest(repr([(r[0], r[1]) for r in rows])),
         item_ids=[rows[k][0] for k in order],
@@ -224,6 +279,8 @@ def build_index(rows: list[tuple[int, str]]) -> ItemIndex | None:
         block_need=np.minimum.reduceat(need, np.arange(0, n, BLOCK)),
         question=[p[0] for p in parts],
         answer=[p[1] for p in parts],
+        bare_question=[p[2] for p in parts],
+        bare_answer=[p[3] for p in parts],
     )
 
 
@@ -270,7 +327,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD)
             for batch in batches:
                 for k in range(0, len(batch), 1000):
                     part = batch.slice(k, 1000)
-                    yield part.filter(pa.array([not index.matches(t) for t in part.column(at).to_pylist()], pa.bool_()))
+                    yield part.filter(pa.array([not index.holds(t) for t in part.column(at).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

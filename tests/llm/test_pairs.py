@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.dataset as ds
 from helpers import SF, edge_docs, edge_rows, no_docs, pandas, table
 
 from tablelearn.llm import decontaminate, neardup, spans, wordsets
@@ -194,6 +195,22 @@ def test_decontamination_takes_awkward_rows(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_copies_with_signs_or_a_touched_end_are_dropped(spark):
+    item = "Which river runs past the old mill and the two stone bridges of the town? It is the Ilm."
+    texts = ["Before it. " + item + "&&& and more", "Before it. " + item[:-4] + "Elm. and more", "Before it. " + item[: item.index("It is")] + "Nobody knows that."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_given_copy_followed_by_signs_is_dropped():
+    """A pair of the given tables that the rule on raw words misses."""
+    docs, items = (ds.dataset(f"/root/testdata/sf0.01/{n}.parquet").to_table().to_pandas() for n in ("documents", "benchmark"))
+    index = decontaminate.build_index([tuple(r) for r in items[["item_id", "text"]].itertuples(index=False)])
+    text = docs["text"][471]
+    assert not index.matches(text) and index.holds(text)
+
+
 def test_word_rule():
     assert len(wordsets.word_hashes("A b c d\x1ce\tf\x0b\x0cg\r\nh")) == 5
     assert (wordsets.word_hashes("ÉA") == wordsets.word_hashes("Éa")).all()
