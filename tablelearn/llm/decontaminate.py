@@ -9,6 +9,10 @@ sum of its words' largest impacts stays below the smallest threshold, then each
 block-max sum stays below the block's smallest threshold, and only what is left is scored in
 full; nothing else is cut, so all pairs above the threshold are found.
 
+That score is of one passage; items longer than a passage, and items whose question and answer
+stand far apart, do not reach it. So an item is also retrieved when any of its runs of five
+words stands anywhere in the text, which every verified item does.
+
 Retrieved pairs are verified on the whole text with runs of five words: the share of the
 question's runs and of the answer's runs found there must both reach ``OVERLAP``. An item's
 answer is its last sentence and its question what comes before; an item of one sentence is
@@ -50,6 +54,8 @@ BLOCK = 16
 SHARD = 20_000
 K1, B = 1.2, 0.75
 _DENSE = 1 << 21  # tables up to this size replace sorting
+_OTHER = np.uint64(0)  # a word of no item
+_P = np.uint64(0x9E3779B97F4A7C15)
 _EDGE = re.compile(rb"^[^0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff]+$")
 
 
@@ -94,6 +100,53 @@ def _member(keys: np.ndarray, chosen: np.ndarray, size: int) -> np.ndarray:
     return flags[keys]
 
 
+def _run_keys(words: np.ndarray, width: int) -> np.ndarray:
+    """A number for every run of ``width`` words that has no word of ``_OTHER``."""
+    n = len(words) - width + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    known = words != _OTHER
+    whole = known[:n].copy()
+    for k in range(1, width):
+        whole &= known[k : n + k]
+    at = np.flatnonzero(whole)
+    keys = np.zeros(len(at), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            keys = keys * _P + words[at + k]
+    return keys
+
+
+@dataclass
+class RunIndex:
+    """For every run width of the items: sorted runs and the items that have them."""
+
+    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+    @staticmethod
+    def build(words: list[np.ndarray]) -> RunIndex:
+        rows: dict[int, list] = {}
+        for item, own in enumerate(words):
+            width = min(SHINGLE, len(own))
+            rows.setdefault(width, []).extend((k, item) for k in set(_run_keys(own, width).tolist()))
+        tables = {}
+        for width, held in rows.items():
+            held.sort()
+            keys, starts = np.unique(np.array([k for k, _ in held], np.uint64), return_index=True)
+            tables[width] = (keys, np.append(starts, len(held)), np.array([i for _, i in held]))
+        return RunIndex(tables)
+
+    def items(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of the items that share a run with the text."""
+        found = [np.empty(0, np.int64)]
+        for width, (keys, starts, items) in self.tables.items():
+            own = _run_keys(words, width)
+            if len(own):
+                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                found.append(items[_ragged(starts, np.unique(at[keys[at] == own]))[0]])
+        return np.unique(np.concatenate(found))
+
+
 @dataclass
 class ItemIndex:
     """Inverted index of one shard of test items (see the module text)."""
@@ -114,6 +167,8 @@ class ItemIndex:
     answer: list[tuple[int, np.ndarray]]
     bare_question: list[tuple[int, np.ndarray]]
     bare_answer: list[tuple[int, np.ndarray]]
+    runs: RunIndex
+    bare_runs: RunIndex
 
     def term_ids(self, text: str) -> np.ndarray:
         """For every word its number in the vocabulary, -1 for others, -2 for words of signs only."""
@@ -160,17 +215,20 @@ class ItemIndex:
         """``item_id, question overlap, answer overlap`` of the verified items."""
         if not text:
             return []
-        return self._verified(self._retrieve(self.term_ids(text)), word_hashes, text, self.question, self.answer)
+        ids = self.term_ids(text)
+        found = np.union1d(self._retrieve(ids), self.runs.items(_whole_words(ids)))
+        return self._verified(found, word_hashes, text, self.question, self.answer)
 
     def holds(self, text: str | None) -> bool:
         """Whether some item is verified, by its words or by its words without signs at their ends."""
         if not text:
             return False
         ids = self.term_ids(text)
-        found = self._retrieve(ids)
+        whole, bare = _whole_words(ids), _bare_words(ids)
+        found = np.union1d(self._retrieve(ids), np.union1d(self.runs.items(whole), self.bare_runs.items(bare)))
         return bool(
             self._verified(found, word_hashes, text, self.question, self.answer)
-            or self._verified(found, _bare_hashes, ids, self.bare_question, self.bare_answer)
+            or self._verified(found, lambda words: words, bare, self.bare_question, self.bare_answer)
         )
 
     def _verified(self, found: np.ndarray, hashed, text, question: list, answer: list) -> list[tuple[int, float, float]]:
@@ -194,9 +252,14 @@ def _term_id(vocabulary: dict[bytes, int], word: bytes) -> int:
     return vocabulary.get(term, -1) if term else -2
 
 
-def _bare_hashes(ids: np.ndarray) -> np.ndarray:
-    """Words without signs at their ends as input of ``shingles``; words of signs only are left out."""
-    return ids[ids != -2].astype(np.uint64)
+def _whole_words(ids: np.ndarray) -> np.ndarray:
+    """``term_ids`` as words of runs: ``_OTHER`` or a number of the word without signs at its ends."""
+    return np.where(ids == -2, 1, np.where(ids == -1, 0, ids + 2)).astype(np.uint64)
+
+
+def _bare_words(ids: np.ndarray) -> np.ndarray:
+    """As ``_whole_words``, but words of signs only are left out."""
+    return _whole_words(ids[ids != -2])
 
 
 def _cut(words: list[bytes]) -> int:
@@ -222,7 +285,7 @@ def _bare_parts(text: str, vocabulary: dict[bytes, int]) -> tuple[tuple[int, np.
     words = text.encode("utf-8", "surrogatepass").lower().split()
     ids = np.array([_term_id(vocabulary, w) for w in words])
     cut = int((ids[: _cut(words)] != -2).sum())
-    hashes = _bare_hashes(ids)
+    hashes = _bare_words(ids)
     n = len(hashes)
     width = min(SHINGLE, n)
     question = hashes[: max(cut, width)]
@@ -263,6 +326,7 @@ def build_index(rows: list[tuple[int, str]]) -> ItemIndex | None:
     block_top = np.array([best[c] for c in cells])
     # A hair below the exact value, so that rounding never drops a pair.
     need = RECALL_SHARE * self_score[order] * (1 - 1e-9)
+    ids = [np.array([_term_id(vocabulary, w) for w in rows[k][1].encode("utf-8", "surrogatepass").lower().split()]) for k in order]
     parts = [_parts(rows[k][1]) + _bare_parts(rows[k][1], vocabulary) for k in order]
     return ItemIndex(
         tag=xxhash.xxh3_64_hexdigest(repr([(r[0], r[1]) for r in rows])),
@@ -281,6 +345,8 @@ def build_index(rows: list[tuple[int, str]]) -> ItemIndex | None:
         answer=[p[1] for p in parts],
         bare_question=[p[2] for p in parts],
         bare_answer=[p[3] for p in parts],
+        runs=RunIndex.build([_whole_words(x) for x in ids]),
+        bare_runs=RunIndex.build([_bare_words(x) for x in ids]),
     )
 
 

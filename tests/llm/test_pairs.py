@@ -211,6 +211,22 @@ def test_given_copy_followed_by_signs_is_dropped():
     assert not index.matches(text) and index.holds(text)
 
 
+def test_items_longer_than_a_passage_are_found(spark):
+    """Also when question and answer stand far apart, and when the runs that are left are scattered."""
+    words = [f"w{k}" for k in range(300)]
+    words[219] += "?"
+    text, gap = " ".join(words), " ".join(f"gap{k}" for k in range(400))
+    halves = [" ".join(words[k : k + 12]) for k in range(0, 300, 12)]
+    texts = [f"{gap} {text} {gap}", " ".join(words[:220]) + f" {gap} " + " ".join(words[220:]), f" {gap} ".join(halves), " ".join(words[:220])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    short = " ".join(words[40:60]) + "? " + " ".join(words[100:120])
+    parted = spark.createDataFrame([(7, " ".join(words[40:60]) + f"? {gap} " + " ".join(words[100:120]))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, text), (2, short)], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect() if r["item_id"] == 1) == [(0, 1), (1, 1), (2, 1)]
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench.filter("item_id = 1")).collect()] == [3]
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(parted, bench).collect()] == [(7, 2)]
+
+
 def test_word_rule():
     assert len(wordsets.word_hashes("A b c d\x1ce\tf\x0b\x0cg\r\nh")) == 5
     assert (wordsets.word_hashes("ÉA") == wordsets.word_hashes("Éa")).all()
