@@ -21,7 +21,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that lose sentences to spans repeated in earlier documents or places."""
-    out = spans.remove_repeated(table(spark, sf_dir, "documents"))
+    out = spans.remove_repeated(table(spark, sf_dir, "documents"), whole=True)
     return out.select(
         "doc_id", "first_doc_ids", "n_sentences", "n_removed", "n_words_removed", F.sha2("kept_text", 256).alias("kept_sha256")
     )

@@ -9,6 +9,14 @@ span is the smallest ``doc_id``, and within a document its first place. Every se
 a non-first repeated span covers is removed. The last sentences of a passage stay when no span
 inside the passage needs them to reach ``MIN_WORDS``.
 
+With ``whole`` (as the query op3_substring_dedup runs it) a stop may have signs behind it and may be
+one of other scripts, and sentences are also cut at content-defined places: of every ``WINDOW``
+words in a row without a stop, behind the word with the smallest hash. Two copies of a passage
+are cut alike but for the ``WINDOW - 1`` words at its ends, and no piece has more than
+``WINDOW`` words, so every passage of 2 * WINDOW + MIN_WORDS + WINDOW - 1 words (47) holds a whole
+span wherever it stands. Spans between stops only are hashed as well, so that a shorter passage
+that consists of sentences does not depend on what stands around it.
+
 A hash shared by many documents is counted with map-side aggregation, and its rows meet the
 small table of repeated hashes in a plain join that Spark can split.
 
@@ -33,6 +41,8 @@ from tablelearn.session import materialize
 
 MIN_SENTENCES = 3
 MIN_WORDS = 24
+WINDOW = 8
+_STOPS = frozenset(".!?,;:…。．｡！？，､、；：؟،؛۔।॥։።፣፤")
 _BASES = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -42,6 +52,36 @@ def _value(word: bytes) -> int:
     return (xxhash.xxh3_64_intdigest(word) & ~1) | (word[-1:] in b".!?,;:")
 
 
+def _whole_value(word: bytes) -> int:
+    """As ``_value``, where signs may follow the stop."""
+    stop = 0
+    for c in reversed(word.decode("utf-8", "surrogatepass")):
+        if c.isalnum():
+            break
+        if c in _STOPS:
+            stop = 1
+            break
+    return (xxhash.xxh3_64_intdigest(word) & ~1) | stop
+
+
+def _content_cuts(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``ends`` and the words that have the smallest hash of some ``WINDOW`` words without an end."""
+    least = np.where(ends, np.uint64(0), values | np.uint64(1))
+    if len(least) < WINDOW:
+        return ends
+    low, size = least, 1
+    while size < WINDOW:  # least hash of each window
+        step = min(size, WINDOW - size)
+        low, size = np.minimum(low[:-step], low[step:]), size + step
+    # A word is cut behind if it is the least of some window: if the largest of its windows' least is its own.
+    high = np.concatenate([np.zeros(WINDOW - 1, np.uint64), low, np.zeros(WINDOW - 1, np.uint64)])
+    size = 1
+    while size < WINDOW:
+        step = min(size, WINDOW - size)
+        high, size = np.maximum(high[:-step], high[step:]), size + step
+    return ends | (high == least)
+
+
 def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Powers of both bases and of their inverses modulo 2^64, up to ``n``."""
 
@@ -60,9 +100,12 @@ def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return table["rows"]
 
 
-def sentence_starts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the index of each sentence's first word (the number of words at the end)."""
-    cache = worker_cache("span_words", lambda: WordCache(_value))
+def _ends(text: str, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and whether a sentence ends with it at a stop or line end."""
+    if whole:
+        cache = worker_cache("span_words_whole", lambda: WordCache(_whole_value))
+    else:
+        cache = worker_cache("span_words", lambda: WordCache(_value))
     data = text.encode("utf-8", "surrogatepass").lower().replace(b"\n", b" \x00 ")
     words = data.split()
     values = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
@@ -70,31 +113,54 @@ def sentence_starts(text: str) -> tuple[np.ndarray, np.ndarray]:
     ends = (values & np.uint64(1)).astype(bool)
     ends[:-1] |= line_end[1:]
     ends, values = ends[~line_end], values[~line_end]
-    if not len(values):
-        return values, np.zeros(1, np.int64)
-    ends[-1] = True
-    return values, np.concatenate([[0], np.flatnonzero(ends) + 1])
+    ends[-1:] = True
+    return values, ends
+
+
+def _starts(ends: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.flatnonzero(ends) + 1])
+
+
+def sentence_starts(text: str, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and the index of each sentence's first word (the number of words at the end)."""
+    values, ends = _ends(text, whole)
+    return values, _starts(_content_cuts(values, ends) if whole else ends)
 
 
-def spans(text: str | None, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _forward(starts: np.ndarray, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word of, and first word behind, the shortest span from every sentence."""
+    count = len(starts) - 1
+    last = np.maximum(np.arange(count) + min_sentences, np.searchsorted(starts, starts[:-1] + min_words))
+    first = np.flatnonzero(last <= count)
+    return starts[first], starts[last[first]]
+
+
+def spans(
+    text: str | None, min_sentences: int, min_words: int, whole: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``first sentence, last sentence, h1, h2`` of every span of a text."""
     none = np.empty(0, np.int64)
     if not text:
         return none, none, none, none
-    values, starts = sentence_starts(text)
-    count = len(starts) - 1
-    last = np.maximum(np.arange(count) + min_sentences, np.searchsorted(starts, starts[:-1] + min_words))
-    first = np.flatnonzero(last <= count)
-    last = last[first]
+    values, ends = _ends(text, whole)
+    if whole:
+        starts = _starts(_content_cuts(values, ends))
+        found = [_forward(x, min_sentences, min_words) for x in (starts, _starts(ends))]
+        size = len(values) + 1
+        keys = np.unique(np.concatenate([a * size + b for a, b in found]))
+        begin, end = keys // size, keys % size
+    else:
+        starts = _starts(ends)
+        begin, end = _forward(starts, min_sentences, min_words)
     hashes = []
     with np.errstate(over="ignore"):
         for power, inverse in _powers(len(values) + 1):
             total = np.concatenate([[np.uint64(0)], np.cumsum(values * power[: len(values)], dtype=np.uint64)])
-            hashes.append(mix((total[starts[last]] - total[starts[first]]) * inverse[starts[first]]).view(np.int64))
-    return first, last - 1, hashes[0], hashes[1]
+            hashes.append(mix((total[end] - total[begin]) * inverse[begin]).view(np.int64))
+    return np.searchsorted(starts, begin), np.searchsorted(starts, end) - 1, hashes[0], hashes[1]
 
 
-def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """``doc_id, first, last, again, h1, h2``; ``again`` marks a span seen earlier in its document."""
 
     def run(frames):
@@ -102,7 +168,7 @@ def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: i
             for k in range(0, len(frame), 500):
                 parts = []
                 for doc_id, text in zip(frame["doc_id"].iloc[k : k + 500], frame["text"].iloc[k : k + 500], strict=True):
-                    first, last, h1, h2 = spans(text, min_sentences, min_words)
+                    first, last, h1, h2 = spans(text, min_sentences, min_words, whole)
                     if len(first):
                         again = np.ones(len(first), bool)
                         again[np.unique(h1, return_index=True)[1]] = False
@@ -114,27 +180,27 @@ def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: i
     return rows.mapInPandas(run, "doc_id long, first int, last int, again boolean, h1 long, h2 long")
 
 
-def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """``doc_id, holder (smallest doc_id with the span), first, last`` of the non-first repeated spans."""
-    found = materialize(span_table(docs, min_sentences, min_words), "spans")
+    found = materialize(span_table(docs, min_sentences, min_words, whole), "spans")
     shared = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("top"), F.max("again").alias("twice"))
     shared = materialize(shared.filter("holder <> top or twice").select("h1", "h2", "holder"), "shared-spans")
     return found.join(shared, ["h1", "h2"]).filter("doc_id <> holder or again").select("doc_id", "holder", "first", "last")
 
 
-def removals(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+def removals(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """``doc_id, holders, sentences`` of documents that lose sentences: the smallest ids that keep
     the passages, and the sorted numbers of the sentences to remove."""
-    cut = repeated_spans(docs, min_sentences, min_words)
+    cut = repeated_spans(docs, min_sentences, min_words, whole)
     sentences = cut.select("doc_id", "holder", F.explode(F.sequence("first", "last")).alias("s")).distinct()
     return sentences.groupBy("doc_id").agg(
         F.array_sort(F.collect_set("holder")).alias("holders"), F.array_sort(F.collect_set("s")).alias("sentences")
     )
 
 
-def _cut(text: str, sentences: np.ndarray) -> tuple[str, int, int]:
+def _cut(text: str, sentences: np.ndarray, whole: bool) -> tuple[str, int, int]:
     """The text without the given sentences (white space behind them goes too)."""
-    _, starts = sentence_starts(text)
+    _, starts = sentence_starts(text, whole)
     data = text.encode("utf-8", "surrogatepass")
     at = [m.start() for m in _WORD.finditer(data)] + [len(data)]
     gone = [(at[starts[s]], at[starts[s + 1]]) for s in sentences]
@@ -147,16 +213,16 @@ def _cut(text: str, sentences: np.ndarray) -> tuple[str, int, int]:
     return b"".join(keep).decode("utf-8", "surrogatepass"), len(starts) - 1, words
 
 
-def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """``doc_id, first_doc_ids, n_sentences, n_removed, n_words_removed, kept_text`` of the
     documents that lose sentences."""
-    cut = materialize(removals(docs, min_sentences, min_words), "removals")
+    cut = materialize(removals(docs, min_sentences, min_words, whole), "removals")
 
     def run(frames):
         for frame in frames:
             rows = []
             for doc_id, text, holders, sentences in frame.itertuples(index=False):
-                kept, n, words = _cut(text, sentences)
+                kept, n, words = _cut(text, sentences, whole)
                 rows.append((doc_id, list(holders), n, len(sentences), words, kept))
             yield pd.DataFrame(rows, columns=["doc_id", "first_doc_ids", "n_sentences", "n_removed", "n_words_removed", "kept_text"])
 

@@ -143,6 +143,30 @@ def test_span_text_and_awkward_rows(spark):
     assert spans.remove_repeated(no_docs(spark)).count() == 0
 
 
+def test_passages_without_stops_hold_a_span_wherever_they_stand():
+    rng = np.random.default_rng(3)
+    word = lambda n: [f"x{k}" for k in rng.integers(0, 10**6, n)]
+    for n in (47, 50, 60):
+        for _ in range(60):
+            passage = word(n)
+            a, b = (" ".join(word(rng.integers(0, 30)) + passage + word(rng.integers(0, 30))) for _ in range(2))
+            assert np.isin(spans.spans(a, 3, 24, whole=True)[2], spans.spans(b, 3, 24, whole=True)[2]).any()
+
+
+def test_signs_after_stops_and_other_stops_end_sentences():
+    text = 'a b,### c d." e f。 g h?) i j'
+    assert spans.sentence_starts(text, whole=True)[1].tolist() == [0, 2, 4, 6, 8, 10]
+
+
+def test_query_removes_passages_without_stops(spark, tmp_path):
+    passage = " ".join(f"w{k}" for k in range(60))
+    texts = ["alpha beta " + passage + " gamma", "other words here " + passage + " and an end", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op3_substring_dedup"](spark, str(tmp_path)).collect()
+    assert [(r["doc_id"], r["first_doc_ids"]) for r in out] == [(1, [0])]
+    assert 31 <= out[0]["n_words_removed"] <= 67
+
+
 def test_contamination_matches_brute_force(spark):
     docs, items = pandas("documents"), pandas("benchmark")
     runs = lambda words, n: {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
