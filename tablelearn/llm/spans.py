@@ -6,7 +6,7 @@ runs over the shortest sequence of at least ``MIN_SENTENCES`` sentences with at
 ``MIN_WORDS`` words. Spans are hashed over their words (A-Z lower-cased, any white space between
 words), to 128 bits. All spans of all documents are joined by hash; the first holder of a
 span is the smallest ``doc_id``, and within a document its first place. Every sentence that
-a non-first repeated span covers is removed. The last sentences of a passage stay when no span
+a non-first repeated span covers is removed. Without ``whole`` the last sentences of a passage stay when no span
 inside the passage needs them to reach ``MIN_WORDS``.
 
 With ``whole`` (as the query op3_substring_dedup runs it) a stop may have signs behind it and may be
@@ -15,7 +15,9 @@ words in a row without a stop, behind the word with the smallest hash. Two copie
 are cut alike but for the ``WINDOW - 1`` words at its ends, and no piece has more than
 ``WINDOW`` words, so every passage of 2 * WINDOW + MIN_WORDS + WINDOW - 1 words (47) holds a whole
 span wherever it stands. Spans between stops only are hashed as well, so that a shorter passage
-that consists of sentences does not depend on what stands around it.
+that consists of sentences does not depend on what stands around it. Beside the shortest span
+from every sentence there is the shortest one up to every sentence, so that each sentence of a
+repeated passage, its last ones too, lies in a span inside the passage.
 
 A hash shared by many documents is counted with map-side aggregation, and its rows meet the
 small table of repeated hashes in a plain join that Spark can split.
@@ -135,6 +137,13 @@ def _forward(starts: np.ndarray, min_sentences: int, min_words: int) -> tuple[np
     return starts[first], starts[last[first]]
 
 
+def _backward(starts: np.ndarray, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_forward``, the shortest span up to every sentence."""
+    first = np.minimum(np.arange(1, len(starts)) - min_sentences, np.searchsorted(starts, starts[1:] - min_words, side="right") - 1)
+    last = np.flatnonzero(first >= 0)
+    return starts[first[last]], starts[last + 1]
+
+
 def spans(
     text: str | None, min_sentences: int, min_words: int, whole: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +154,7 @@ def spans(
     values, ends = _ends(text, whole)
     if whole:
         starts = _starts(_content_cuts(values, ends))
-        found = [_forward(x, min_sentences, min_words) for x in (starts, _starts(ends))]
+        found = [f(x, min_sentences, min_words) for x in (starts, _starts(ends)) for f in (_forward, _backward)]
         size = len(values) + 1
         keys = np.unique(np.concatenate([a * size + b for a, b in found]))
         begin, end = keys // size, keys % size

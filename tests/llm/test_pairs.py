@@ -143,6 +143,39 @@ def test_span_text_and_awkward_rows(spark):
     assert spans.remove_repeated(no_docs(spark)).count() == 0
 
 
+def brute_runs(rows):
+    """Sentences that lie in any run of several sentences held earlier, whatever its length."""
+    held, cuts = {}, defaultdict(set)
+    for doc_id, sentences in rows:
+        for first in range(len(sentences)):
+            for last in range(first + 2, len(sentences)):
+                key = " ".join(sentences[first : last + 1])
+                if len(key.split()) >= spans.MIN_WORDS and held.setdefault(key, (doc_id, first)) != (doc_id, first):
+                    cuts[doc_id] |= set(range(first, last + 1))
+    return {d: sorted(c) for d, c in cuts.items()}
+
+
+def test_every_sentence_of_a_repeated_passage_goes(spark):
+    """Sentences of up to 8 words, which are not cut any further."""
+    rng = np.random.default_rng(4)
+    pool = [" ".join(f"p{k}_{j}" for j in range(rng.integers(1, 9))) + "." for k in range(60)]
+    rows = []
+    for d in range(40):
+        own = [f"only{d}a here.", *pool[rng.integers(0, 50) :][: rng.integers(3, 14)], f"only{d}b there."]
+        rows.append((d, own + pool[rng.integers(0, 50) :][: rng.integers(3, 14)]))
+    docs = spark.createDataFrame([(d, " ".join(s)) for d, s in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r["sentences"] for r in spans.removals(docs, whole=True).collect()}
+    assert got == brute_runs(rows) and got
+
+
+def test_last_sentences_of_a_passage_go(spark):
+    words = iter(f"w{k}" for k in range(99))
+    passage = " ".join(" ".join(next(words) for _ in range(n)) + "." for n in (12, 12, 5, 3))
+    docs = spark.createDataFrame([(1, f"Start here. {passage} Tail a."), (2, f"Other start. {passage} Tail b.")], "doc_id long, text string")
+    out = spans.remove_repeated(docs, whole=True).collect()
+    assert [(r["doc_id"], r["first_doc_ids"], r["kept_text"]) for r in out] == [(2, [1], "Other start. Tail b.")]
+
+
 def test_passages_without_stops_hold_a_span_wherever_they_stand():
     rng = np.random.default_rng(3)
     word = lambda n: [f"x{k}" for k in rng.integers(0, 10**6, n)]
