@@ -74,8 +74,66 @@ FROM shares q JOIN shares a ON q.doc_id = a.doc_id AND q.item_id = a.item_id AND
 WHERE q.share >= 0.6 AND a.share >= 0.6
 """
 
+def _seeded(what, *parts):
+    text = " || ".join([f"'11:{what}'", *[f"':' || coalesce(CAST({p} AS VARCHAR), ' ')" for p in parts]])
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
+OP11 = f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+sources AS (
+  SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank FROM sized GROUP BY source),
+weighed AS (SELECT *, 1 + rank % 3 AS weight, 3 * source_size AS cap, sum(source_size) OVER () AS total FROM sources),
+filled AS (
+  SELECT *, total - (sum(cap) OVER up - cap) AS open_words, sum(weight) OVER () - (sum(weight) OVER up - weight) AS open_weight
+  FROM weighed WINDOW up AS (ORDER BY cap / weight, rank)),
+stopping AS (SELECT *, cap <= CAST(open_words AS DOUBLE) * weight / open_weight AS stopped FROM filled),
+opened AS (
+  SELECT *, total - coalesce(sum(cap) FILTER (WHERE stopped) OVER (), 0) AS rest, sum(weight) FILTER (WHERE NOT stopped) OVER () AS rest_weight
+  FROM stopping),
+targets AS (
+  SELECT source, rank, source_size, total, CASE WHEN stopped THEN CAST(cap AS DOUBLE) ELSE CAST(rest AS DOUBLE) * weight / rest_weight END AS target
+  FROM opened),
+blocks AS (SELECT greatest(1, CAST(floor(sum(source_size) / 16 + 0.5) AS BIGINT)) AS n, count(*) AS parties FROM targets),
+quotients AS (
+  SELECT rank, target, unnest(range(1, CAST(floor(n * target / total) AS BIGINT) + parties + 3)) AS k FROM targets, blocks WHERE target > 0),
+seats AS (
+  SELECT rank, count(*) AS source_blocks
+  FROM (SELECT rank, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, rank, k) AS place FROM quotients), blocks
+  WHERE place <= n GROUP BY rank),
+placed AS (
+  SELECT d.*, t.rank, t.source_size, t.target, coalesce(s.source_blocks, 0) AS source_blocks,
+         {_seeded("shard", "doc_id")} % CAST(greatest(1, ceil(t.source_size / 2000000)) AS BIGINT) AS shard
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN seats s ON s.rank = t.rank),
+shards AS (
+  SELECT rank, shard, CAST(sum(size) AS BIGINT) AS shard_size, max(source_blocks) AS source_blocks,
+         sum(sum(size)) OVER (PARTITION BY rank) AS words, count(*) OVER (PARTITION BY rank) AS parties
+  FROM placed GROUP BY rank, shard HAVING sum(size) > 0),
+shard_quotients AS (
+  SELECT rank, shard, shard_size, source_blocks,
+         unnest(range(1, CAST(floor(source_blocks * shard_size / words) AS BIGINT) + parties + 3)) AS k FROM shards),
+shard_seats AS (
+  SELECT rank, shard, count(*) AS quota
+  FROM (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY shard_size / (2 * k - 1) DESC, shard, k) AS place FROM shard_quotients)
+  WHERE place <= source_blocks GROUP BY rank, shard),
+runs AS (
+  SELECT s.rank, s.shard, s.shard_size, least(coalesce(q.quota, 0) * 16, 3 * s.shard_size) AS run,
+         {_seeded("start", "s.rank", "s.shard")} % s.shard_size AS start
+  FROM shards s LEFT JOIN shard_seats q ON s.rank = q.rank AND s.shard = q.shard),
+circle AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY rank, shard ORDER BY {_seeded("order", "doc_id")}, doc_id NULLS FIRST, size
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins FROM placed WHERE size > 0)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+       CAST(run // shard_size * size + greatest(0, least(begins + size, start + run % shard_size) - greatest(begins, start))
+            + greatest(0, least(begins + size, start + run % shard_size - shard_size) - begins) AS BIGINT) AS taken
+FROM circle JOIN runs USING (rank, shard)
+UNION ALL SELECT doc_id, size, CAST(source_size AS BIGINT), target, 0 FROM placed WHERE size = 0
+"""
+
 ORACLE_SQL = {
     "op4_minhash_near_dedup": OP4,
     "op6_line_dedup": OP6,
     "op8_decontamination": OP8,
+    "op11_source_mixing": OP11,
 }

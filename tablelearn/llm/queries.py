@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import decontaminate, fingerprints, langid, lines, neardup, packing, quality, rollups, spans, toxicity
+from tablelearn.llm import decontaminate, fingerprints, langid, lines, mixing, neardup, packing, quality, rollups, spans, toxicity
 from tablelearn.llm.common import table
 
 
@@ -69,6 +69,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources by target weights takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_language_id": op2_language_id,
@@ -80,4 +85,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_source_mixing": op11_source_mixing,
 }
