@@ -131,9 +131,44 @@ FROM circle JOIN runs USING (rank, shard)
 UNION ALL SELECT doc_id, size, CAST(source_size AS BIGINT), target, 0 FROM placed WHERE size = 0
 """
 
+def _vector_rounds(rounds):
+    near = """near{r} AS MATERIALIZED (
+  SELECT n, p, arg_min(e, (away, e)) AS e, min(away) AS away
+  FROM (SELECT n, p, e, list_distance(parts.v, b.v) AS away FROM parts JOIN book{r} b USING (p)) GROUP BY n, p)"""
+    book = """book{s} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY i) AS v FROM (
+      SELECT p, e, i, floor(sum(x) / count(*)) AS mean
+      FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{r} JOIN parts USING (n, p)) GROUP BY p, e, i)
+    GROUP BY p, e) m USING (p, e))"""
+    steps = [t.format(r=r, s=r + 1) for r in range(rounds) for t in (near, book)]
+    return ",\n".join([*steps, near.format(r=rounds)])
+
+
+# Square roots of different whole numbers below 2^50 differ, so distances order like their squares.
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS n, vec_id, label,
+         list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT n, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS v FROM kept, (SELECT unnest(range(4)) AS p)),
+book0 AS (SELECT p, n - 1 AS e, v FROM parts WHERE n <= 256),
+{_vector_rounds(4)},
+codes AS (
+  SELECT n, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(round(away * away)) AS BIGINT) AS error FROM near4 GROUP BY n),
+digest AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM book4))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (n), digest
+"""
+
 ORACLE_SQL = {
     "op4_minhash_near_dedup": OP4,
     "op6_line_dedup": OP6,
     "op8_decontamination": OP8,
     "op11_source_mixing": OP11,
+    "op12_vector_codes": OP12,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelearn.llm import decontaminate, fingerprints, langid, lines, mixing, neardup, packing, quality, rollups, spans, toxicity
+from tablelearn.llm import conversation, decontaminate, fingerprints, langid, lines, mixing, neardup, packing, quality, rollups, spans, toxicity, vectorcodes
 from tablelearn.llm.common import table
 
 
@@ -74,6 +74,16 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings in four codebooks, with their squared errors."""
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return conversation.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_language_id": op2_language_id,
@@ -86,4 +96,6 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
     "op11_source_mixing": op11_source_mixing,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_conversation_repair": op13_conversation_repair,
 }
