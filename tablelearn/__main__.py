@@ -74,6 +74,14 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--input", required=True)
     t.add_argument("--epochs", type=int, default=3000)
     t.add_argument("--hidden", type=int, default=512)
+    t.add_argument("--dense", type=int, default=32)
+    t.add_argument("--frame-size", type=int, default=50)
+    t.add_argument("--batch-size", type=int, default=512)
+    t.add_argument("--split-ratio", type=float, default=0.98)
+    t.add_argument("--learning-rate", type=float, default=0.05)
+    t.add_argument("--averaging-frequency", type=int, default=4)
+    t.add_argument("--workers", type=int, default=4, help="averaging slots")
+    t.add_argument("--mode", default="frame", choices=["frame", "carry"], help="score from a zero or a carried state")
     t.add_argument("--since", default="2017-01-01")
     t.add_argument("--output", required=True)
     for parser in (s, c, r, lv, e):
@@ -127,8 +135,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "stock-etl":
         programs.process_stock_csv(spark, args.input, out, csv)
     elif args.cmd == "stock-train":
-        cfg = SequenceConfig.reference(epochs=args.epochs, hidden=args.hidden)
-        table, model = programs.train_stock_model(spark, args.input, cfg, since=args.since, model_path=f"{out}/models")
+        names = ("epochs", "hidden", "dense", "frame_size", "batch_size", "split_ratio", "learning_rate", "averaging_frequency", "workers")
+        cfg = SequenceConfig.reference(**{n: getattr(args, n) for n in names})
+        table, model = programs.train_stock_model(
+            spark, args.input, cfg, since=args.since, model_path=f"{out}/models", mode=args.mode
+        )
         write_parquet(table, f"{out}/forecast")
         write_parquet(forecast_overlay(spark.read.parquet(f"{out}/forecast")), f"{out}/series")
         write_parquet(model.history_df(spark), f"{out}/history")

@@ -13,10 +13,9 @@ Here no step needs that:
   per partition, so its broadcast has a fixed bound. The per-key index then
   needs the key's first position, a grouped aggregate joined back behind a
   size check.
-* ``sliding_frames`` cuts the global order into buckets of ``B`` rows and
-  copies the first ``T-1`` rows of each bucket into the bucket before. Each
-  window partition then holds at most ``B + T - 1`` rows whatever the key
-  distribution, and every frame lies wholly inside one bucket.
+* ``sliding_frames`` reads its frames from ``blocks.series_blocks``: after the one
+  range shuffle only the first ``T-1`` rows of a range partition move to the
+  blocks before it, and every frame lies wholly inside one block.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tablelearn import functions as tf
+from tablelearn.operators.blocks import BLOCK_ROWS, series_blocks
 from tablelearn.operators.joins import join_small
 from tablelearn.session import materialize
 
@@ -130,53 +130,35 @@ def sliding_frames(
     if size < 1:
         raise ValueError("size must be >= 1")
     keys = [key] if key else []
-    labels = list(labels or [])
-    bucket = int(bucket_rows or max(64 * size, 4096))
-    if bucket < size:
-        raise ValueError("bucket_rows must be >= size")
-    order_cols = [order] if isinstance(order, str) else list(order)
-    value_cols = [c for c in dict.fromkeys(features + labels) if c not in order_cols and c not in keys]
-    numbered = number_rows(
-        df.select(*keys, *order_cols, *value_cols), order_cols, key, num_partitions=num_partitions
+    block = int(bucket_rows or max(64 * size, BLOCK_ROWS))
+    blocks = series_blocks(
+        df, order, features, overlap=size - 1, key=key, labels=labels, block_rows=block, num_partitions=num_partitions
     )
-    order = order_cols[0]
-    spread = _spread_into_buckets(numbered, size, bucket)
-    w = Window.partitionBy("_bucket").orderBy("_pos").rowsBetween(0, size - 1)
+    return block_frames(blocks, size, key=key, drop_last=drop_last)
 
-    def steps(cols: list[str]):
-        return F.collect_list(F.array(*[F.col(c).cast("double") for c in cols])).over(w)
 
-    n_frames = (
-        F.when(F.col("n") < size, F.lit(0))
-        .when(F.lit(drop_last), F.greatest(F.lit(1), F.col("n") - size))
-        .otherwise(F.col("n") - size + 1)
-    )
-    framed = spread.select(
-        *keys,
-        F.col("idx").alias("frame_idx"),
-        n_frames.alias("n_frames"),
-        F.col(order).alias("start"),
-        F.last(F.col(order)).over(w).alias("end"),
-        steps(features).alias("x"),
-        *([steps(labels).alias("y")] if labels else []),
-        F.col("_own"),
-        F.col("_bucket"),
-    )
-    # An index below n_frames has all its steps in the bucket, so no array is looked at here
-    # and unused ones are pruned.
-    return framed.where((F.col("_own") == F.col("_bucket")) & (F.col("frame_idx") < F.col("n_frames"))).drop(
-        "_own", "_bucket"
-    )
+def frame_count(size: int, drop_last: bool = True, n: str = "_n"):
+    """Frames of a series of ``n`` rows; the reference count unless ``drop_last`` is off."""
+    rows = F.col(n)
+    full = F.greatest(F.lit(1), rows - size) if drop_last else rows - size + 1
+    return F.when(rows < size, F.lit(0)).otherwise(full).cast("long")
 
 
-def _spread_into_buckets(numbered: DataFrame, size: int, bucket: int) -> DataFrame:
-    """Rows get ``_own = _pos div bucket``; the first ``size-1`` rows of each bucket are also
-    copied into the bucket before (``_bucket``), so every frame fits inside one bucket and
-    every bucket holds at most ``bucket + size - 1`` rows."""
-    own = F.floor(F.col("_pos") / bucket)
-    copy_back = (F.col("_pos") % bucket < size - 1) & (own > 0)
-    return numbered.withColumn("_own", own).withColumn(
-        "_bucket", F.explode(F.when(copy_back, F.array(own, own - 1)).otherwise(F.array(own)))
+def block_frames(blocks: DataFrame, size: int, *, key: str | None = None, drop_last: bool = True) -> DataFrame:
+    """The frames of ``series_blocks`` with an overlap of ``size - 1`` rows: every frame lies
+    wholly inside the block of its first row."""
+    framed = blocks.withColumn("n_frames", frame_count(size, drop_last))
+    here = F.least(F.col("_own"), F.col("n_frames") - F.col("_first"))
+    framed = framed.where(F.col("n_frames") > F.col("_first")).withColumn(
+        "_i", F.explode(F.sequence(F.lit(0), (here - 1).cast("int")))
+    )
+    return framed.select(
+        *([key] if key else []),
+        (F.col("_first") + F.col("_i")).alias("frame_idx"),
+        "n_frames",
+        F.element_at("_at", F.col("_i") + 1).alias("start"),
+        F.element_at("_at", F.col("_i") + size).alias("end"),
+        *[F.slice(c, F.col("_i") + 1, size).alias(c) for c in ("x", "y") if c in blocks.columns],
     )
 
 

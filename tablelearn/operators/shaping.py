@@ -3,14 +3,16 @@ and daily bars from time-stamped values (the stand-in for a daily price file).""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelearn import functions as tf
-from tablelearn.session import materialize
 
 PRICE_COLS = ["Open", "Close", "Low", "High", "Volume"]
 
+# Days that are looked up together; a 1/DAY_BUCKET share of the rows is copied.
+DAY_BUCKET = 64
+
 
 def project(df: DataFrame, cols: list[str | Column]) -> DataFrame:
     """projection from a column list (no SQL text is built)."""
@@ -52,21 +54,22 @@ def next_day_join(
     key: str | None = None,
     prefix: str = "Next",
     by: str = "day",
+    since_day: str | None = None,
+    many_copies: bool = False,
 ) -> DataFrame:
-    """J1 (+ C1, C2, F3, F6, A2): each row gets the values of the following calendar day.
+    """J1 (+ C1, C2, F3, F5, F6, A2): each row gets the values of the following calendar day.
 
     Semantics: inner join of day ``d`` with day ``d + 1`` (same ``key``), both
     sides' columns non-null, distinct rows. Rows without a next calendar day
     (weekends, holidays, the last day) are dropped — this is not ``lead()``.
     Duplicate days multiply and the distinct removes exact copies.
 
-    Plan: the null filter and the distinct come first, once (the distinct of a
-    product is the product of distincts, and copies are never paired up). The
-    distinct is a partial aggregation, so copies are dropped map-side before any
-    shuffle. The result is written once and read by both sides, so the input is
-    scanned once. The join's own exchange is left to Spark, so AQE can split a
-    skewed (key, day) partition or switch to a broadcast once the side's size is
-    known.
+    Plan: one exchange. Days are put into buckets of ``DAY_BUCKET`` days; the first day of a
+    bucket also goes to the bucket before, so every day meets its next day inside its own
+    bucket, where a window over the day number looks it up. The distinct runs on the same
+    partitions. The input is read once, and ``since_day`` (rows on or after it) prunes both
+    sides, as a day's next day is later still. ``many_copies`` drops exact copies map-side
+    first, for an extra exchange; the rows are the same.
 
     ``by="row"`` pairs each row with the next row of its key instead (see
     ``sequence.next_row_join``).
@@ -75,22 +78,26 @@ def next_day_join(
     if by == "row":
         from tablelearn.operators.sequence import next_row_join
 
-        return next_row_join(df, date_col, cols, key=key, prefix=prefix)
+        return next_row_join(df if since_day is None else since(df, date_col, since_day), date_col, cols, key=key, prefix=prefix)
     if by != "day":
         raise ValueError("by must be 'day' or 'row'")
     keys = [key] if key else []
-    # Both sides are the same complete, distinct rows; they are written once, so what makes
-    # them runs once, and re-labelling days afterwards keeps them distinct.
-    days = df.select(*keys, date_col, *cols).where(tf.all_not_null(keys + [date_col] + cols)).distinct()
-    days = materialize(days.withColumn("_day", tf.as_date(date_col)), "days")
-    following = days.select(
-        *keys, tf.day_shift("_day", -1).alias("_day"), *[F.col(c).alias(prefix + c) for c in cols]
-    )
+    days = df if since_day is None else since(df, date_col, since_day)
+    days = days.select(*keys, date_col, *cols).where(tf.all_not_null(keys + [date_col] + cols))
+    if many_copies:
+        days = days.distinct()
+    number = F.unix_date(tf.as_date(date_col))
+    own = F.floor(number / F.lit(DAY_BUCKET))
+    buckets = F.when(F.pmod(number, F.lit(DAY_BUCKET)) == 0, F.array(own, own - 1)).otherwise(F.array(own))
+    spread = days.select("*", number.alias("_day"), F.explode(buckets).alias("_bucket"))
+    spread = spread.repartition(*keys, "_bucket").distinct()
+    tomorrow = Window.partitionBy(*keys, "_bucket").orderBy("_day").rangeBetween(1, 1)
+    following = F.collect_list(F.struct(*[F.col(c).alias(prefix + c) for c in cols])).over(tomorrow)
     if days.schema[date_col].dataType.typeName() != "date":
         # Several times of one day may hold equal values.
-        following = following.distinct()
-    out = days.join(following, on=keys + ["_day"], how="inner")
-    return out.select(*keys, date_col, *cols, *[prefix + c for c in cols])
+        following = F.array_distinct(following)
+    out = spread.withColumn("_next", following).where(own == F.col("_bucket"))
+    return out.select(*keys, date_col, *cols, F.explode("_next").alias("_next")).select(*keys, date_col, *cols, "_next.*")
 
 
 def daily_bars(

@@ -8,7 +8,9 @@ best-split search, two far-apart groups for k-means.
 
 from __future__ import annotations
 
-from tablelearn.plans.queries import _DOCS_SQL, _EVENT_DAYS_SQL, _NEXT_DAYS_SQL
+from tablelearn.plans import recurrent as rn
+from tablelearn.plans.network_sql import carry_sql, training_sql
+from tablelearn.plans.queries import _DOCS_SQL, _EVENT_DAYS_SQL, _NEXT_DAYS_SQL, CARRY_PASS, TRAINING_STEPS
 
 # The daily bars with one type's name missing.
 _NULL_DAYS_SQL = _EVENT_DAYS_SQL.replace("FROM events", "FROM (SELECT * REPLACE (nullif(event_type, 'click') AS event_type) FROM events)")
@@ -246,18 +248,36 @@ SELECT CAST(e AS INTEGER) AS epoch, CAST(idx // 512 // 16 AS INTEGER) AS round,
 FROM ({_PREPARED.replace("SELECT idx AS frame_idx,", "SELECT idx, idx AS frame_idx,")}), range(3) t(e)
 WHERE part = 'train' GROUP BY 1, 2"""
 
-_LINEITEM_ROUNDS = """
-WITH d AS (SELECT l_returnflag, l_shipdate FROM lineitem GROUP BY 1, 2),
-r AS (SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate) - 1 AS idx,
-             count(*) OVER (PARTITION BY l_returnflag) AS n FROM d),
-f AS (SELECT *, CASE WHEN n < 5 THEN 0 ELSE greatest(1, n - 5) END AS n_frames FROM r),
-tr AS (SELECT l_returnflag, idx, idx // 32 AS batch FROM f
-       WHERE idx < n_frames AND idx < floor(n_frames * CAST(0.8 AS DOUBLE))),
+_LINEITEM_FRAMES = """
+SELECT l_returnflag, count(*) AS n, CASE WHEN count(*) < 5 THEN 0 ELSE greatest(1, count(*) - 5) END AS n_frames
+FROM lineitem GROUP BY 1"""
+
+_LINEITEM_ROUNDS = f"""
+WITH tr AS (
+  SELECT l_returnflag, unnest(range(0, CAST(floor(n_frames * CAST(0.8 AS DOUBLE)) AS BIGINT))) // 512 AS batch FROM ({_LINEITEM_FRAMES})),
 k AS (SELECT l_returnflag, max(batch) + 1 AS batches FROM tr GROUP BY 1),
 o AS (SELECT l_returnflag, coalesce(sum(batches) OVER (ORDER BY l_returnflag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k)
-SELECT CAST(e AS INTEGER) AS epoch, CAST((tr.batch + o.before) // 8 AS INTEGER) AS round, count(*) AS n_frames, true AS finite
+SELECT CAST(e AS INTEGER) AS epoch, CAST((tr.batch + o.before) // 32 AS INTEGER) AS round, count(*) AS n_frames, true AS finite
 FROM tr JOIN o ON tr.l_returnflag = o.l_returnflag, range(2) t(e) GROUP BY 1, 2"""
 
+# The scaled closes of the orders series, with the row's place and the number of rows.
+_SCALED_CLOSES = f"""
+SELECT row_number() OVER (ORDER BY Date) - 1 AS idx, count(*) OVER () AS n,
+       (Close - min(Close) OVER ()) / (max(Close) OVER () - min(Close) OVER ()) AS x,
+       (NextClose - min(NextClose) OVER ()) / (max(NextClose) OVER () - min(NextClose) OVER ()) AS y
+FROM ({_NEXT_DAYS_SQL})"""
+
+_TWO_DAY_FRAMES = f"""
+SELECT * FROM (
+  SELECT idx, n, x AS x1, y AS y1, lead(x) OVER (ORDER BY idx) AS x2, lead(y) OVER (ORDER BY idx) AS y2 FROM ({_SCALED_CLOSES}))
+WHERE idx < floor(greatest(1, n - 2) * CAST({TRAINING_STEPS.split_ratio} AS DOUBLE))"""
+
+_CARRY = carry_sql(
+    f"SELECT idx - {CARRY_PASS.frame_size - 1} AS idx, x FROM ({_SCALED_CLOSES}) "
+    f"WHERE idx >= {CARRY_PASS.frame_size - 1} AND idx - {CARRY_PASS.frame_size - 1} < greatest(1, n - {CARRY_PASS.frame_size})",
+    rn.init_params(CARRY_PASS.shape, CARRY_PASS.seed),
+)
+
 ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "parquet_roundtrip": "SELECT * FROM nation",
@@ -346,6 +366,12 @@ SELECT p_partkey, round(a + b * p_partkey, 4) AS predict, true AS same FROM part
 SELECT frame_idx, frame_idx + 1 AS time, part, actual, true AS finite FROM ({_PREPARED})""",
     "training_check": _TRAINING_ROUNDS,
     "lineitem_training": _LINEITEM_ROUNDS,
+    "training_steps": training_sql(_TWO_DAY_FRAMES, TRAINING_STEPS),
+    "carry_pass": f"SELECT idx AS frame_idx, round(pred, 9) AS pred FROM ({_CARRY})",
+    "lineitem_carry": f"""
+SELECT l_returnflag, n_frames, n_frames AS n_distinct, n_frames - 1 AS last_frame, CAST(0 AS BIGINT) AS unsettled
+FROM ({_LINEITEM_FRAMES}) WHERE n_frames > 0""",
+    "model_resume": f"SELECT epoch, round, n_frames, true AS same_loss, true AS same_state FROM ({_TRAINING_ROUNDS})",
     "null_key_frames": f"""
 SELECT event_type, idx AS frame_idx, n_frames,
        CASE WHEN idx < floor(n_frames * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part, last_Close AS last_close

@@ -15,15 +15,9 @@ from pyspark.sql import functions as F
 
 from tablelearn.operators import evaluate, report, shaping, split
 from tablelearn.plans import models
-from tablelearn.plans.sequence_model import (
-    REFERENCE_SERIES,
-    SequenceConfig,
-    SequenceModel,
-    fit_sequence_model,
-    forecast_table,
-    model_name,
-    prepare_series,
-)
+from tablelearn.plans.block_scoring import forecast_blocks
+from tablelearn.plans.block_training import fit_blocks, prepare_blocks
+from tablelearn.plans.sequence_model import REFERENCE_SERIES, SequenceConfig, SequenceModel, model_name
 from tablelearn.session import materialize
 from tablelearn.sources import read_csv, read_parquet
 from tablelearn.sources.sinks import write_parquet
@@ -170,14 +164,15 @@ def train_stock_model(
     *,
     since: str | None = REFERENCE_SERIES["since"],
     model_path: str | None = None,
+    mode: str = "frame",
 ) -> tuple[DataFrame, SequenceModel]:
-    """Frames of the prepared series from ``since``, split, train, save, and
-    the actual-vs-predicted NextClose of every frame (train then test)."""
+    """The prepared series from ``since`` in frames, split, train, save, and
+    the actual-vs-predicted NextClose of every frame (train then test). With a
+    ``model_path`` every epoch is saved there, and a call that finds saved epochs
+    goes on behind them. ``mode="carry"`` scores with the state carried on."""
     cfg = cfg or SequenceConfig.reference()
     rows = read_parquet(spark, path).withColumn("Date", F.to_date("Date"))
-    frames, stats = prepare_series(rows, cfg, order="Date", since=since)
-    frames = materialize(frames, "stock-frames")
-    model = fit_sequence_model(frames, cfg)
-    if model_path:
-        model.save(spark, f"{model_path.rstrip('/')}/lstm_model_{model_name(cfg)}")
-    return forecast_table(frames, model, stats, label="NextClose"), model
+    blocks, stats = prepare_blocks(rows, cfg, order="Date", since=since)
+    run_path = f"{model_path.rstrip('/')}/lstm_model_{model_name(cfg)}" if model_path else None
+    model = fit_blocks(blocks, cfg, run_path=run_path)
+    return forecast_blocks(blocks, model, stats, label="NextClose", mode=mode), model

@@ -20,13 +20,11 @@ from pyspark.sql import functions as F
 from tablelearn import functions as tf
 from tablelearn.operators import evaluate, features, report, sequence, shaping, split
 from tablelearn.plans import models
-from tablelearn.plans.sequence_model import (
-    SequenceConfig,
-    fit_sequence_model,
-    forecast_overlay,
-    forecast_table,
-    prepare_series,
-)
+from tablelearn.plans import recurrent as rn
+from tablelearn.plans.block_scoring import carry_states, forecast_blocks, score_blocks
+from tablelearn.plans.block_training import fit_blocks, prepare_blocks
+from tablelearn.plans.model_store import ModelStore
+from tablelearn.plans.sequence_model import SequenceConfig, SequenceModel, forecast_overlay, prepare_series
 from tablelearn.session import materialize, scratch_path
 from tablelearn.sources import load_table, read_csv, read_parquet, register, sql
 from tablelearn.sources.sinks import load_model, preview, save_model, write_csv, write_parquet
@@ -58,8 +56,8 @@ def event_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_next_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaping.next_day_join(order_days(spark, sf_dir), "Date", PRICES + ["Volume"])
+def order_next_days(spark: SparkSession, sf_dir: str, since_day: str | None = None) -> DataFrame:
+    return shaping.next_day_join(order_days(spark, sf_dir), "Date", PRICES + ["Volume"], since_day=since_day)
 
 
 def documents_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +164,8 @@ def q_next_day_join_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 + S4 (+ J1): the next-day join as SQL text over a registered view."""
     view = f"bars_{uuid.uuid4().hex[:8]}"
     values = PRICES + ["Volume"]
-    register(shaping.dedupe(shaping.drop_incomplete(order_days(spark, sf_dir))), view)
+    # Both sides of the join read the view; the bars are made and stored once.
+    register(materialize(shaping.dedupe(shaping.drop_incomplete(order_days(spark, sf_dir))), "order-days"), view)
     return sql(
         spark,
         f"SELECT today.*, {', '.join(f'tomorrow.{c} AS Next{c}' for c in values)} "
@@ -189,7 +188,7 @@ def q_stock_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_since_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4 + F5 + O3: the feature/label column list of the rows from 1998 on, in date order."""
-    df = shaping.since(order_next_days(spark, sf_dir), "Date", SINCE)
+    df = order_next_days(spark, sf_dir, SINCE)
     return shaping.project(df, ["Date"] + PRICES + NEXT_PRICES).orderBy("Date")
 
 
@@ -199,7 +198,7 @@ def q_minmax_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scaled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    nd = order_next_days(spark, sf_dir)
+    nd = materialize(order_next_days(spark, sf_dir), "order-next-days")
     stats = features.minmax_stats(nd, PRICES + NEXT_PRICES)  # bounds over all rows, as the reference
     rows = shaping.project(shaping.since(nd, "Date", SINCE), ["Date"] + PRICES + NEXT_PRICES)
     return features.minmax_scale(rows, PRICES + NEXT_PRICES, stats), stats
@@ -567,13 +566,12 @@ def _forecast_config(epochs: int = 2) -> SequenceConfig:
     )
 
 
-def _fit_orders_model(spark: SparkSession, sf_dir: str, cfg: SequenceConfig):
+def _fit_orders_model(spark: SparkSession, sf_dir: str, cfg: SequenceConfig, run_path: str | None = None):
     # The prepared series is a stored table, as between the reference's two programs:
-    # the bounds and the frames both read it instead of re-running the join.
+    # the bounds and the blocks both read it instead of re-running the join.
     rows = materialize(order_next_days(spark, sf_dir), "order-next-days")
-    frames, stats = prepare_series(rows, cfg, order="Date", since="1996-01-01")
-    frames = materialize(frames, "order-frames")
-    return frames, stats, fit_sequence_model(frames, cfg)
+    blocks, stats = prepare_blocks(rows, cfg, order="Date", since="1996-01-01")
+    return blocks, stats, fit_blocks(blocks, cfg, run_path=run_path)
 
 
 def q_prepare_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -599,9 +597,8 @@ def q_forecast_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + L1-L9 on the long orders series: next-day join, bounds from all rows, frames of 50
     days from 1996 on, 98 % chronological split, data-parallel training with parameter
     averaging, then unscaled actual vs predicted NextClose at every frame (train and test)."""
-    cfg = _forecast_config()
-    frames, stats, model = _fit_orders_model(spark, sf_dir, cfg)
-    return forecast_table(frames, model, stats, label="NextClose")
+    blocks, stats, model = _fit_orders_model(spark, sf_dir, _forecast_config())
+    return forecast_blocks(blocks, model, stats, label="NextClose")
 
 
 def q_training_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -642,13 +639,90 @@ def q_prepare_event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_forecast_events_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + L8 (carry) on one daily series per event type: frames of 5 days, state carried
-    down each type's frames while scoring."""
+    down each type's frames while scoring, solved over blocks of 8 days at once."""
     cfg = _event_config()
-    days = event_days(spark, sf_dir)
-    frames, stats = prepare_series(days, cfg, order="Date", key="event_type")
-    frames = materialize(frames, "event-frames")
-    model = fit_sequence_model(frames, cfg, key="event_type")
-    return forecast_table(frames, model, stats, label="Close", key="event_type", mode="carry")
+    days = materialize(event_days(spark, sf_dir), "event-days")
+    blocks, stats = prepare_blocks(days, cfg, order="Date", key="event_type", block_rows=8)
+    model = fit_blocks(blocks, cfg, key="event_type")
+    return forecast_blocks(blocks, model, stats, label="Close", key="event_type", mode="carry")
+
+
+def _one_unit_config(**more) -> SequenceConfig:
+    """One hidden and one dense unit in double precision: small enough to be stated in SQL."""
+    base = dict(features=["Close"], labels=["NextClose"], hidden=1, dense=1, dtype="float64", seed=8)
+    return SequenceConfig(**{**base, **more})
+
+
+TRAINING_STEPS = _one_unit_config(
+    frame_size=2, batch_size=300, epochs=2, workers=2, averaging_frequency=1, l2=1e-3, learning_rate=0.02
+)
+CARRY_PASS = _one_unit_config(frame_size=5)
+
+
+def q_training_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 + L5 + L6 exactly: parameters and optimiser state of a network of one hidden unit after
+    two epochs over the orders series in frames of two days, two slots averaged each round."""
+    cfg = TRAINING_STEPS
+    rows = materialize(order_next_days(spark, sf_dir), "order-next-days")
+    blocks, _ = prepare_blocks(rows, cfg, order="Date", block_rows=256)
+    store = ModelStore(spark, fit_blocks(blocks, cfg).run)
+    weights = store.read(store.newest(), "weights").select("offset", F.posexplode(F.arrays_zip("params", "rms")).alias("i", "v"))
+    return weights.select(
+        (F.col("offset") + F.col("i") + 1).cast("int").alias("position"),
+        F.round("v.params", 9).alias("value"),
+        F.round("v.rms", 9).alias("rms"),
+    )
+
+
+def q_carry_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8 exactly: one stateful pass of a network of one hidden unit down the orders series,
+    solved over blocks of 128 days at once; the scaled prediction of every frame."""
+    cfg = CARRY_PASS
+    rows = materialize(order_next_days(spark, sf_dir), "order-next-days")
+    blocks, _ = prepare_blocks(rows, cfg, order="Date", block_rows=128)
+    model = SequenceModel(cfg, rn.init_params(cfg.shape, cfg.seed), rn.init_params(cfg.shape, cfg.seed) * 0)
+    scored = score_blocks(blocks, model, mode="carry", tol=1e-13)
+    return scored.select("frame_idx", F.round(F.element_at("pred", 1), 9).alias("pred"))
+
+
+def q_lineitem_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L8 on line items, one long series per return flag: blocks scored per series, and how many
+    of them begin with a state other than the one that the block before them ends with."""
+    cfg = SequenceConfig(features=["l_quantity", "l_extendedprice"], labels=["l_quantity"], frame_size=5, hidden=4, dense=4, seed=3)
+    blocks, _ = prepare_blocks(_lineitem_series(spark, sf_dir), cfg, order=LINEITEM_ORDER, key="l_returnflag")
+    blocks = materialize(blocks, "lineitem-blocks")
+    model = SequenceModel(cfg, rn.init_params(cfg.shape, cfg.seed), rn.init_params(cfg.shape, cfg.seed) * 0)
+    states, passes = carry_states(blocks, model, key="l_returnflag")
+    frames = score_blocks(blocks, model, key="l_returnflag", mode="carry", states=states).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_frames"), F.count_distinct("frame_idx").alias("n_distinct"), F.max("frame_idx").alias("last_frame")
+    )
+    return frames.withColumn("unsettled", F.lit(passes[-1][1]).cast("long"))
+
+
+LINEITEM_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
+
+
+def _lineitem_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_table(spark, sf_dir, "lineitem").select("l_returnflag", *LINEITEM_ORDER, "l_quantity", "l_extendedprice")
+
+
+def q_model_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + L10: training ended after one epoch and a torn save behind it, then loaded and gone on
+    with, against one run; per epoch and round the frames and whether the losses are equal, with
+    whether all parameters and the optimiser state are."""
+    cfg = _forecast_config(epochs=3)
+    blocks, _, whole = _fit_orders_model(spark, sf_dir, cfg)
+    path = scratch_path(spark, "ended-run")
+    fit_blocks(blocks, _forecast_config(epochs=1), run_path=path)
+    store = ModelStore(spark, path)
+    store.stage({"weights": store.read(store.newest(), "weights").limit(0)})  # never committed
+    resumed = fit_blocks(blocks, cfg, run_path=path)
+    same = bool((resumed.params == whole.params).all() and (resumed.rms == whole.rms).all())
+    one = whole.history_df(spark).select("epoch", "round", "n_frames", "loss")
+    two = resumed.history_df(spark).select("epoch", "round", F.col("loss").alias("loss2"))
+    return one.join(two, ["epoch", "round"]).select(
+        "epoch", "round", "n_frames", (F.col("loss") == F.col("loss2")).alias("same_loss"), F.lit(same).alias("same_state")
+    )
 
 
 def _null_key_days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -754,18 +828,14 @@ def q_forecast_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lineitem_training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M10, L6, L7, L10 on one series per return flag, which grows with the table: frames per
+    """M10, L6, L7, L10 on the line items themselves, one series per return flag: frames per
     epoch and averaging round, and whether the loss is finite."""
-    rows = load_table(spark, sf_dir, "lineitem").select(
-        "l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
-    )
-    rows = materialize(rows.groupBy("l_returnflag", "l_shipdate").agg(F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price")), "shipping-days")
     cfg = SequenceConfig(
-        features=["quantity", "price"], labels=["quantity"], frame_size=5, batch_size=32, epochs=2, hidden=4, dense=4,
-        split_ratio=0.8, averaging_frequency=2,
+        features=["l_quantity", "l_extendedprice"], labels=["l_quantity"], frame_size=5, batch_size=512, epochs=2, hidden=4, dense=4,
+        split_ratio=0.8, averaging_frequency=8,
     )
-    frames, _ = prepare_series(rows, cfg, order="l_shipdate", key="l_returnflag", constant=0.0)
-    model = fit_sequence_model(materialize(frames, "shipping-frames"), cfg, key="l_returnflag")
+    blocks, _ = prepare_blocks(_lineitem_series(spark, sf_dir), cfg, order=LINEITEM_ORDER, key="l_returnflag", constant=0.0)
+    model = fit_blocks(blocks, cfg, key="l_returnflag")
     return model.history_df(spark).select(
         "epoch", "round", "n_frames", (~F.isnan("loss") & (F.col("loss") < 1e9)).alias("finite")
     )
@@ -870,6 +940,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prepare_event_series": q_prepare_event_series,
     "forecast_table": q_forecast_table,
     "training_history": q_training_history,
+    "training_steps": q_training_steps,
+    "carry_pass": q_carry_pass,
+    "lineitem_carry": q_lineitem_carry,
+    "model_resume": q_model_resume,
     "forecast_events_carry": q_forecast_events_carry,
     "null_key_frames": q_null_key_frames,
     "null_key_minmax": q_null_key_minmax,

@@ -3,19 +3,14 @@
 * ``prepare_series`` (L1): min-max bounds (from all rows by default), the
   since-filter, scaling, sliding frames, the chronological split and
   mini-batch numbers, all distributed (no rows go to the driver).
-* ``fit_sequence_model`` (L6, L7, L10): per epoch, the training batches are
-  dealt to ``workers`` slots (a fixed setting; cores only decide how many run at once), ``averaging_frequency`` batches per slot and
-  round. The batches are written once to the shared checkpoint folder,
-  partitioned by round, so a round reads only its own files. One round is
-  one Spark job: ``groupBy(slot).applyInPandas`` trains from the broadcast
+* ``fit_sequence_model`` (L6, L7, L10) trains from stored frames, one Spark job per
+  averaging round: ``groupBy(slot).applyInPandas`` trains from the broadcast
   parameters and RMSProp state, each slot emits its result in chunks, and a
-  ``groupBy(chunk)`` sum gives the example-weighted average. Only the
-  averaged parameter vector comes back to the driver, to be broadcast for the
-  next round.
-* ``predict_sequence`` (L8): ``mode="frame"`` scores every frame from a zero
-  state in parallel (``mapInPandas``); ``mode="carry"`` carries the state
-  down each key's frames in order, as the reference's step-by-step scoring
-  does (streamed through sorted rows, one pass per key).
+  ``groupBy(chunk)`` sum gives the example-weighted average. It needs no barrier
+  stage; ``block_training.fit_blocks`` comes to the same parameters from the rows
+  themselves with one job per epoch and is what the programs use.
+* ``predict_sequence`` (L8) scores every frame from a zero state; scoring with a
+  carried state is in ``block_scoring``.
 * ``forecast_table`` (L9): actual and predicted value of one label at each
   frame's last step, unscaled with that label's bounds.
 """
@@ -36,6 +31,7 @@ from tablelearn.operators import features as feat
 from tablelearn.operators import report, sequence, shaping, split
 from tablelearn.operators.joins import join_small
 from tablelearn.plans import recurrent as rn
+from tablelearn.plans.model_store import ModelStore
 from tablelearn.session import scratch_path
 from tablelearn.sources.sinks import write_parquet
 
@@ -101,43 +97,50 @@ class SequenceConfig:
 
 @dataclass
 class SequenceModel:
+    """Parameters and optimiser state; ``history`` holds the rounds of a model trained from
+    frames, ``run`` the folder of one trained from blocks or loaded, whose history is a table."""
+
     config: SequenceConfig
     params: np.ndarray
     rms: np.ndarray
     history: list[tuple] = field(default_factory=list)
+    run: str | None = None
+
+    HISTORY = "epoch int, round int, loss double, n_frames long, seconds double"
 
     def history_df(self, spark: SparkSession) -> DataFrame:
         """``(epoch, round, loss, n_frames, seconds)`` per averaging round."""
-        return spark.createDataFrame(
-            self.history, "epoch int, round int, loss double, n_frames long, seconds double"
-        )
+        rows = ModelStore(spark, self.run).table("history") if self.run else None
+        return rows if rows is not None else spark.createDataFrame(self.history, self.HISTORY)
 
     def save(self, spark: SparkSession, path: str) -> str:
-        """Weights and RMSProp state (one row per chunk) under ``path/weights`` and the
-        settings and history under ``path/settings``, so training can resume from it."""
+        """A new version under ``path`` (see ``ModelStore``) with weights and RMSProp state,
+        one row per chunk, settings and history, so training can resume from it."""
         cfg = self.config
         rows = [
             (i, self.params[i : i + cfg.chunk_size].tolist(), self.rms[i : i + cfg.chunk_size].tolist())
             for i in range(0, self.params.size, cfg.chunk_size)
         ]
         weights = spark.createDataFrame(rows, "offset long, params array<double>, rms array<double>")
-        write_parquet(weights.coalesce(1), f"{path.rstrip('/')}/weights")
-        settings = spark.createDataFrame(
-            [(json.dumps(asdict(cfg)), json.dumps([list(h) for h in self.history]))], "config string, history string"
-        )
-        write_parquet(settings.coalesce(1), f"{path.rstrip('/')}/settings")
+        store = ModelStore(spark, path)
+        tables = {"weights": weights.coalesce(1)}
+        if store.newest() is None:  # a later version's history goes on from the earlier ones
+            tables["history"] = self.history_df(spark)
+        store.save(tables, config=json.dumps(asdict(cfg)))
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, config: SequenceConfig | None = None) -> SequenceModel:
-        base = path.rstrip("/")
-        rows = spark.read.parquet(f"{base}/weights").orderBy("offset").collect()  # one row per chunk
+        """The newest complete version under ``path``."""
+        store = ModelStore(spark, path)
+        newest = store.newest()
+        if newest is None:
+            raise FileNotFoundError(f"no complete model version under {path}")
+        rows = store.read(newest, "weights").orderBy("offset").collect()  # one row per chunk
         params = np.concatenate([np.asarray(r["params"], dtype=float) for r in rows])
         rms = np.concatenate([np.asarray(r["rms"], dtype=float) for r in rows])
-        saved = spark.read.parquet(f"{base}/settings").first()
-        cfg = config or SequenceConfig(**json.loads(saved["config"]))
-        history = [tuple(h) for h in json.loads(saved["history"])]
-        return cls(cfg, params, rms, history)
+        cfg = config or SequenceConfig(**json.loads(newest["config"]))
+        return cls(cfg, params, rms, run=store.root)
 
 
 def model_name(cfg: SequenceConfig) -> str:
@@ -193,8 +196,8 @@ def _deal_batches(train: DataFrame, key: str | None, workers: int, freq: int) ->
         per_key = per_key.select(key, F.coalesce(F.sum("_batches").over(before), F.lit(0)).alias("_before"))
         train = join_small(train, per_key, on=[key])
         number = number + F.col("_before")
-    dealt = train.withColumn("slot", F.pmod(number, F.lit(workers)).cast("long"))
-    return dealt.withColumn("round", F.floor(number / F.lit(workers * freq)).cast("int")).drop("_before")
+    dealt = train.withColumn("number", number).withColumn("slot", F.pmod("number", F.lit(workers)).cast("long"))
+    return dealt.withColumn("round", F.floor(F.col("number") / F.lit(workers * freq)).cast("int")).drop("_before")
 
 
 _RESULT_SCHEMA = StructType(
@@ -209,25 +212,23 @@ _RESULT_SCHEMA = StructType(
 )
 
 
-def _slot_trainer(shape: rn.NetShape, cfg: SequenceConfig, bc, key: str | None, round_seed: int):
+def _slot_trainer(shape: rn.NetShape, cfg: SequenceConfig, bc, round_seed: int):
     lr, decay, eps, l2, drop = cfg.learning_rate, cfg.rms_decay, cfg.epsilon, cfg.l2, cfg.drop_prob
     chunk = cfg.chunk_size
     dt = np.dtype(cfg.dtype)
     by_examples = cfg.averaging == "examples"
     if cfg.averaging not in ("examples", "workers"):
         raise ValueError("averaging must be 'examples' or 'workers'")
-    sort_cols = ([key] if key else []) + ["batch_id", "frame_idx"]
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         state = bc.value
         size = shape.size
         params, rms = state[:size].astype(dt), state[size:].astype(dt)
-        pdf = pdf.sort_values(sort_cols)
+        pdf = pdf.sort_values(["number", "frame_idx"])
         slot = int(pdf["slot"].iloc[0])
         rng = np.random.default_rng([round_seed, slot])
         loss_sum, n = 0.0, 0
-        group_cols = ([key] if key else []) + ["batch_id"]
-        for _, b in pdf.groupby(group_cols, sort=False):
+        for _, b in pdf.groupby("number", sort=False):
             X = np.stack([np.stack(v) for v in b["x"].to_numpy()]).astype(dt)
             Y = np.stack([np.stack(v) for v in b["y"].to_numpy()]).astype(dt)
             mask = rn.dropout_mask(rng, X.shape, drop)
@@ -310,7 +311,7 @@ def fit_sequence_model(
     n_rounds = 0 if last_round is None else int(last_round) + 1
     if init is not None:
         params, rms = init.params.copy(), init.rms.copy()
-        history = list(init.history)
+        history = [tuple(r) for r in init.history_df(spark).orderBy("epoch", "round").collect()] if init.run else list(init.history)
     else:
         params, rms = rn.init_params(shape, cfg.seed), np.zeros(shape.size)
         history = []
@@ -319,7 +320,7 @@ def fit_sequence_model(
         for r in range(n_rounds):
             t0 = time.time()
             bc = sc.broadcast(np.concatenate([params, rms]))
-            trainer = _slot_trainer(shape, cfg, bc, key, cfg.seed + epoch * 100003 + r)
+            trainer = _slot_trainer(shape, cfg, bc, cfg.seed + epoch * 100003 + r)
             results = stored.where(F.col("round") == r).groupBy("slot").applyInPandas(trainer, _RESULT_SCHEMA)
             vec, n, loss_sum = _average(results)
             bc.destroy()  # also removes the driver's file
@@ -337,149 +338,31 @@ def fit_sequence_model(
 
 
 def predict_sequence(
-    frames: DataFrame,
-    model: SequenceModel,
-    *,
-    key: str | None = None,
-    mode: str = "frame",
-    chunk_frames: int = 100_000,
-    extra: list[str] | None = None,
+    frames: DataFrame, model: SequenceModel, *, key: str | None = None, extra: list[str] | None = None
 ) -> DataFrame:
-    """Scaled predictions at each frame's last step: ``key?, frame_idx, part, extra..., pred`` (array<double>).
+    """Scaled predictions at each frame's last step, every frame from a zero state:
+    ``key?, frame_idx, part, extra..., pred`` (array<double>).
 
     ``extra`` columns of ``frames`` are carried through unchanged, so callers
-    never need to join predictions back to their frames.
-
-    ``mode="frame"``: every frame from a zero state (parallel over frames).
-    ``mode="carry"``: per key, the network steps through the frames' last
-    rows in order with its state carried from frame to frame (train then
-    test), the reference's stateful scoring. The recurrence is sequential per
-    key, so the series is cut into chunks of ``chunk_frames`` frames processed
-    one Spark job after another, each job in parallel over keys, with the
-    state passed on between chunks (see ``_predict_carry``).
-    """
-    spark = frames.sparkSession
+    never need to join predictions back to their frames. Scoring with the state
+    carried from frame to frame reads blocks (``block_scoring.score_blocks``)."""
     shape = model.config.shape
-    bc = spark.sparkContext.broadcast(model.params.astype(np.dtype(model.config.dtype)))
-    keys = [key] if key else []
-    extra = list(extra or [])
-    passed = keys + ["frame_idx", "part"] + extra
+    bc = frames.sparkSession.sparkContext.broadcast(model.params.astype(np.dtype(model.config.dtype)))
+    passed = ([key] if key else []) + ["frame_idx", "part", *(extra or [])]
     out_schema = StructType(
         [f for f in frames.select(*passed).schema.fields] + [StructField("pred", ArrayType(DoubleType()))]
     )
-    base = frames.select(*passed, "x")
-
-    if mode == "frame":
 
-        def score(it):
-            flat = bc.value
-            for pdf in it:
-                if pdf.empty:
-                    continue
-                X = np.stack([np.stack(v) for v in pdf["x"].to_numpy()]).astype(float)
-                pred = rn.predict_last(shape, flat, X)
-                yield pd.DataFrame({**{c: pdf[c] for c in passed}, "pred": list(pred)})
-
-        return base.mapInPandas(score, out_schema)
-
-    if mode != "carry":
-        raise ValueError("mode must be 'frame' or 'carry'")
-    return _predict_carry(frames, shape, bc, keys, chunk_frames, extra)
-
-
-def _predict_carry(
-    frames: DataFrame, shape: rn.NetShape, bc, keys: list[str], chunk_frames: int, extra: list[str]
-) -> DataFrame:
-    """Carry mode in chunks of ``chunk_frames`` frames per key: one Spark job per chunk
-    (parallel across keys), each key's state handed to its next chunk through a
-    size-checked join on the chunk's first frame. No task sees more than one
-    chunk of one key, however long the series. Inside a task the rows are
-    time-major, so the keys of one step share a single vectorised network step."""
-    spark = frames.sparkSession
-    passed = keys + ["frame_idx", "part"] + extra
-    steps = frames.select(*passed, F.element_at("x", -1).alias("x_last")).withColumn(
-        "_chunk", F.floor(F.col("frame_idx") / F.lit(chunk_frames)).cast("long")
-    )
-    stored = spark.read.parquet(write_parquet(steps, scratch_path(spark, "carry-steps"), partition_by=["_chunk"]))
-    last_chunk = stored.agg(F.max("_chunk")).first()[0]
-    key_fields = [f for f in frames.select(*passed).schema.fields]
-    vec = ArrayType(DoubleType())
-    schema = StructType(key_fields + [StructField(n, vec) for n in ("pred", "h", "c")])
-
-    def run_chunk(it):
-        # Rows arrive time-major (frame_idx, then key): every key present at a step
-        # is advanced in one vectorised network step. One state row per key of
-        # this task's hash partition is kept (2 x hidden values each).
+    def score(it):
         flat = bc.value
-        H = shape.hidden
-        pos: dict = {}
-        h_mat = np.zeros((16, H), dtype=flat.dtype)
-        c_mat = np.zeros((16, H), dtype=flat.dtype)
-        last: list = []
-        blanks = (None,) * len(extra)
         for pdf in it:
             if pdf.empty:
                 continue
-            key_tuples = list(zip(*[pdf[c].tolist() for c in keys])) if keys else [()] * len(pdf)
-            idx = np.empty(len(pdf), dtype=np.int64)
-            for i, k in enumerate(key_tuples):
-                j = pos.get(k)
-                if j is None:
-                    j = pos[k] = len(pos)
-                    if j >= h_mat.shape[0]:
-                        h_mat = np.vstack([h_mat, np.zeros_like(h_mat)])
-                        c_mat = np.vstack([c_mat, np.zeros_like(c_mat)])
-                    h0, c0 = pdf["h0"].iat[i], pdf["c0"].iat[i]
-                    if h0 is not None:
-                        h_mat[j] = np.asarray(h0, dtype=flat.dtype)
-                        c_mat[j] = np.asarray(c0, dtype=flat.dtype)
-                    last.append(None)
-                idx[i] = j
-            steps = pdf["frame_idx"].to_numpy()
-            x_all = np.stack([np.asarray(v, dtype=float) for v in pdf["x_last"].to_numpy()])
-            preds = np.empty((len(pdf), shape.n_out))
-            bounds = np.flatnonzero(np.diff(steps)) + 1
-            for lo, hi in zip(np.r_[0, bounds], np.r_[bounds, len(pdf)]):
-                sel = idx[lo:hi]
-                y, _, (h, c) = rn.forward(
-                    shape, flat, x_all[lo:hi, None, :], state=(h_mat[sel], c_mat[sel]), keep=False
-                )
-                h_mat[sel], c_mat[sel] = h, c
-                preds[lo:hi] = y[:, -1, :]
-            parts = pdf["part"].tolist()
-            for i, j in enumerate(idx):
-                last[j] = (int(steps[i]), parts[i])
-            out = pd.DataFrame({c: pdf[c] for c in passed})
-            out["pred"] = list(preds)
-            out["h"] = None
-            out["c"] = None
-            yield out
-        tail = [
-            (*k, last[j][0], last[j][1], *blanks, None, h_mat[j].tolist(), c_mat[j].tolist())
-            for k, j in pos.items()
-        ]
-        if tail:
-            yield pd.DataFrame(tail, columns=schema.names)
-
-    paths, state_df = [], None
-    for j in range(0 if last_chunk is None else int(last_chunk) + 1):
-        chunk = stored.where(F.col("_chunk") == j).drop("_chunk")
-        if state_df is None:
-            chunk = chunk.withColumn("h0", F.lit(None).cast(vec)).withColumn("c0", F.lit(None).cast(vec))
-        else:
-            chunk = join_small(chunk, state_df, on=keys + ["frame_idx"], how="left")
-        chunk = chunk.repartition(*keys) if keys else chunk.repartition(1)
-        out = chunk.sortWithinPartitions("frame_idx", *keys).mapInPandas(run_chunk, schema)
-        path = write_parquet(out, scratch_path(spark, f"carry-out-{j}"))
-        paths.append(path)
-        state_df = (
-            spark.read.parquet(path)
-            .where(F.col("h").isNotNull())
-            .select(*keys, (F.col("frame_idx") + 1).alias("frame_idx"), F.col("h").alias("h0"), F.col("c").alias("c0"))
-        )
-    if not paths:
-        return spark.createDataFrame([], StructType(key_fields + [StructField("pred", vec)]))
-    return spark.read.parquet(*paths).where(F.col("pred").isNotNull()).select(*passed, "pred")
+            X = np.stack([np.stack(v) for v in pdf["x"].to_numpy()]).astype(float)
+            pred = rn.predict_last(shape, flat, X)
+            yield pd.DataFrame({**{c: pdf[c] for c in passed}, "pred": list(pred)})
+
+    return frames.select(*passed, "x").mapInPandas(score, out_schema)
 
 
 def forecast_table(
@@ -489,8 +372,6 @@ def forecast_table(
     *,
     label: str = "NextClose",
     key: str | None = None,
-    mode: str = "frame",
-    chunk_frames: int = 100_000,
 ) -> DataFrame:
     """L9 (+ C5, C6, W2): ``key?, frame_idx, time, part, actual, predicted`` for one label, unscaled.
 
@@ -499,7 +380,7 @@ def forecast_table(
     keys = [key] if key else []
     j = model.config.labels.index(label)
     with_actual = frames.withColumn("actual", F.element_at(F.element_at("y", -1), j + 1))
-    pred = predict_sequence(with_actual, model, key=key, mode=mode, chunk_frames=chunk_frames, extra=["actual"])
+    pred = predict_sequence(with_actual, model, key=key, extra=["actual"])
     scored = pred.select(*keys, "frame_idx", "part", "actual", F.element_at("pred", j + 1).alias("predicted"))
     out = feat.minmax_unscale(scored, ["actual", "predicted"], stats, stat_cols=[label, label], key=key)
     return out.select(*keys, "frame_idx", (F.col("frame_idx") + 1).alias("time"), "part", "actual", "predicted")

@@ -8,7 +8,6 @@ from tablelearn.plans.sequence_model import (
     SequenceModel,
     fit_sequence_model,
     forecast_table,
-    predict_sequence,
     prepare_series,
 )
 
@@ -83,31 +82,6 @@ def test_one_slot_equals_plain_training(spark):
     assert np.allclose(model.rms, rms, atol=1e-12)
 
 
-def test_carry_mode_is_one_stateful_pass_per_key(spark):
-    cfg = _cfg(epochs=1, dtype="float64")
-    frames, stats = prepare_series(_series(spark, 40, keys=("a", "b")), cfg, order="t", key="k")
-    model = fit_sequence_model(frames, cfg, key="k")
-    got = {
-        (r["k"], r["frame_idx"]): np.array(r["pred"])
-        for r in predict_sequence(frames, model, key="k", mode="carry", chunk_frames=7).collect()
-    }
-    one_chunk = {
-        (r["k"], r["frame_idx"]): np.array(r["pred"])
-        for r in predict_sequence(frames, model, key="k", mode="carry").collect()
-    }
-    assert got.keys() == one_chunk.keys()
-    assert all(np.allclose(got[k], one_chunk[k]) for k in got)
-    for k in ("a", "b"):
-        rows = sorted(frames.where(F.col("k") == k).collect(), key=lambda r: r["frame_idx"])
-        state = None
-        for r in rows:
-            x = np.array(r["x"][-1], dtype=float)[None, None, :]
-            y, _, state = rn.forward(cfg.shape, model.params, x, state=state, keep=False)
-            assert np.allclose(got[(k, r["frame_idx"])], y[0, -1])
-    table = forecast_table(frames, model, stats, label="NextClose", key="k", mode="carry")
-    assert table.count() == len(got)
-
-
 def test_frame_mode_and_save_load(spark, tmp_path):
     cfg = _cfg(epochs=1, dtype="float64")
     frames, stats = prepare_series(_series(spark), cfg, order="t")
@@ -115,7 +89,7 @@ def test_frame_mode_and_save_load(spark, tmp_path):
     path = model.save(spark, str(tmp_path / "seq"))
     back = SequenceModel.load(spark, path)
     assert np.array_equal(back.params, model.params) and np.array_equal(back.rms, model.rms)
-    assert back.config == cfg and back.history == model.history
+    assert back.config == cfg and [tuple(r) for r in back.history_df(spark).collect()] == model.history
     table = forecast_table(frames, model, stats).collect()
     assert len(table) == frames.count()
     assert {r["part"] for r in table} == {"train", "test"}

@@ -1,9 +1,12 @@
 import random
+import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablelearn.operators import sequence, split
+from tablelearn.operators.blocks import series_blocks
 
 
 def _series(spark, sizes, seed=0):
@@ -123,20 +126,54 @@ def test_key_split_is_partition_independent(spark):
     assert a_train.count() + a_test.count() == 100
 
 
-def test_window_groups_are_bounded_whatever_the_skew(spark):
-    from pyspark.sql import functions as F
+def _rows_of_blocks(blocks):
+    out = {}
+    for r in blocks.collect():
+        assert len(r["_at"]) == len(r["x"]) and r["_first"] + len(r["_at"]) <= r["_n"]
+        for i, (at, x) in enumerate(zip(r["_at"], r["x"])):
+            out.setdefault((r["k"], r["_first"] + i), set()).add((at, x[0], i < r["_own"]))
+    return out
 
-    from tablelearn.operators.sequence import _spread_into_buckets
 
-    sizes = {"hot": 900, "a": 40, "b": 3}  # one key holds ~95 % of the rows
-    numbered = sequence.number_rows(_series(spark, sizes, seed=9), "t", "k", num_partitions=6)
-    size, bucket = 5, 32
-    spread = _spread_into_buckets(numbered, size, bucket)
-    per_bucket = spread.groupBy("_bucket").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("k").alias("keys"))
-    stats = per_bucket.agg(F.max("rows").alias("most"), F.count(F.lit(1)).alias("buckets")).first()
-    assert stats["most"] <= bucket + size - 1
-    hot_buckets = spread.where(F.col("k") == "hot").select("_bucket").distinct().count()
-    assert hot_buckets >= 900 // bucket
+@pytest.mark.parametrize("parts,block,overlap", [(6, 32, 4), (40, 3, 9), (3, 1, 1), (2, 500, 0)])
+def test_blocks_are_bounded_and_hold_the_rows_that_follow(spark, parts, block, overlap):
+    sizes = {"hot": 400, "a": 40, "b": 3, None: 17}  # one key holds most rows
+    df = _series(spark, sizes, seed=9)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        blocks = series_blocks(df, "t", ["v"], overlap=overlap, key="k", block_rows=block, num_partitions=parts).cache()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = {}
+    for k, t, v in sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] or "", r[1], r[2])):
+        want.setdefault(k, []).append((t, v))
+    got = _rows_of_blocks(blocks)
+    assert {key: {(t, v) for t, v, _ in rows} for key, rows in got.items()} == {
+        (k, i): {row} for k, rows in want.items() for i, row in enumerate(rows)
+    }
+    assert sum(own for rows in got.values() for _, _, own in rows) == len(got) == sum(sizes.values())
+    for r in blocks.collect():
+        assert r["_n"] == sizes[r["k"]] and 1 <= r["_own"] <= block
+        assert len(r["_at"]) == min(r["_own"] + overlap, r["_n"] - r["_first"])
+    assert blocks.where("k = 'hot'").count() >= 400 // block
+
+
+def test_blocks_keep_nulls_and_types(spark):
+    rows = [(date(2024, 1, 1 + t), None if t % 3 == 0 else t / 4, None if t == 5 else t) for t in range(12)]
+    df = spark.createDataFrame(rows, "d date, v double, w int")
+    r = series_blocks(df, "d", ["v", "w"], labels=["w", "v"], overlap=2, block_rows=100).first()
+    assert [tuple(s) for s in r["x"]] == [(v, None if w is None else float(w)) for _, v, w in rows]
+    assert [s[1] for s in r["y"]] == [v for _, v, _ in rows] and r["_at"] == [d for d, *_ in rows]
+    assert series_blocks(df.where("d is null"), "d", ["v"], overlap=2).collect() == []
+
+
+def test_frames_take_one_exchange_of_the_rows(spark, tmp_path):
+    _series(spark, {"a": 300, "b": 20}).write.parquet(str(tmp_path / "s"))
+    rows = spark.read.parquet(str(tmp_path / "s"))
+    frames = sequence.sliding_frames(rows, "t", ["v"], 5, key="k", num_partitions=4)
+    plan = frames._jdf.queryExecution().executedPlan().toString()
+    # What is left to run reads the stored blocks; only the row counts of partitions are exchanged.
+    assert set(re.findall(r"hashpartitioning\((\w+)", plan)) == {"_pid"} and "rangepartitioning" not in plan
 
 
 def test_random_split_repeats_on_the_same_partitioning(spark):
@@ -184,4 +221,5 @@ def test_unused_frame_arrays_are_pruned(spark, tmp_path):
     spark.range(100).select("id", F.col("id").cast("double").alias("v")).write.parquet(str(tmp_path / "s"))
     frames = sequence.sliding_frames(spark.read.parquet(str(tmp_path / "s")), "id", ["v"], 5)
     plan = frames.select("frame_idx", "n_frames")._jdf.queryExecution().executedPlan().toString()
-    assert "collect_list" not in plan
+    scanned = [line for line in plan.splitlines() if "Scan parquet" in line and "_own" in line]
+    assert scanned and all("x:" not in line and "_at" not in line for line in scanned)

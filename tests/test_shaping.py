@@ -57,6 +57,27 @@ def test_next_day_join_per_key(spark):
     assert len([g for g in got if g[0] == "b"]) == 2
 
 
+def test_next_day_join_equals_pairs_across_buckets_with_one_exchange(spark, tmp_path):
+    start = dt.datetime(1969, 11, 1)  # day numbers on both sides of 0
+    rows = []
+    for k, step in (("a", 1), ("b", 2), ("c", 1)):
+        for i in range(0, 200, step):
+            for hour in (0, 7) if i % 9 == 0 else (0,):
+                rows.append((k, start + dt.timedelta(days=i, hours=hour), float(i % 7)))
+    rows += rows[:40]
+    spark.createDataFrame(rows, "k string, t timestamp, v double").write.parquet(str(tmp_path / "days"))
+    df = spark.read.parquet(str(tmp_path / "days"))
+    distinct = set(rows)
+    want = {(k, t, v, w) for k, t, v in distinct for k2, u, w in distinct if k2 == k and u.date() == t.date() + dt.timedelta(days=1)}
+    for more in ({}, {"many_copies": True}):
+        got = [tuple(r) for r in shaping.next_day_join(df, "t", ["v"], key="k", **more).collect()]
+        assert set(got) == want and len(got) == len(want)
+    late = shaping.next_day_join(df, "t", ["v"], key="k", since_day="1970-01-04")
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in late.collect()} == {r for r in want if r[1] >= dt.datetime(1970, 1, 4)}
+    assert plan.count("Exchange ") == 1 and "Join" not in plan and "GreaterThanOrEqual(t," in plan
+
+
 def test_drop_incomplete_keeps_nan_drops_null(spark):
     cols = ["Date", "Open", "Close", "Low", "High", "Volume", "NextOpen", "NextClose", "NextLow", "NextHigh", "NextVolume"]
     full = [dt.date(2024, 1, 1)] + [1.0] * 10
