@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablelearn import functions as tf
 from tablelearn.operators.joins import first_row, join_small
+from tablelearn.operators.sequence import number_rows
 
 
 def assembler(cols: list[str], output: str = "features", handle_invalid: str = "error") -> VectorAssembler:
@@ -46,6 +47,24 @@ def index_label(
     return model.transform(df)
 
 
+def frequency_index(df: DataFrame, col: str, index_col: str = "label") -> DataFrame:
+    """X2 + A4 as a table: ``col, index_col, n``, the values by frequency (most frequent 0.0, ties
+    alphabetical, as ``index_label``) with their counts, for columns of any number of values.
+
+    The counts are ranked by range partitions and nothing is collected; ``apply_index`` joins
+    the index to rows. NULL gets no index."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("string").alias(col)).agg(F.count(F.lit(1)).alias("n"))
+    ranked = number_rows(counts.withColumn("_often", -F.col("n")), ["_often", col], idx_col="_rank", n_col="_values")
+    return ranked.select(col, F.col("_rank").cast("double").alias(index_col), "n")
+
+
+def apply_index(df: DataFrame, index: DataFrame, col: str, index_col: str = "label") -> DataFrame:
+    """``df`` plus the index of ``col``; values without one (and NULL) get NULL. The index is
+    broadcast only while it is small."""
+    kind = df.schema[col].dataType
+    return join_small(df, index.select(F.col(col).cast(kind).alias(col), index_col), on=[col], how="left")
+
+
 def label_names(indexed_model, input_col: str = "prediction", output: str = "predicted_label") -> IndexToString:
     return IndexToString(inputCol=input_col, outputCol=output, labels=indexed_model.labels)
 

@@ -11,10 +11,23 @@ from tablelearn.operators.joins import join_small
 
 def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:
     """P1s: seeded Bernoulli split. Row membership depends on the input partitioning;
-    use ``key_split`` when a result must be reproducible across cluster sizes."""
+    ``seeded_split`` gives the same parts on any partitioning."""
     return df.randomSplit(weights, seed)
 
 
+def seeded_split(df: DataFrame, weights: list[float], seed: int, key: str | list[str]) -> list[DataFrame]:
+    """P1s by key: each row's part follows from the seed and its key alone, so it is the same on
+    any partitioning and in any other table with that key. A row takes the place in [0, 1)
+    that the first 32 bits of the MD5 of ``seed:key`` stand for."""
+    keys = [key] if isinstance(key, str) else list(key)
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    place = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    total, ends = sum(weights), [0.0]
+    for w in weights:
+        ends.append(ends[-1] + w / total)
+    return [df.where((place >= a) & (place < b)) for a, b in zip(ends, [*ends[1:-1], 1.0])]
+
+
 def key_bucket(key: str, buckets: int, method: str = "mod") -> Column:
     if method == "mod":
         return F.pmod(F.col(key), F.lit(buckets))

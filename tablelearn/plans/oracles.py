@@ -362,6 +362,17 @@ SELECT p_partkey, round(a + b * p_partkey, 4) AS predict, true AS same FROM part
     "kmeans_segments_check": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest, true AS within_k FROM customer",
     "kmeans_embeddings_check": "SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest, true AS within_k FROM embeddings",
     "forest_is_mean_of_trees": "SELECT p_partkey, true AS is_mean FROM part",
+    "seeded_split": """
+SELECT part, count(*) AS n, count(DISTINCT l_orderkey) AS orders, round(sum(l_quantity), 2) AS quantity
+FROM (SELECT *, CASE WHEN CAST('0x' || substr(md5('123:' || l_orderkey), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) < 0.75
+                     THEN 'train' ELSE 'test' END AS part FROM lineitem) GROUP BY 1""",
+    "frequency_index": """
+SELECT l_orderkey, CAST(row_number() OVER (ORDER BY n DESC, CAST(l_orderkey AS VARCHAR)) - 1 AS DOUBLE) AS label, n, quantity
+FROM (SELECT l_orderkey, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY 1)""",
+    "boxes_forest_regressor": "SELECT p_partkey, true AS same, CAST(20 AS BIGINT) AS trees FROM part",
+    "boxes_tree_regressor": "SELECT p_partkey, true AS same, CAST(1 AS BIGINT) AS trees FROM part",
+    "boxes_forest_classifier": f"SELECT doc_id, true AS same, CAST(20 AS BIGINT) AS trees FROM ({_DOCS_SQL})",
+    "boxes_tree_classifier": f"SELECT doc_id, true AS same, CAST(1 AS BIGINT) AS trees FROM ({_DOCS_SQL})",
     "forecast_check": f"""
 SELECT frame_idx, frame_idx + 1 AS time, part, actual, true AS finite FROM ({_PREPARED})""",
     "training_check": _TRAINING_ROUNDS,

@@ -25,6 +25,7 @@ from tablelearn.plans.block_scoring import carry_states, forecast_blocks, score_
 from tablelearn.plans.block_training import fit_blocks, prepare_blocks
 from tablelearn.plans.model_store import ModelStore
 from tablelearn.plans.sequence_model import SequenceConfig, SequenceModel, forecast_overlay, prepare_series
+from tablelearn.plans.tree_tables import leaf_boxes, score_boxes
 from tablelearn.session import materialize, scratch_path
 from tablelearn.sources import load_table, read_csv, read_parquet, register, sql
 from tablelearn.sources.sinks import load_model, preview, save_model, write_csv, write_parquet
@@ -330,6 +331,28 @@ def q_random_split_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("p_partkey").agg(F.count(F.lit(1)).alias("times"))
 
 
+def q_seeded_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P1s on any partitioning: line items split 0.75/0.25 by their order's key and a seed; per
+    part its rows, its orders and the sum of its quantities."""
+    rows = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    train, test = split.seeded_split(rows, [0.75, 0.25], 123, "l_orderkey")
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+    )
+
+
+def q_frequency_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 + A4 on a column of many values: the orders of line items by their number of items, and
+    the quantity that the joined-back index leads to."""
+    rows = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    index = materialize(features.frequency_index(rows, "l_orderkey"), "order-index")
+    found = features.apply_index(rows, index, "l_orderkey").groupBy("label").agg(
+        F.first("l_orderkey").alias("l_orderkey"), F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+    )
+    return found.select("l_orderkey", "label", "n", "quantity")
+
+
 def q_prediction_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4s: grid over the observed range of part.p_size, step 0.5."""
     return report.grid_over(load_table(spark, sf_dir, "part"), "p_size", 0.5, "x")
@@ -817,6 +840,29 @@ def q_forest_is_mean_of_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("p_partkey", (F.abs(mean - F.col("predict")) < 1e-6).alias("is_mean"))
 
 
+def _boxes_query(task: str, kind: str, **params):
+    """A model over a whole table as leaf boxes; per row whether the boxes say what the model says
+    and how many trees hold it."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if task == "regress":
+            rows, names = load_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice"), ["p_partkey", "p_size"]
+            model = models.fit_regressor(rows, kind, names, "p_retailprice", seed=5, **params)
+            key, said, classes = "p_partkey", "predict", 0
+        else:
+            rows, names = documents_labelled(spark, sf_dir).withColumn("y", F.col("quality").cast("double")), ["n_chars", "non_letter_share"]
+            model = models.fit_classifier(rows, kind, names, "y", index_label=False, handle_invalid="keep", seed=5, **params)
+            key, said, classes = "doc_id", "prediction", 2
+        boxes = leaf_boxes(spark, model)
+        scored = score_boxes(models.score(model, rows), boxes, names, classes)
+        return scored.select(
+            key, (F.abs(F.col("box_prediction") - F.col(said)) < 1e-6).alias("same"), F.col("box_trees").alias("trees")
+        )
+
+    run.__doc__ = f"M2/M5/M8/M9 as a table ({task}, {kind}): every row's box prediction against the model's."
+    return run
+
+
 def q_forecast_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L8, L9 checked: part, time and unscaled actual close of every frame, and whether the
     forecast is a finite number."""
@@ -954,6 +1000,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kmeans_segments_check": q_kmeans_segments_check,
     "kmeans_embeddings_check": q_kmeans_embeddings_check,
     "forest_is_mean_of_trees": q_forest_is_mean_of_trees,
+    "seeded_split": q_seeded_split,
+    "frequency_index": q_frequency_index,
+    "boxes_forest_regressor": _boxes_query("regress", "random_forest", numTrees=20, maxDepth=6),
+    "boxes_forest_classifier": _boxes_query("classify", "random_forest", numTrees=20),
+    "boxes_tree_regressor": _boxes_query("regress", "decision_tree"),
+    "boxes_tree_classifier": _boxes_query("classify", "decision_tree"),
     "forecast_check": q_forecast_check,
     "forecast_overlay": q_forecast_overlay,
     "training_check": q_training_check,

@@ -63,3 +63,21 @@ def test_label_names_back_to_strings(spark):
 def test_assemble_array(spark):
     df = spark.createDataFrame([(1, 2.5)], "a int, b double")
     assert features.assemble_array(df, ["a", "b"]).first()["features"] == [1.0, 2.5]
+
+
+def test_frequency_index_equals_the_fitted_indexer(spark):
+    rows = [(v, 1) for v, n in (("b", 3), ("a", 3), ("c", 5), ("é", 1), ("Z", 1)) for _ in range(n)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "v string, one int")
+    index = features.frequency_index(df, "v")
+    want = {r["v"]: r["label"] for r in features.index_label(df.where("v is not null"), "v").collect()}
+    assert {r["v"]: r["label"] for r in index.collect()} == want
+    back = features.apply_index(df, index, "v").collect()
+    assert len(back) == len(rows) and all(r["label"] == want.get(r["v"]) for r in back)
+
+
+def test_frequency_index_of_many_values(spark):
+    df = spark.range(300_000).selectExpr("id % 150000 as v")
+    index = features.frequency_index(df, "v")
+    assert index.count() == 150_000
+    stats = index.selectExpr("min(label) lo", "max(label) hi", "count(distinct label) n", "max(n) most").first()
+    assert (stats["lo"], stats["hi"], stats["n"], stats["most"]) == (0.0, 149_999.0, 150_000, 2)

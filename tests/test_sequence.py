@@ -184,6 +184,17 @@ def test_random_split_repeats_on_the_same_partitioning(spark):
     assert a_train.count() + a_test.count() == 500
 
 
+def test_seeded_split_ignores_partitioning_and_covers_all_rows(spark):
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    runs = []
+    for parts in (1, 7):
+        split_rows = split.seeded_split(df.repartition(parts), [0.5, 0.3, 0.2], 9, "k")
+        runs.append([sorted(r[0] for r in part.collect()) for part in split_rows])
+    assert runs[0] == runs[1] and sorted(sum(runs[0], [])) == list(range(2000))
+    assert all(abs(len(part) / 2000 - w) < 0.05 for part, w in zip(runs[0], (0.5, 0.3, 0.2)))
+    assert runs[0] != [sorted(r[0] for r in part.collect()) for part in split.seeded_split(df, [0.5, 0.3, 0.2], 10, "k")]
+
+
 def test_numbering_ignores_input_partitioning_and_breaks_ties_by_values(spark):
     rows = [("a", t % 5, float(v)) for t in range(40) for v in (t % 3, 7 - t % 4)]  # many ties on (k, t)
     df = spark.createDataFrame(rows, "k string, t long, v double")
