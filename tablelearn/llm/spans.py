@@ -1,30 +1,29 @@
 """Substring deduplication by sliding spans of sentences.
 
-A text is cut into sentences after ``. ! ? , ; :`` at the end of a word (long sentences would
-otherwise hide a passage that begins inside them) and at line ends. From every sentence a span
-runs over the shortest sequence of at least ``MIN_SENTENCES`` sentences with at least
-``MIN_WORDS`` words. Spans are hashed over their words (A-Z lower-cased, any white space between
-words), to 128 bits. All spans of all documents are joined by hash; the first holder of a
-span is the smallest ``doc_id``, and within a document its first place. Every sentence that
-a non-first repeated span covers is removed. Without ``whole`` the last sentences of a passage stay when no span
-inside the passage needs them to reach ``MIN_WORDS``.
-
-With ``whole`` (as the query op3_substring_dedup runs it) a stop may have signs behind it and may be
-one of other scripts, and sentences are also cut at content-defined places: of every ``WINDOW``
-words in a row without a stop, behind the word with the smallest hash. Two copies of a passage
-are cut alike but for the ``WINDOW - 1`` words at its ends, and no piece has more than
-``WINDOW`` words, so every passage of 2 * WINDOW + MIN_WORDS + WINDOW - 1 words (47) holds a whole
-span wherever it stands. Spans between stops only are hashed as well, so that a shorter passage
-that consists of sentences does not depend on what stands around it. Beside the shortest span
-from every sentence there is the shortest one up to every sentence, so that each sentence of a
-repeated passage, its last ones too, lies in a span inside the passage.
-
-A hash shared by many documents is counted with map-side aggregation, and its rows meet the
-small table of repeated hashes in a plain join that Spark can split.
-
-Edge cases: null, empty and short texts have no spans and stay as they are; documents are
-identified by ``doc_id``, so a repeated row has no effect and is treated like its twin; null
-ids have no spans and stay. Extra columns pass through untouched.
+A text is cut into sentences at line ends and behind words that end in a stop, with or without
+signs behind it, in any of several scripts. Text with few stops is cut at content-defined
+places too: of every ``WINDOW`` words in a row without a stop, behind the word with the
+smallest hash. Two copies of a passage are cut alike but for the ``WINDOW - 1`` words at its
+ends, and no piece has more than ``WINDOW`` words, so every passage of 2 * WINDOW + MIN_WORDS +
+WINDOW - 1 words (47) holds a whole span wherever it stands.
+
+From every sentence a span runs over the shortest sequence of at least ``MIN_SENTENCES``
+sentences with at least ``MIN_WORDS`` words, and so does one up to every sentence; each
+sentence of a repeated passage, its last ones too, lies in a span inside the passage. Spans
+between stops only are hashed as well, so that a shorter passage that consists of sentences
+does not depend on what stands around it. Spans are hashed over their words (A-Z lower-cased,
+any white space between words) to 96 bits.
+
+All spans of all documents meet once, by hash: the first holder of a span is the smallest
+``doc_id`` (then the smallest hash of the text, then the first place), and every sentence that
+another place of a repeated span covers is removed. The one shuffle carries a row per
+hash and group of documents read together: a task lists all places of a hash it has met in
+one row, so a span that a third of all documents share makes a row per group of documents.
+
+Edge cases: null, empty and short texts have no spans and stay as they are; a row is identified
+by ``doc_id`` and its text, so a repeated row has no effect and is treated like its twin, and
+different texts under one id are cut each by its own spans; null ids have no spans and stay.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +32,9 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelearn.llm.common import WordCache, worker_cache
@@ -51,11 +51,6 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 def _value(word: bytes) -> int:
     """63 bits of hash above a bit that says whether the word ends a sentence."""
-    return (xxhash.xxh3_64_intdigest(word) & ~1) | (word[-1:] in b".!?,;:")
-
-
-def _whole_value(word: bytes) -> int:
-    """As ``_value``, where signs may follow the stop."""
     stop = 0
     for c in reversed(word.decode("utf-8", "surrogatepass")):
         if c.isalnum():
@@ -102,12 +97,9 @@ def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return table["rows"]
 
 
-def _ends(text: str, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+def _ends(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and whether a sentence ends with it at a stop or line end."""
-    if whole:
-        cache = worker_cache("span_words_whole", lambda: WordCache(_whole_value))
-    else:
-        cache = worker_cache("span_words", lambda: WordCache(_value))
+    cache = worker_cache("span_words", lambda: WordCache(_value))
     data = text.encode("utf-8", "surrogatepass").lower().replace(b"\n", b" \x00 ")
     words = data.split()
     values = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
@@ -123,10 +115,10 @@ def _starts(ends: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(ends) + 1])
 
 
-def sentence_starts(text: str, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def sentence_starts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the index of each sentence's first word (the number of words at the end)."""
-    values, ends = _ends(text, whole)
-    return values, _starts(_content_cuts(values, ends) if whole else ends)
+    values, ends = _ends(text)
+    return values, _starts(_content_cuts(values, ends))
 
 
 def _forward(starts: np.ndarray, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,23 +136,17 @@ def _backward(starts: np.ndarray, min_sentences: int, min_words: int) -> tuple[n
     return starts[first[last]], starts[last + 1]
 
 
-def spans(
-    text: str | None, min_sentences: int, min_words: int, whole: bool = False
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def spans(text: str | None, min_sentences: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``first sentence, last sentence, h1, h2`` of every span of a text."""
     none = np.empty(0, np.int64)
     if not text:
         return none, none, none, none
-    values, ends = _ends(text, whole)
-    if whole:
-        starts = _starts(_content_cuts(values, ends))
-        found = [f(x, min_sentences, min_words) for x in (starts, _starts(ends)) for f in (_forward, _backward)]
-        size = len(values) + 1
-        keys = np.unique(np.concatenate([a * size + b for a, b in found]))
-        begin, end = keys // size, keys % size
-    else:
-        starts = _starts(ends)
-        begin, end = _forward(starts, min_sentences, min_words)
+    values, ends = _ends(text)
+    starts = _starts(_content_cuts(values, ends))
+    found = [f(x, min_sentences, min_words) for x in (starts, _starts(ends)) for f in (_forward, _backward)]
+    size = len(values) + 1
+    keys = np.unique(np.concatenate([a * size + b for a, b in found]))
+    begin, end = keys // size, keys % size
     hashes = []
     with np.errstate(over="ignore"):
         for power, inverse in _powers(len(values) + 1):
@@ -169,72 +155,145 @@ def spans(
     return np.searchsorted(starts, begin), np.searchsorted(starts, end) - 1, hashes[0], hashes[1]
 
 
-def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
-    """``doc_id, first, last, again, h1, h2``; ``again`` marks a span seen earlier in its document."""
+# A place of a span: its document's id, the hash of its text, its first and last sentence.
+_PLACE = np.dtype([("doc_id", "<i8"), ("th", "<i8"), ("first", "<i4"), ("last", "<i4")])
+_GROUP_BYTES = 8 << 20  # about as much text is read together
+_SPANS = "h1 long, h2 int, doc_id long, th long, first int, last int, more binary"
+
+
+def _grouped(places: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
+    """One row per hash: its smallest place and, where it has others, those as ``more``. The places
+    come in their order."""
+    order = np.argsort(h1, kind="stable")
+    h1, h2 = h1[order], h2[order]
+    if (h2[1:] != h2[:-1])[h1[1:] == h1[:-1]].any():  # equal in 64 bits, different in 96
+        again = np.lexsort((h2, h1))
+        order, h1, h2 = order[again], h1[again], h2[again]
+    places = places[order]
+    starts = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
+    sizes = np.diff(np.append(starts, len(h1)))
+    more = np.full(len(starts), None, object)
+    for k in np.flatnonzero(sizes > 1):
+        more[k] = places[starts[k] + 1 : starts[k] + sizes[k]].tobytes()
+    lead = places[starts]
+    columns = [h1[starts], h2[starts], *[np.ascontiguousarray(lead[c]) for c in _PLACE.names]]
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, columns), pa.array(more, pa.binary())], names=["h1", "h2", *_PLACE.names, "more"]
+    )
 
-    def run(frames):
-        for frame in frames:
-            for k in range(0, len(frame), 500):
-                parts = []
-                for doc_id, text in zip(frame["doc_id"].iloc[k : k + 500], frame["text"].iloc[k : k + 500], strict=True):
-                    first, last, h1, h2 = spans(text, min_sentences, min_words, whole)
-                    if len(first):
-                        again = np.ones(len(first), bool)
-                        again[np.unique(h1, return_index=True)[1]] = False
-                        parts.append(pd.DataFrame({"doc_id": doc_id, "first": first, "last": last, "again": again, "h1": h1, "h2": h2}))
-                if parts:
-                    yield pd.concat(parts)
-
-    rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInPandas(run, "doc_id long, first int, last int, again boolean, h1 long, h2 long")
-
-
-def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
-    """``doc_id, holder (smallest doc_id with the span), first, last`` of the non-first repeated spans."""
-    found = materialize(span_table(docs, min_sentences, min_words, whole), "spans")
-    shared = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("top"), F.max("again").alias("twice"))
-    shared = materialize(shared.filter("holder <> top or twice").select("h1", "h2", "holder"), "shared-spans")
-    return found.join(shared, ["h1", "h2"]).filter("doc_id <> holder or again").select("doc_id", "holder", "first", "last")
-
-
-def removals(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
-    """``doc_id, holders, sentences`` of documents that lose sentences: the smallest ids that keep
-    the passages, and the sorted numbers of the sentences to remove."""
-    cut = repeated_spans(docs, min_sentences, min_words, whole)
-    sentences = cut.select("doc_id", "holder", F.explode(F.sequence("first", "last")).alias("s")).distinct()
-    return sentences.groupBy("doc_id").agg(
-        F.array_sort(F.collect_set("holder")).alias("holders"), F.array_sort(F.collect_set("s")).alias("sentences")
+
+def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+    """``h1, h2, doc_id, th, first, last, more``: the spans of all documents, one row per hash and
+    group of documents read together."""
+
+    def group(rows: list[tuple]):
+        places, h1s, h2s = [], [], []
+        for doc_id, th, text in sorted(rows, key=lambda r: r[:2]):
+            first, last, h1, h2 = spans(text, min_sentences, min_words)
+            if len(first):
+                place = np.empty(len(first), _PLACE)
+                place["doc_id"], place["th"], place["first"], place["last"] = doc_id, th, first, last
+                places.append(place)
+                h1s.append(h1)
+                h2s.append(h2.astype(np.int32))
+        if places:
+            yield _grouped(np.concatenate(places), np.concatenate(h1s), np.concatenate(h2s))
+
+    def run(batches):
+        for batch in batches:
+            rows, size = [], 0
+            for row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "th", "text")], strict=True):
+                rows.append(row)
+                size += len(row[2])
+                if size >= _GROUP_BYTES:
+                    yield from group(rows)
+                    rows, size = [], 0
+            yield from group(rows)
+
+    rows = docs.filter("doc_id is not null and text is not null")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    return rows.mapInArrow(run, _SPANS)
+
+
+def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, th, holder (smallest doc_id with the span), first, last`` of the non-first places
+    of repeated spans."""
+    by_hash = Window.partitionBy("h1", "h2").orderBy("doc_id", "th", "first").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    found = span_table(docs, min_sentences, min_words)
+    held = found.select(
+        "*",
+        F.count(F.lit(1)).over(by_hash).alias("n"),
+        *[F.first(c).over(by_hash).alias(f"holder_{c}") for c in ("doc_id", "th", "first")],
+    ).where("n > 1 or more is not null").drop("h1", "h2", "n")
+
+    def unpack(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lead = np.empty(batch.num_rows, _PLACE)
+            holder = np.empty(batch.num_rows, _PLACE)
+            for c in _PLACE.names:
+                lead[c] = batch.column(c).to_numpy()
+                if c != "last":
+                    holder[c] = batch.column(f"holder_{c}").to_numpy()
+            others = [np.frombuffer(m or b"", _PLACE) for m in batch.column("more").to_pylist()]
+            owner = np.concatenate([np.arange(len(lead)), np.repeat(np.arange(len(lead)), [len(o) for o in others])])
+            places, first = np.concatenate([lead, *others]), holder[owner]
+            later = (places["doc_id"] != first["doc_id"]) | (places["th"] != first["th"]) | (places["first"] != first["first"])
+            places, first = places[later], first[later]
+            columns = [places["doc_id"], places["th"], first["doc_id"], places["first"], places["last"]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(c)) for c in columns], names=["doc_id", "th", "holder", "first", "last"]
+            )
+
+    return held.mapInArrow(unpack, "doc_id long, th long, holder long, first int, last int")
+
+
+def removals(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, th, holders, places`` of the texts that lose sentences: the smallest ids that keep the
+    passages, and the first and last sentences of what goes (at most one for each of its spans)."""
+    cut = repeated_spans(docs, min_sentences, min_words)
+    return cut.groupBy("doc_id", "th").agg(
+        F.array_sort(F.collect_set("holder")).alias("holders"), F.collect_set(F.struct("first", "last")).alias("places")
     )
 
 
-def _cut(text: str, sentences: np.ndarray, whole: bool) -> tuple[str, int, int]:
+def covered(places) -> np.ndarray:
+    """Sorted numbers of the sentences that lie in any of the places."""
+    return np.unique(np.concatenate([np.arange(p["first"], p["last"] + 1) for p in places]))
+
+
+def _cut(text: str, sentences: np.ndarray) -> tuple[str, int, int]:
     """The text without the given sentences (white space behind them goes too)."""
-    _, starts = sentence_starts(text, whole)
+    _, starts = sentence_starts(text)
     data = text.encode("utf-8", "surrogatepass")
     at = [m.start() for m in _WORD.finditer(data)] + [len(data)]
-    gone = [(at[starts[s]], at[starts[s + 1]]) for s in sentences]
     keep, end = [], 0
-    for x, y in gone:
-        keep.append(data[end:x])
-        end = y
+    for s in sentences:
+        keep.append(data[end : at[starts[s]]])
+        end = at[starts[s + 1]]
     keep.append(data[end:])
     words = int(sum(starts[s + 1] - starts[s] for s in sentences))
     return b"".join(keep).decode("utf-8", "surrogatepass"), len(starts) - 1, words
 
 
-def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, first_doc_ids, n_sentences, n_removed, n_words_removed, kept_text`` of the
-    documents that lose sentences."""
-    cut = materialize(removals(docs, min_sentences, min_words, whole), "removals")
+    texts that lose sentences, one row for each id and text."""
+    cut = materialize(removals(docs, min_sentences, min_words), "removals")
 
     def run(frames):
         for frame in frames:
             rows = []
-            for doc_id, text, holders, sentences in frame.itertuples(index=False):
-                kept, n, words = _cut(text, sentences, whole)
+            for doc_id, text, holders, places in frame.itertuples(index=False):
+                sentences = covered(places)
+                kept, n, words = _cut(text, sentences)
                 rows.append((doc_id, list(holders), n, len(sentences), words, kept))
             yield pd.DataFrame(rows, columns=["doc_id", "first_doc_ids", "n_sentences", "n_removed", "n_words_removed", "kept_text"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(cut, "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    rows = texts.join(cut, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
     schema = "doc_id long, first_doc_ids array<long>, n_sentences int, n_removed int, n_words_removed int, kept_text string"
-    return rows.select("doc_id", "text", "holders", "sentences").mapInPandas(run, schema)
+    return rows.select("doc_id", "text", "holders", "places").mapInPandas(run, schema)
