@@ -48,30 +48,48 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-# Every pair whose question and answer runs are found is retrieved by the passage search.
+# Every pair that one of the two rules holds for is retrieved by the passage search. Rule 0 takes
+# words as they stand, rule 1 without signs at their ends.
+_BARE = (
+    "list_filter(list_transform({w}, lambda w: regexp_replace(w, "
+    "'^[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+|[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+$', '', 'g')), lambda w: w <> '')"
+)
+
 OP8 = f"""
 WITH items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
 cuts AS (
-  SELECT item_id, words, len(words) AS n, least(5, len(words)) AS width,
+  SELECT item_id, words, {_BARE.format(w="words")} AS bare,
          coalesce(list_max(list_filter(range(1, len(words)), lambda k: words[k][-1] IN ('.', '!', '?'))), greatest(1, 2 * len(words) // 3)) AS cut
   FROM items WHERE len(words) > 0),
+sized AS (
+  SELECT item_id, 0 AS rule, words, len(words) AS n, least(5, len(words)) AS width, cut, cut AS mark, 0 AS extra FROM cuts WHERE len(bare) > 0
+  UNION ALL
+  SELECT item_id, 1, bare, len(bare), least(5, len(bare)), cut, len({_BARE.format(w="words[1:cut]")}), 1 FROM cuts WHERE len(bare) > 0),
 parts AS (
-  SELECT item_id, 'q' AS part, width, words[1:greatest(cut, width)] AS words FROM cuts
-  UNION ALL SELECT item_id, 'a', width, words[least(cut, n - width) + 1:] FROM cuts),
+  SELECT item_id, rule, 'q' AS part, width, words[1:greatest(mark, width)] AS words FROM sized
+  UNION ALL
+  SELECT item_id, rule, 'a', width,
+         words[CASE WHEN rule = 0 THEN least(mark, n - width) ELSE greatest(0, least(mark - width + 1, n - width - 4)) END + 1:] FROM sized),
 runs AS (
-  SELECT DISTINCT item_id, part, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS run
+  SELECT DISTINCT item_id, rule, part, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS run
   FROM parts),
+texts AS (
+  SELECT doc_id, 0 AS rule, {_WORDS} AS words FROM documents
+  UNION ALL SELECT doc_id, 1, {_BARE.format(w=_WORDS)} FROM documents),
 held AS (
-  SELECT DISTINCT doc_id, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS run
-  FROM (SELECT doc_id, {_WORDS} AS words FROM documents), (SELECT DISTINCT width FROM cuts)),
-totals AS (SELECT item_id, part, count(*) AS n FROM runs GROUP BY 1, 2),
+  SELECT DISTINCT doc_id, texts.rule, width, unnest(list_transform(range(1, len(words) - width + 2), lambda k: array_to_string(words[k:k + width - 1], ' '))) AS run
+  FROM texts JOIN (SELECT DISTINCT rule, width FROM sized) w ON texts.rule = w.rule),
+totals AS (SELECT item_id, rule, part, count(*) AS n FROM runs GROUP BY 1, 2, 3),
 found AS (
-  SELECT doc_id, item_id, part, count(*) AS n
-  FROM runs JOIN held ON runs.run = held.run AND runs.width = held.width GROUP BY 1, 2, 3),
-shares AS (SELECT doc_id, f.item_id, f.part, f.n / t.n AS share FROM found f JOIN totals t ON f.item_id = t.item_id AND f.part = t.part)
-SELECT q.doc_id, q.item_id, q.share AS question_overlap, a.share AS answer_overlap
-FROM shares q JOIN shares a ON q.doc_id = a.doc_id AND q.item_id = a.item_id AND q.part = 'q' AND a.part = 'a'
-WHERE q.share >= 0.6 AND a.share >= 0.6
+  SELECT doc_id, item_id, rule, part, count(*) AS n
+  FROM runs JOIN held USING (run, width, rule) GROUP BY 1, 2, 3, 4),
+shares AS (SELECT doc_id, item_id, rule, part, f.n / t.n AS share FROM found f JOIN totals t USING (item_id, rule, part)),
+pairs AS (
+  SELECT q.doc_id, q.item_id, q.rule, q.share AS question_overlap, a.share AS answer_overlap
+  FROM shares q JOIN shares a ON q.doc_id = a.doc_id AND q.item_id = a.item_id AND q.rule = a.rule AND q.part = 'q' AND a.part = 'a'
+  WHERE q.share >= 0.6 AND a.share >= 0.6)
+SELECT doc_id, item_id, arg_min(question_overlap, rule) AS question_overlap, arg_min(answer_overlap, rule) AS answer_overlap
+FROM pairs GROUP BY 1, 2
 """
 
 def _seeded(what, *parts):

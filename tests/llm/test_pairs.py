@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow.dataset as ds
+import pytest
 from helpers import SF, edge_docs, edge_rows, no_docs, pandas, table
 
 from tablelearn.llm import decontaminate, neardup, spans, wordsets
@@ -227,44 +228,123 @@ def test_query_removes_passages_without_stops(spark, tmp_path):
     assert 31 <= out[0]["n_words_removed"] <= 67
 
 
-def test_contamination_matches_brute_force(spark):
-    docs, items = pandas("documents"), pandas("benchmark")
+def item_runs(words, n_answer=0):
+    """Runs of five words of an item's question and answer."""
+    ends = [k + 1 for k, w in enumerate(words[:-1]) if w[-1:] in b".!?"]
+    cut = ends[-1] if ends else max(1, 2 * len(words) // 3)
     runs = lambda words, n: {tuple(words[k : k + n]) for k in range(len(words) - n + 1)}
-    parts = []
-    for item_id, text in zip(items["item_id"], items["text"], strict=True):
-        words = text.encode().lower().split()
-        ends = [k + 1 for k, w in enumerate(words[:-1]) if w[-1:] in b".!?"]
-        cut = ends[-1] if ends else max(1, 2 * len(words) // 3)
-        parts.append((item_id, runs(words[: max(cut, 5)], 5), runs(words[min(cut, len(words) - 5) :], 5)))
-    want = set()
-    for doc_id, text in zip(docs["doc_id"], docs["text"], strict=True):
-        own = runs(text.encode().lower().split(), 5)
-        for item_id, q, a in parts:
-            if len(q & own) / len(q) >= 0.6 and len(a & own) / len(a) >= 0.6:
-                want.add((doc_id, item_id))
-    got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op8_decontamination"](spark, SF).collect()}
-    assert got == want and want
-
-
-def test_block_max_bounds_drop_nothing():
-    """Retrieval equals scoring every passage against every item in full."""
+    if n_answer:  # on words without signs at their ends
+        bare = lambda words: [x for x in (decontaminate._EDGE.sub(b"", w) for w in words) if x]
+        cut, words = len(bare(words[:cut])), bare(words)
+        n = min(5, len(words))
+        return n, runs(words[: max(cut, n)], n), runs(words[max(0, min(cut - n + 1, len(words) - n - n_answer + 1)) :], n)
+    n = min(5, len(words))
+    return n, runs(words[: max(cut, n)], n), runs(words[min(cut, len(words) - n) :], n)
+
+
+def brute_contamination(docs, items):
+    """Every pair that one of the two rules holds for, from a look at every shared run."""
+    want, where = {}, defaultdict(lambda: defaultdict(set))
+    words = {i: t.encode().lower().split() for i, t in items}
+    sizes = {(i, k): item_runs(w, k) for i, w in words.items() for k in (0, 5)}
+    for (i, k), (n, q, a) in sizes.items():
+        for part, runs in (("q", q), ("a", a)):
+            for run in runs:
+                where[k, n][run].add((i, part))
+    for doc_id, text in docs:
+        plain = (text or "").encode().lower().split()
+        bare = [x for x in (decontaminate._EDGE.sub(b"", w) for w in plain) if x]
+        for rule, own in ((0, plain), (5, bare)):
+            found = defaultdict(int)
+            for (k, n), table in where.items():
+                if k == rule:
+                    for run in {tuple(own[j : j + n]) for j in range(len(own) - n + 1)}:
+                        for key in table.get(run, ()):
+                            found[key] += 1
+            for i in {i for i, _ in found}:
+                n, q, a = sizes[i, rule]
+                shares = found[i, "q"] / len(q), found[i, "a"] / len(a)
+                if min(shares) >= 0.6:
+                    want.setdefault((doc_id, i), shares)
+    return want
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.1"])
+def test_retrieval_finds_every_pair_that_the_rules_hold_for(folder):
+    read = lambda n: ds.dataset(f"/root/testdata/{folder}/{n}.parquet").to_table().to_pandas()
+    docs, items = read("documents"), read("benchmark")
+    items = list(zip(items["item_id"], items["text"], strict=True))
+    index = decontaminate.build_index(items)
+    docs = list(zip(docs["doc_id"], docs["text"], strict=True))
+    got = {(d, i): (q, a) for (d, _), m in zip(docs, index.matches([t for _, t in docs]), strict=True) for i, q, a in m}
+    assert got == brute_contamination(docs, items) and got
+
+
+def test_without_retrieval_nothing_is_found():
+    items = pandas("benchmark")
+    index = decontaminate.build_index(list(zip(items["item_id"], items["text"], strict=True)))
+    text = "Before. " + items["text"][0] + " Behind."
+    assert [m[0] for m in index.matches([text])[0]] == [items["item_id"][0]]
+    index.is_pivot[:] = False
+    assert index.matches([text]) == [[]]
+
+
+def test_torn_copies_are_retrieved():
+    """Copies of which chunks of 10 to 14 words are left, far apart."""
+    rng = np.random.default_rng(6)
+    word = lambda n: [f"w{k}" for k in rng.zipf(1.3, n) % 5000]
+    items = [(k, " ".join(word(rng.integers(20, 200))) + "? " + " ".join(word(rng.integers(6, 40)))) for k in range(40)]
+    docs = []
+    for d, (_, text) in enumerate(items):
+        words, out = text.split(), word(50)
+        while words:
+            n = int(rng.integers(10, 15))
+            out, words = out + words[:n] + word(rng.integers(0, 90)), words[n:]
+        docs.append((d, " ".join(out)))
+    index = decontaminate.build_index(items)
+    want = brute_contamination(docs, items)
+    got = {(d, i): (q, a) for (d, _), m in zip(docs, index.matches([t for _, t in docs]), strict=True) for i, q, a in m}
+    assert len(want) > 10 and len(got) >= 0.95 * len(want) and got.items() <= want.items()
+
+
+def test_query_matches_brute_force(spark):
+    docs, items = (list(zip(t[c], t["text"], strict=True)) for t, c in ((pandas("documents"), "doc_id"), (pandas("benchmark"), "item_id")))
+    got = {(r["doc_id"], r["item_id"]): (r["question_overlap"], r["answer_overlap"]) for r in QUERIES["op8_decontamination"](spark, SF).collect()}
+    assert got == brute_contamination(docs, items)
+
+
+def test_bounds_drop_nothing():
+    """Retrieval equals scoring every passage against every piece in full."""
     rng = np.random.default_rng(2)
     vocabulary = [f"t{k}" for k in range(80)]
     items = [(k, " ".join(rng.choice(vocabulary, rng.integers(5, 40)))) for k in range(70)]
     index = decontaminate.build_index(items)
-    for _ in range(40):
-        text = " ".join(rng.choice(vocabulary, rng.integers(1, 300)))
-        words = text.split()
-        last = max(0, (len(words) - 1) // decontaminate.STRIDE)
-        want = set()
-        for p in range(last + 1):
-            terms = {index.vocabulary[w.encode()] for w in words[32 * p : 32 * p + 64] if w.encode() in index.vocabulary}
+    texts = [" ".join(rng.choice(vocabulary + ["other", "!!"], rng.integers(0, 300))) for _ in range(40)]
+    found, pieces = index.retrieve([index.term_ids(t) for t in texts])
+    for k, text in enumerate(texts):
+        words, want = text.split(), set()
+        for p in range((len(words) - 1) // decontaminate.STRIDE + 1):
+            some = words[decontaminate.STRIDE * p :][: decontaminate.PASSAGE]
+            terms = {index.vocabulary[w.encode()] for w in some if w.encode() in index.vocabulary}
             score = np.zeros(len(index.need))
             for t in terms:
                 at = slice(index.starts[t], index.starts[t + 1])
-                score[index.items[at]] += index.impacts[at]
+                score[index.pieces[at]] += index.impacts[at]
             want |= set(np.flatnonzero(score >= index.need).tolist())
-        assert set(index.retrieve(text).tolist()) == want
+        assert set(pieces[found == k].tolist()) == want
+
+
+def test_thresholds_do_not_depend_on_the_shards(spark):
+    bench = table(spark, "benchmark")
+    one = next(decontaminate._shards(bench, 10**6))
+    needs = {}
+    for index in decontaminate._shards(bench, 7):
+        for piece, item in enumerate(index.owner):
+            needs.setdefault(index.item_ids[item], []).append(round(index.need[piece], 9))
+    want = {}
+    for piece, item in enumerate(one.owner):
+        want.setdefault(one.item_ids[item], []).append(round(one.need[piece], 9))
+    assert {i: sorted(v) for i, v in needs.items()} == {i: sorted(v) for i, v in want.items()}
 
 
 def test_decontamination_takes_awkward_rows(spark):
@@ -292,7 +372,12 @@ def test_given_copy_followed_by_signs_is_dropped():
     docs, items = (ds.dataset(f"/root/testdata/sf0.01/{n}.parquet").to_table().to_pandas() for n in ("documents", "benchmark"))
     index = decontaminate.build_index([tuple(r) for r in items[["item_id", "text"]].itertuples(index=False)])
     text = docs["text"][471]
-    assert not index.matches(text) and index.holds(text)
+    words = text.encode().lower().split()
+    for item_id, question, answer in index.matches([text])[0]:
+        n, q, a = item_runs(items.set_index("item_id")["text"][item_id].encode().lower().split())
+        own = {tuple(words[j : j + n]) for j in range(len(words) - n + 1)}
+        assert min(question, answer) >= 0.6 and min(len(q & own) / len(q), len(a & own) / len(a)) < 0.6
+    assert index.matches([None, text, ""])[1]
 
 
 def test_items_longer_than_a_passage_are_found(spark):
