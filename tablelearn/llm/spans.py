@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.llm.common import WordCache, worker_cache
 from tablelearn.llm.wordsets import mix
-from tablelearn.session import materialize
+from tablelearn.operators.joins import join_small
 
 MIN_SENTENCES = 3
 MIN_WORDS = 24
@@ -155,10 +155,11 @@ def spans(text: str | None, min_sentences: int, min_words: int) -> tuple[np.ndar
     return np.searchsorted(starts, begin), np.searchsorted(starts, end) - 1, hashes[0], hashes[1]
 
 
-# A place of a span: its document's id, the hash of its text, its first and last sentence.
-_PLACE = np.dtype([("doc_id", "<i8"), ("th", "<i8"), ("first", "<i4"), ("last", "<i4")])
+# A place of a span: its document's id, the hash of its text, and its first sentence (high half)
+# with the number of sentences behind it (low half).
+_PLACE = np.dtype([("doc_id", "<i8"), ("th", "<i4"), ("place", "<i8")])
 _GROUP_BYTES = 8 << 20  # about as much text is read together
-_SPANS = "h1 long, h2 int, doc_id long, th long, first int, last int, more binary"
+_SPANS = "h1 long, h2 int, doc_id long, th int, place long, more binary"
 
 
 def _grouped(places: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
@@ -183,7 +184,7 @@ def _grouped(places: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBat
 
 
 def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``h1, h2, doc_id, th, first, last, more``: the spans of all documents, one row per hash and
+    """``h1, h2, doc_id, th, place, more``: the spans of all documents, one row per hash and
     group of documents read together."""
 
     def group(rows: list[tuple]):
@@ -192,7 +193,7 @@ def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: i
             first, last, h1, h2 = spans(text, min_sentences, min_words)
             if len(first):
                 place = np.empty(len(first), _PLACE)
-                place["doc_id"], place["th"], place["first"], place["last"] = doc_id, th, first, last
+                place["doc_id"], place["th"], place["place"] = doc_id, th, (first << 32) + last - first
                 places.append(place)
                 h1s.append(h1)
                 h2s.append(h2.astype(np.int32))
@@ -211,21 +212,21 @@ def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: i
             yield from group(rows)
 
     rows = docs.filter("doc_id is not null and text is not null")
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), "text")
     return rows.mapInArrow(run, _SPANS)
 
 
 def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, th, holder (smallest doc_id with the span), first, last`` of the non-first places
     of repeated spans."""
-    by_hash = Window.partitionBy("h1", "h2").orderBy("doc_id", "th", "first").rowsBetween(
+    by_hash = Window.partitionBy("h1", "h2").orderBy("doc_id", "th", "place").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     found = span_table(docs, min_sentences, min_words)
     held = found.select(
         "*",
         F.count(F.lit(1)).over(by_hash).alias("n"),
-        *[F.first(c).over(by_hash).alias(f"holder_{c}") for c in ("doc_id", "th", "first")],
+        *[F.first(c).over(by_hash).alias(f"holder_{c}") for c in _PLACE.names],
     ).where("n > 1 or more is not null").drop("h1", "h2", "n")
 
     def unpack(batches):
@@ -236,19 +237,20 @@ def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_word
             holder = np.empty(batch.num_rows, _PLACE)
             for c in _PLACE.names:
                 lead[c] = batch.column(c).to_numpy()
-                if c != "last":
-                    holder[c] = batch.column(f"holder_{c}").to_numpy()
+                holder[c] = batch.column(f"holder_{c}").to_numpy()
             others = [np.frombuffer(m or b"", _PLACE) for m in batch.column("more").to_pylist()]
             owner = np.concatenate([np.arange(len(lead)), np.repeat(np.arange(len(lead)), [len(o) for o in others])])
             places, first = np.concatenate([lead, *others]), holder[owner]
-            later = (places["doc_id"] != first["doc_id"]) | (places["th"] != first["th"]) | (places["first"] != first["first"])
+            later = places != first
             places, first = places[later], first[later]
-            columns = [places["doc_id"], places["th"], first["doc_id"], places["first"], places["last"]]
+            begin = places["place"] >> 32
+            end = begin + (places["place"] & 0xFFFFFFFF)
+            columns = [places["doc_id"], places["th"], first["doc_id"], begin.astype(np.int32), end.astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ascontiguousarray(c)) for c in columns], names=["doc_id", "th", "holder", "first", "last"]
             )
 
-    return held.mapInArrow(unpack, "doc_id long, th long, holder long, first int, last int")
+    return held.mapInArrow(unpack, "doc_id long, th int, holder long, first int, last int")
 
 
 def removals(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
@@ -282,7 +284,7 @@ def _cut(text: str, sentences: np.ndarray) -> tuple[str, int, int]:
 def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, first_doc_ids, n_sentences, n_removed, n_words_removed, kept_text`` of the
     texts that lose sentences, one row for each id and text."""
-    cut = materialize(removals(docs, min_sentences, min_words), "removals")
+    cut = removals(docs, min_sentences, min_words)
 
     def run(frames):
         for frame in frames:
@@ -293,7 +295,8 @@ def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_wor
                 rows.append((doc_id, list(holders), n, len(sentences), words, kept))
             yield pd.DataFrame(rows, columns=["doc_id", "first_doc_ids", "n_sentences", "n_removed", "n_words_removed", "kept_text"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
-    rows = texts.join(cut, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), "text")
+    # Texts stay where they are while the places to cut are few bytes; else both sides are shuffled.
+    rows = join_small(texts, cut, on=["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
     schema = "doc_id long, first_doc_ids array<long>, n_sentences int, n_removed int, n_words_removed int, kept_text string"
     return rows.select("doc_id", "text", "holders", "places").mapInPandas(run, schema)
