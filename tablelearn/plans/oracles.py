@@ -375,7 +375,12 @@ FROM (SELECT l_orderkey, count(*) AS n, round(sum(l_quantity), 2) AS quantity FR
     "boxes_tree_classifier": f"SELECT doc_id, true AS same, CAST(1 AS BIGINT) AS trees FROM ({_DOCS_SQL})",
     "forecast_check": f"""
 SELECT frame_idx, frame_idx + 1 AS time, part, actual, true AS finite FROM ({_PREPARED})""",
-    "training_check": _TRAINING_ROUNDS,
+    "training_check": f"SELECT *, true AS falls FROM ({_TRAINING_ROUNDS})",
+    "forecast_levels": f"""
+WITH r AS (SELECT row_number() OVER (ORDER BY Date) - 1 AS idx, count(*) OVER () AS n FROM ({_NEXT_DAYS_SQL}))
+SELECT CASE WHEN idx < floor(greatest(1, n - 8) * CAST(0.9 AS DOUBLE)) THEN 'train' ELSE 'test' END AS part,
+       count(*) AS n_frames, true AS beats_mean
+FROM r WHERE idx < greatest(1, n - 8) GROUP BY 1""",
     "lineitem_training": _LINEITEM_ROUNDS,
     "training_steps": training_sql(_TWO_DAY_FRAMES, TRAINING_STEPS),
     "carry_pass": f"SELECT idx AS frame_idx, round(pred, 9) AS pred FROM ({_CARRY})",

@@ -888,9 +888,42 @@ def q_lineitem_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_training_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """L6, L7, L10 checked: frames per epoch and averaging round of the orders model."""
+    """L6, L7, L10 checked: frames per epoch and averaging round of the orders model, and whether
+    the loss is below that of the same round one epoch before."""
     history = q_training_history(spark, sf_dir)
-    return history.select("epoch", "round", "n_frames", (~F.isnan("loss") & (F.col("loss") < 1e9)).alias("finite"))
+    before = F.lag("loss").over(Window.partitionBy("round").orderBy("epoch"))
+    return history.select(
+        "epoch", "round", "n_frames", (~F.isnan("loss") & (F.col("loss") < 1e9)).alias("finite"),
+        (F.col("loss") < F.coalesce(before, F.lit(float("inf")))).alias("falls"),
+    )
+
+
+def _order_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A series that its past tells something about: the days' closes above or below the mean close,
+    added up. One row per calendar day, however many orders there are."""
+    days = materialize(order_days(spark, sf_dir).select("Date", "Close"), "order-days")
+    mean = days.agg(F.avg("Close")).first()[0]
+    level = F.sum(F.col("Close") - F.lit(mean)).over(Window.orderBy("Date"))
+    return shaping.next_day_join(days.select("Date", level.alias("Level")), "Date", ["Level"])
+
+
+LEVELS = SequenceConfig(
+    features=["Level"], labels=["NextLevel"], frame_size=8, batch_size=16, epochs=6, hidden=8, dense=8, split_ratio=0.9,
+    averaging_frequency=16, workers=2, learning_rate=0.005,
+)
+
+
+def q_forecast_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 + L1-L9 on the added-up closes: frames per part, and whether the model's forecasts are
+    nearer to the actual values than the training mean is."""
+    rows = materialize(_order_levels(spark, sf_dir), "order-levels")
+    blocks, stats = prepare_blocks(rows, LEVELS, order="Date")
+    table = materialize(forecast_blocks(blocks, fit_blocks(blocks, LEVELS), stats, label="NextLevel"), "level-forecast")
+    mean = table.where("part = 'train'").agg(F.avg("actual")).first()[0]
+    return table.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_frames"),
+        (F.avg((F.col("predicted") - F.col("actual")) ** 2) < F.avg((F.col("actual") - F.lit(mean)) ** 2)).alias("beats_mean"),
+    )
 
 
 def q_forecast_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1008,6 +1041,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "boxes_tree_classifier": _boxes_query("classify", "decision_tree"),
     "forecast_check": q_forecast_check,
     "forecast_overlay": q_forecast_overlay,
+    "forecast_levels": q_forecast_levels,
     "training_check": q_training_check,
     "lineitem_training": q_lineitem_training,
 }
