@@ -4,12 +4,18 @@
 
 ``mode="carry"`` steps through a series' frames with the network's state carried on, as the
 reference scores. The recurrence runs along the series, so it is solved as a fixed point over
-blocks: in the first pass all blocks of all series start from a zero state at once; then every
-block whose incoming state is not the one that the block before it has just ended with runs
-again from that state, until no incoming state changes. What remains satisfies the recurrence
-at every block border, so it is the sequential result (to ``tol`` at each border; exactly
-with ``tol=0``). A network that forgets settles after a few passes; one that never forgets
-takes a pass for each block, and only the blocks behind the border that moved run in it.
+blocks. Blocks that a task reads together and that follow one another form a run. In the first
+pass all blocks of all series start from a zero state at once; inside the task, blocks whose
+incoming state is not the one that the block before them ends with start again, until the run
+agrees with itself. A change that goes into a block is taken on to the blocks behind it at once
+by the part of it that the cells keep (the product of each cell's own slope over the block's
+steps), so a network that adds up its past settles as fast as one that forgets. Between the
+runs the same is done with a row for each: runs that begin with another state than the one
+before them ends with go again in the next pass, until none does. What remains satisfies the
+recurrence at every block border, so it is the sequential result (to ``tol`` of a state's size,
+at least ``tol``, at each border; exactly with ``tol=0``). Slopes only choose the states that
+are tried: the first block of a run that is not settled always starts from an exact state, so
+no network takes more passes than there are runs, nor more steps than one for each block.
 
 A task steps through all blocks of an Arrow batch together, one array operation for a step, in
 double precision: how many blocks share an operation must not show in the states.
@@ -18,6 +24,7 @@ double precision: how many blocks share an operation must not show in the states
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,54 +149,166 @@ def _walk(batch, shape: rn.NetShape, flat: np.ndarray, size: int) -> tuple[np.nd
     return preds, h, c
 
 
+def _near(a: np.ndarray, b: np.ndarray, tol: float) -> bool:
+    """Whether two states agree to ``tol`` of their size (missing values agree with each other)."""
+    with np.errstate(invalid="ignore"):
+        off = np.abs(a - b) <= tol * np.maximum(1.0, np.maximum(np.abs(a), np.abs(b)))
+    return bool((off | (a == b) | (np.isnan(a) & np.isnan(b))).all())
+
+
+def _taken_on(slope: np.ndarray, change: np.ndarray) -> np.ndarray:
+    """What is left of a change of cells behind a block (nothing where that is no number)."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        left = slope * change
+    return np.where(np.isfinite(left), left, 0.0)
+
+
+def _ends(shape: rn.NetShape, flat: np.ndarray, xs: list[np.ndarray], h: np.ndarray, c: np.ndarray):
+    """Last states ``h, c`` of blocks from their first ones, and the slope of each cell's last value
+    over its first one along the cell itself. The steps are those of ``recurrent.forward``."""
+    p, size = shape.unpack(flat), shape.hidden
+    lengths = np.array([len(x) for x in xs])
+    order = np.argsort(-lengths, kind="stable")
+    lengths = lengths[order]
+    h, c, d = h[order], c[order], np.ones_like(c)
+    steps = int(max(1, min(256, (1 << 22) // (len(xs) * 4 * size))))
+    for begin in range(0, int(lengths[0]), steps):
+        some = int(np.searchsorted(-lengths, -begin))  # blocks of more than ``begin`` frames
+        x = np.zeros((steps, some, shape.n_in))
+        for k in range(some):
+            part = xs[order[k]][begin : begin + steps]
+            x[: len(part), k] = part
+        zx = x @ p["W"]
+        for t in range(min(steps, int(lengths[0]) - begin)):
+            on = int(np.searchsorted(-lengths, -(begin + t)))
+            hv, cv = h[:on], c[:on]
+            z = zx[t, :on] + hv @ p["R"] + p["b"]
+            i = rn._hs(z[:, :size] + cv * p["pi"])
+            f = rn._hs(z[:, size : 2 * size] + cv * p["pf"])
+            g = np.tanh(z[:, 3 * size :])
+            d[:on] *= f + 0.2 * (cv * p["pf"] * ((f > 0) & (f < 1)) + g * p["pi"] * ((i > 0) & (i < 1)))
+            cv = f * cv + i * g
+            c[:on] = cv
+            o = rn._hs(z[:, 2 * size : 3 * size] + cv * p["po"])
+            h[:on] = o * np.tanh(cv)
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return h[back], c[back], d[back]
+
+
+def _settled(batch, key: str | None, shape: rn.NetShape, flat: np.ndarray, size: int, tol: float) -> dict[str, list]:
+    """The blocks of a batch with the state each begins with (``_first, _head, h, c``), and behind
+    each run a row with the state it ends with, the state it began with, and its cells' slopes."""
+    first, frames = (batch.column(name).to_numpy() for name in ("_first", "_frames"))
+    codes = batch.column(key).dictionary_encode("encode").indices.to_numpy() if key else np.zeros(len(first), np.int64)
+    order = np.lexsort((first, codes))
+    first, frames, codes = first[order], frames[order], codes[order]
+    linked = np.concatenate([[False], (codes[1:] == codes[:-1]) & (first[1:] == first[:-1] + frames[:-1])])
+    matrices = _matrices(batch.column("x"), shape.n_in)
+    xs = [matrices[k][size - 1 : size - 1 + n] for k, n in zip(order, frames)]
+    h, c = (np.zeros((len(first), shape.hidden)) for _ in range(2))
+    for name, state in (("h", h), ("c", c)):
+        given = batch.column(name).to_pylist()
+        for i, k in enumerate(order):
+            if given[k] is not None:
+                state[i] = given[k]
+    last_h, last_c, slope = np.empty_like(h), np.empty_like(c), np.empty_like(c)
+    again = np.arange(len(first))
+    with np.errstate(over="ignore", invalid="ignore"):
+        while len(again):
+            last_h[again], last_c[again], slope[again] = _ends(shape, flat, [xs[k] for k in again], h[again], c[again])
+            moved, change = [], np.zeros(shape.hidden)
+            for j in range(int(again[0]) + 1, len(first)):
+                if not linked[j]:
+                    change = np.zeros(shape.hidden)
+                    continue
+                new_h, new_c = last_h[j - 1], last_c[j - 1] + change
+                if _near(new_h, h[j], tol) and _near(new_c, c[j], tol):
+                    change = np.zeros(shape.hidden)
+                    continue
+                change = _taken_on(slope[j], new_c - c[j])
+                h[j], c[j] = new_h, new_c
+                moved.append(j)
+            again = np.array(moved, np.int64)
+    out: dict[str, list] = {name: [] for name in ("_row", "_first", "_head", "h", "c", "h0", "c0", "d")}
+    starts = np.flatnonzero(~linked)
+    for start, end in zip(starts, np.append(starts[1:], len(first))):
+        for j in range(start, end):
+            for name, value in zip(out, (order[j], first[j], first[start], h[j], c[j], None, None, None)):
+                out[name].append(value)
+        with np.errstate(over="ignore", invalid="ignore"):
+            kept = np.prod(slope[start:end], axis=0)
+        behind = first[end - 1] + frames[end - 1]
+        whole = (order[start], behind, first[start], last_h[end - 1], last_c[end - 1], h[start], c[start], kept)
+        for name, value in zip(out, whole):
+            out[name].append(value)
+    return out
+
+
 def carry_states(
     blocks: DataFrame, model: SequenceModel, *, key: str | None = None, tol: float = 1e-12
 ) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """The state each block begins with, ``key?, _first, h, c`` (blocks that begin with zeros may
-    be missing), and ``(pass, states that changed)`` of every pass."""
+    """The state each block begins with, ``key?, _first, h, c``, and ``(pass, runs of blocks that
+    begin with another state than the one before them ends with)`` of every pass."""
     cfg = model.config
     size, shape = cfg.frame_size, cfg.shape
     keys = [key] if key else []
-    at = [*keys, "_first"]
+    at, run = [*keys, "_first"], [*keys, "_head"]
     params = blocks.sparkSession.sparkContext.broadcast(model.params.astype(np.float64))
     rows = _scoreable(blocks, key).drop("y", "n_train")
-    kinds = {"_first": "long", "h": "array<double>", "c": "array<double>"}
+    vectors = ("h", "c", "h0", "c0", "d")
+    kinds = {"_first": "long", "_head": "long", **{name: "array<double>" for name in vectors}}
     key_type = to_arrow_type(blocks.schema[key].dataType) if key else None
 
-    def ends(batches):
+    def settle(batches):
         for b in batches:
             if b.num_rows:
-                _, h, c = _walk(b, shape, params.value, size)
-                following = b.column("_first").to_numpy() + b.column("_frames").to_numpy()
-                columns = {key: b.column(key).cast(key_type)} if key else {}
-                columns |= {"_first": pa.array(following, pa.int64()), "h": _vectors(h.astype(float)), "c": _vectors(c.astype(float))}
+                found = _settled(b, key, shape, params.value, size, tol)
+                columns = {key: b.column(key).cast(key_type).take(pa.array(found["_row"], pa.int64()))} if key else {}
+                columns |= {name: pa.array(found[name], pa.int64()) for name in ("_first", "_head")}
+                columns |= {name: pa.array(found[name], _VECTOR) for name in vectors}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
+    def sweep(frame: pd.DataFrame) -> pd.DataFrame:
+        """The runs of a series that begin with another state than the one before them ends with."""
+        frame = frame.sort_values("_head", ignore_index=True)
+        moved, h, c = [], None, None
+        for k, row in enumerate(frame.itertuples(index=False)):
+            change = np.zeros(shape.hidden)
+            if h is not None and not (_near(h, row.h0, tol) and _near(c, row.c0, tol)):
+                moved.append((k, h, c))
+                change = _taken_on(row.d, c - row.c0)
+            h, c = row.h, row.c + change
+        out = frame.loc[[k for k, _, _ in moved], run].reset_index(drop=True)
+        return out.assign(h=pd.Series([list(v) for _, v, _ in moved], dtype=object), c=pd.Series([list(v) for *_, v in moved], dtype=object))
+
     zero = F.lit(None).cast("array<double>")
     todo = rows.withColumn("h", zero).withColumn("c", zero)
     known, passes = None, []
     while True:
-        out = materialize(todo.mapInArrow(ends, _schema(blocks, key, kinds)), "carry-ends")
+        out = materialize(todo.mapInArrow(settle, _schema(blocks, key, kinds)), "carry-runs")
         if known is None:
-            before = out.withColumn("h0", zero).withColumn("c0", zero)
+            known = out
         else:
-            now = known.groupBy(*at).agg(F.max_by(F.struct("h", "c"), "pass").alias("s"))
-            before = join_small(out, now.select(*at, F.col("s.h").alias("h0"), F.col("s.c").alias("c0")), on=at, how="left")
-        moved = [
-            F.exists(F.zip_with(a, F.coalesce(b, F.transform(a, lambda _: F.lit(0.0))), lambda v, w: F.abs(v - w)), lambda d: d > tol)
-            for a, b in (("h", "h0"), ("c", "c0"))
-        ]
-        number = len(passes) + 1
-        changed = materialize(before.where(moved[0] | moved[1]).select(*at, "h", "c", F.lit(number).alias("pass")), "carry-states")
-        passes.append((number, changed.count()))
-        known = changed if known is None else known.unionByName(changed)
+            # What the pass before knew of the runs that went again is replaced.
+            gone = moved.select(*run, F.lit(True).alias("_again"))
+            kept = join_small(known, gone, on=run, how="left").where("_again is null").drop("_again")
+            known = materialize(kept.unionByName(out), "carry-known")
+        # One row per run: a run is what a task reads together of a series, many blocks.
+        runs = known.where("d is not null").select(*run, *vectors)
+        moved = runs.groupBy(*keys).applyInPandas(sweep, _schema(blocks, key, {"_head": "long", "h": "array<double>", "c": "array<double>"}))
+        moved = materialize(moved, "carry-moved")
+        passes.append((len(passes) + 1, moved.count()))
         if not passes[-1][1]:
             break
-        # Only blocks whose incoming state moved run again.
-        todo = join_small(rows, changed.drop("pass"), on=at)
+        # Only the blocks of these runs go again, the first from its new state, the others from their last.
+        fresh = moved.select(*run, F.col("h").alias("_h"), F.col("c").alias("_c"))
+        states = join_small(known.where("d is null").select(*at, "_head", "h", "c"), fresh, on=run)
+        leads = F.col("_first") == F.col("_head")
+        states = states.select(*at, *[F.when(leads, F.col(f"_{v}")).otherwise(F.col(v)).alias(v) for v in ("h", "c")])
+        todo = join_small(rows, states, on=at)
     params.destroy()
-    latest = known.groupBy(*at).agg(F.max_by(F.struct("h", "c"), "pass").alias("s"))
-    return latest.select(*at, "s.h", "s.c"), passes
+    return known.where("d is null").select(*at, "h", "c"), passes
 
 
 def forecast_blocks(

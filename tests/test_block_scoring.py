@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablelearn.plans import block_scoring as bs
 from tablelearn.plans import block_training as bt
@@ -53,6 +54,28 @@ def test_carried_state_equals_one_sequential_pass(spark, forget, block_rows, tol
     assert all(a >= b for (_, a), (_, b) in zip(passes, passes[1:]))
 
 
+def test_a_network_that_never_forgets_takes_few_passes(spark):
+    """Its cells add up what they see, so every block's first state depends on all blocks before it."""
+    cfg = _cfg()
+    model = _model(cfg, 9.0)
+    rows = _series(spark, {"hot": 1500, None: 40})
+    blocks, _ = bt.prepare_blocks(rows, cfg, order="t", key="k", block_rows=16)
+    states, passes = bs.carry_states(blocks, model, key="k")
+    assert passes[-1][1] == 0 and len(passes) <= 6  # one for each of the 94 blocks before
+    got = {(r["k"], r["frame_idx"]): np.array(r["pred"]) for r in bs.score_blocks(blocks, model, key="k", mode="carry", states=states).collect()}
+    want = _sequential(prepare_series(rows, cfg, order="t", key="k")[0].collect(), model, "k")
+    assert got.keys() == want.keys() and max(np.abs(got[k] - want[k]).max() for k in want) < 1e-9
+
+
+def test_states_that_are_no_numbers_settle_too(spark):
+    cfg = _cfg()
+    rows = _series(spark, {"a": 60}).withColumn("v", F.when(F.col("t") == 30, F.lit(float("nan"))).otherwise(F.col("v")))
+    blocks, _ = bt.prepare_blocks(rows, cfg, order="t", key="k", block_rows=8)
+    blocks = blocks.withColumn("x", F.transform("x", lambda r: F.transform(r, lambda v: F.coalesce(v, F.lit(float("nan"))))))
+    _, passes = bs.carry_states(blocks, _model(cfg), key="k")
+    assert passes[-1][1] == 0
+
+
 def test_frame_mode_equals_scoring_of_stored_frames(spark):
     cfg = _cfg()
     model = _model(cfg)
