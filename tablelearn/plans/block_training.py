@@ -6,8 +6,9 @@
 * ``fit_blocks`` (L6, L7) runs an epoch as one Spark job. Mini-batches are cut from the blocks,
   dealt to ``workers`` slots by their number and sorted by averaging round inside the tasks of
   one barrier stage. After each round the tasks exchange their slots' parameters and optimiser
-  state (``allGather``) and every task takes the same ordered average, so nothing goes to the
-  driver before the epoch ends and all tasks go on from equal parameters.
+  state (small files in the shared scratch folder; ``allGather`` where tasks cannot open it) and
+  every task takes the same ordered average, so nothing goes to the driver before the epoch ends
+  and all tasks go on from equal parameters.
 * The job's output is the epoch's state and its rounds. It is committed as a version of the
   run's ``ModelStore``: the history (L10) is a table that grows by epoch and can be read while
   training runs, and a run that was ended at any point goes on from its last whole epoch.
@@ -30,6 +31,7 @@ from dataclasses import asdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,15 +132,63 @@ def frames_of(rows: np.ndarray, size: int, dtype) -> np.ndarray:
     return np.ascontiguousarray(view.transpose(0, 2, 1), dtype=dtype)
 
 
-def _exchange(context, mine: list[tuple], chunks: int) -> list[tuple]:
+def _meeting(context, folder: str, chunks: int):
+    """How the tasks of a barrier stage tell each other a text: a function from a task's own text to
+    the texts of all tasks, in their order.
+
+    A barrier call of Spark takes a second, however little it carries. The texts go through small
+    files in the shared scratch folder instead, where every task can open it; two barrier calls
+    find that out. Where one cannot, each exchange is ``chunks`` barrier calls."""
+    me, place = str(context.taskAttemptId()), None
+    try:
+        files, place = pafs.FileSystem.from_uri(folder)
+        files.create_dir(place, recursive=True)
+        with files.open_output_stream(f"{place}/{me}-ready") as f:
+            f.write(b"1")
+        told = context.allGather(me)
+    except (OSError, ValueError, ImportError, NotImplementedError):
+        told = context.allGather("")
+    seen = "" not in told and all(
+        i.type == pafs.FileType.File for i in files.get_file_info([f"{place}/{task}-ready" for task in told])
+    )
+    shared = set(context.allGather(str(seen))) == {"True"}
+
+    def by_barrier(text: str) -> list[str]:
+        step = -(-len(text) // chunks) if text else 1
+        out = [""] * len(told)
+        for c in range(chunks):
+            for task, part in enumerate(context.allGather(text[c * step : (c + 1) * step])):
+                out[task] += part
+        return out
+
+    turns = itertools.count()
+
+    def by_files(text: str) -> list[str]:
+        turn, out = next(turns), []
+        with files.open_output_stream(f"{place}/{me}-{turn}-part") as f:
+            f.write(text.encode())
+        files.move(f"{place}/{me}-{turn}-part", f"{place}/{me}-{turn}")
+        for task in told:
+            pause = 0.0005
+            while True:  # Spark ends all tasks of the stage if one of them fails
+                try:
+                    with files.open_input_stream(f"{place}/{task}-{turn}") as f:
+                        out.append(f.read().decode())
+                    break
+                except FileNotFoundError:
+                    time.sleep(pause)
+                    pause = min(2 * pause, 0.02)
+        if turn:  # everyone has written this turn's file, so everyone has read the one before
+            files.delete_file(f"{place}/{me}-{turn - 1}")
+        return out
+
+    return by_files if shared else by_barrier
+
+
+def _exchange(meet, mine: list[tuple]) -> list[tuple]:
     """All tasks' ``(slot, frames, loss, vector bytes)``, in order of the slots."""
     text = "\n".join(f"{slot} {n} {float(loss).hex()} {base64.b64encode(vec).decode()}" for slot, n, loss, vec in mine)
-    step = -(-len(text) // chunks) if text else 1
-    told = [""] * context.getTaskInfos().__len__()
-    for c in range(chunks):
-        for task, part in enumerate(context.allGather(text[c * step : (c + 1) * step])):
-            told[task] += part
-    lines = [line.split(" ") for t in told if t for line in t.split("\n")]
+    lines = [line.split(" ") for t in meet(text) if t for line in t.split("\n")]
     found = [(int(s), int(n), float.fromhex(loss), base64.b64decode(vec)) for s, n, loss, vec in lines]
     return sorted(found, key=lambda r: r[0])
 
@@ -156,9 +206,9 @@ _EPOCH_SQL = (
 )
 
 
-def _epoch_trainer(cfg: SequenceConfig, state, epoch: int, rounds: int, tasks: int):
+def _epoch_trainer(cfg: SequenceConfig, state, epoch: int, rounds: int, tasks: int, folder: str):
     """The function of one barrier task; ``state`` is the broadcast vector of parameters and
-    optimiser state the epoch begins with."""
+    optimiser state the epoch begins with, ``folder`` the shared one the tasks may meet in."""
     shape, dt = cfg.shape, np.dtype(cfg.dtype)
     if cfg.averaging not in ("examples", "workers"):
         raise ValueError("averaging must be 'examples' or 'workers'")
@@ -194,6 +244,7 @@ def _epoch_trainer(cfg: SequenceConfig, state, epoch: int, rounds: int, tasks: i
 
     def train(batches):
         context = BarrierTaskContext.get()
+        meet = _meeting(context, folder, chunks)
         first = context.partitionId() == 0
         size = shape.size
         params, rms = state.value[:size], state.value[size:]
@@ -206,7 +257,7 @@ def _epoch_trainer(cfg: SequenceConfig, state, epoch: int, rounds: int, tasks: i
                     mine.append((slot, *train_slot(params, rms, [cfg.seed + epoch * 100003 + r, slot], rows)))
                 waiting = next(by_round, None)
             total, weight, n, loss = None, 0.0, 0, 0.0
-            for _, frames, slot_loss, vec in _exchange(context, mine, chunks):
+            for _, frames, slot_loss, vec in _exchange(meet, mine):
                 w = float(frames) if cfg.averaging == "examples" else 1.0
                 part = np.frombuffer(vec, dt).astype(np.float64) * w
                 total = part if total is None else total + part
@@ -266,7 +317,10 @@ def fit_blocks(
     for epoch in range(start, cfg.epochs if rounds else 0):
         state = spark.sparkContext.broadcast(np.concatenate([params, rms]))
         out = materialize(
-            dealt.mapInArrow(_epoch_trainer(cfg, state, epoch, rounds, tasks), _EPOCH_SQL, barrier=True), "training-epoch"
+            dealt.mapInArrow(
+                _epoch_trainer(cfg, state, epoch, rounds, tasks, scratch_path(spark, "training-exchange")), _EPOCH_SQL, barrier=True
+            ),
+            "training-epoch",
         )
         state.destroy()
         weights = out.where("kind = 'state'").select("offset", "params", "rms")

@@ -89,3 +89,35 @@ def test_missing_values_are_refused_and_no_training_frames_train_nothing(spark):
     model = bt.fit_blocks(few, _cfg())
     assert np.array_equal(model.params, bt.rn.init_params(_cfg().shape, _cfg().seed))
     assert model.history_df(spark).collect() == []
+
+
+def test_a_round_does_not_wait_for_the_barriers_second(spark):
+    """Many rounds of little work: a barrier call for each would take a second each."""
+    cfg = _cfg(epochs=1, batch_size=2, averaging_frequency=1, workers=2)
+    blocks, _ = bt.prepare_blocks(_series(spark, 120), cfg, order="t")
+    seconds = [r["seconds"] for r in bt.fit_blocks(blocks, cfg).history_df(spark).collect()]
+    assert len(seconds) >= 20 and sorted(seconds)[len(seconds) // 2] < 0.5
+
+
+class _Barrier:
+    """A barrier of one task that counts its calls."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def taskAttemptId(self):
+        return 7
+
+    def allGather(self, text):
+        self.calls += 1
+        return [text]
+
+
+def test_tasks_meet_through_the_barrier_where_the_folder_cannot_be_opened(tmp_path):
+    for folder, calls in ((f"file:{tmp_path}/meet", 0), ("nosuch://host/meet", 6)):
+        context = _Barrier()
+        meet = bt._meeting(context, folder, 2)
+        assert context.calls == 2
+        for text in ("abc", "", "one two"):
+            assert meet(text) == [text]
+        assert context.calls == 2 + calls
