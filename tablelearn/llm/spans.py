@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from tablelearn.llm.common import WordCache, worker_cache
 from tablelearn.llm.wordsets import mix
+from tablelearn.operators.joins import join_small
 from tablelearn.session import materialize
 
 MIN_SENTENCES = 3
@@ -155,11 +156,11 @@ def spans(text: str | None, min_sentences: int, min_words: int) -> tuple[np.ndar
     return np.searchsorted(starts, begin), np.searchsorted(starts, end) - 1, hashes[0], hashes[1]
 
 
-# A place of a span: its document's id, the hash of its text, and its first sentence (high half)
-# with the number of sentences behind it (low half).
+# A place of a span: its document's id, the hash of its text (0 unless the id has several texts),
+# and its first sentence (high half) with the number of sentences behind it (low half).
 _PLACE = np.dtype([("doc_id", "<i8"), ("th", "<i4"), ("place", "<i8")])
 _GROUP_BYTES = 8 << 20  # about as much text is read together
-_SPANS = "h1 long, h2 int, doc_id long, th int, place long, more binary"
+_SPANS = "h1 long, h2 int, th int, doc_id long, place long, more binary"
 
 
 def _grouped(places: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
@@ -177,15 +178,31 @@ def _grouped(places: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBat
     for k in np.flatnonzero(sizes > 1):
         more[k] = places[starts[k] + 1 : starts[k] + sizes[k]].tobytes()
     lead = places[starts]
-    columns = [h1[starts], h2[starts], *[np.ascontiguousarray(lead[c]) for c in _PLACE.names]]
+    columns = [h1[starts], h2[starts], *[np.ascontiguousarray(lead[c]) for c in ("th", "doc_id", "place")]]
     return pa.RecordBatch.from_arrays(
-        [*map(pa.array, columns), pa.array(more, pa.binary())], names=["h1", "h2", *_PLACE.names, "more"]
+        [*map(pa.array, columns), pa.array(more, pa.binary())], names=["h1", "h2", "th", "doc_id", "place", "more"]
     )
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, th, text`` of the rows with both; ``th`` is the text's hash where an id has several
+    texts and 0 elsewhere, so that it takes no room in the shuffle of the spans."""
+    rows = docs.filter("doc_id is not null and text is not null")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    by_id = rows.select("doc_id", F.hash("text").alias("th")).groupBy("doc_id").agg(F.min("th").alias("a"), F.max("th").alias("b"))
+    several = by_id.filter("a <> b").select("doc_id", F.lit(True).alias("several"))
+    rows = join_small(rows, several, on=["doc_id"], how="left")
+    return rows.select("doc_id", F.when(F.col("several"), F.hash("text")).otherwise(F.lit(0)).alias("th"), "text")
+
+
 def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``h1, h2, doc_id, th, place, more``: the spans of all documents, one row per hash and
+    """``h1, h2, th, doc_id, place, more``: the spans of all documents, one row per hash and
     group of documents read together."""
+    return _span_rows(_texts(docs), min_sentences, min_words)
+
+
+def _span_rows(texts: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
+    """``span_table`` of the rows of ``_texts``."""
 
     def group(rows: list[tuple]):
         places, h1s, h2s = [], [], []
@@ -211,18 +228,16 @@ def span_table(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: i
                     rows, size = [], 0
             yield from group(rows)
 
-    rows = docs.filter("doc_id is not null and text is not null")
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), "text")
-    return rows.mapInArrow(run, _SPANS)
+    return texts.mapInArrow(run, _SPANS)
 
 
-def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(texts: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, th, holder (smallest doc_id with the span), first, last`` of the non-first places
-    of repeated spans."""
+    of repeated spans in the rows of ``_texts``."""
     by_hash = Window.partitionBy("h1", "h2").orderBy("doc_id", "th", "place").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
-    found = span_table(docs, min_sentences, min_words)
+    found = _span_rows(texts, min_sentences, min_words)
     held = found.select(
         "*",
         F.count(F.lit(1)).over(by_hash).alias("n"),
@@ -256,7 +271,11 @@ def repeated_spans(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_word
 def removals(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, th, holders, places`` of the texts that lose sentences: the smallest ids that keep the
     passages, and the first and last sentences of what goes (at most one for each of its spans)."""
-    cut = repeated_spans(docs, min_sentences, min_words)
+    return _removals(_texts(docs), min_sentences, min_words)
+
+
+def _removals(texts: DataFrame, min_sentences: int, min_words: int) -> DataFrame:
+    cut = repeated_spans(texts, min_sentences, min_words)
     return cut.groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_set("holder")).alias("holders"), F.collect_set(F.struct("first", "last")).alias("places")
     )
@@ -284,7 +303,8 @@ def _cut(text: str, sentences: np.ndarray) -> tuple[str, int, int]:
 def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, first_doc_ids, n_sentences, n_removed, n_words_removed, kept_text`` of the
     texts that lose sentences, one row for each id and text."""
-    cut = materialize(removals(docs, min_sentences, min_words), "removals")
+    texts = _texts(docs)
+    cut = materialize(_removals(texts, min_sentences, min_words), "removals")
 
     def run(frames):
         for frame in frames:
@@ -295,7 +315,8 @@ def remove_repeated(docs: DataFrame, min_sentences: int = MIN_SENTENCES, min_wor
                 rows.append((doc_id, list(holders), n, len(sentences), words, kept))
             yield pd.DataFrame(rows, columns=["doc_id", "first_doc_ids", "n_sentences", "n_removed", "n_words_removed", "kept_text"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), "text")
-    rows = texts.join(cut, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
+    # Texts that lose nothing stay out of the shuffle while the list of those that do is small.
+    losing = join_small(texts, cut.select("doc_id", "th"), on=["doc_id", "th"])
+    rows = losing.join(cut, ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
     schema = "doc_id long, first_doc_ids array<long>, n_sentences int, n_removed int, n_words_removed int, kept_text string"
     return rows.select("doc_id", "text", "holders", "places").mapInPandas(run, schema)
