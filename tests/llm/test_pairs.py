@@ -175,7 +175,7 @@ def test_the_span_shuffle_names_a_text_only_where_an_id_has_several(spark):
     passage = " ".join(f"w{k}" for k in range(60))
     rows = [(1, passage), (2, "x " + passage), (2, "x " + passage), (3, passage + " a"), (3, passage + " b"), (None, passage), (4, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    hashes = {d: {r["th"] for r in spans._texts(docs).filter(F.col("doc_id") == d).collect()} for d in (1, 2, 3)}
+    hashes = {d: {r["th"] for r in spans._texts(docs).filter(f"doc_id = {d}").collect()} for d in (1, 2, 3)}
     assert hashes[1] == hashes[2] == {0} and len(hashes[3]) == 2 and 0 not in hashes[3]
     out = spans.remove_repeated(docs).collect()
     assert sorted(r["doc_id"] for r in out) == [2, 3, 3] and all(r["first_doc_ids"] == [1] for r in out)
