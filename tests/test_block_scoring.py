@@ -67,6 +67,14 @@ def test_a_network_that_never_forgets_takes_few_passes(spark):
     assert got.keys() == want.keys() and max(np.abs(got[k] - want[k]).max() for k in want) < 1e-9
 
 
+def test_the_plan_of_the_states_does_not_grow_with_the_passes(spark):
+    cfg = _cfg()
+    blocks, _ = bt.prepare_blocks(_series(spark, {"a": 200, "b": 90}), cfg, order="t", key="k", block_rows=8)
+    states, _ = bs.carry_states(blocks, _model(cfg, 9.0), key="k")
+    plan = states._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan and "Aggregate" not in plan
+
+
 def test_states_that_are_no_numbers_settle_too(spark):
     cfg = _cfg()
     rows = _series(spark, {"a": 60}).withColumn("v", F.when(F.col("t") == 30, F.lit(float("nan"))).otherwise(F.col("v")))
