@@ -7,15 +7,17 @@ Signature coordinate ``k`` is the smallest rank after shifting the second permut
 buckets. The default bands miss a pair at similarity 0.8 with probability
 (1 - 0.8^8)^64, below 1e-5, and one at 0.85 with 1e-9.
 
-Inside a bucket nothing is paired with everything. Members are first compared with the
-smallest id; then, in ``ROUNDS`` rounds, members outside the bucket's smallest component are
-compared with one of its documents, another one in every bucket and round. What is still apart
-after that is compared in full, never two members of one component: pair by pair in small
-buckets; in larger ones blocks of the members outside the smallest component meet chunks of
-all members in bounded tasks, which return links only. Before that a pair is dropped unread when the sizes rule the threshold out, or when the sketches (one bit of each of
-256 coordinates) differ in more places than a pair at the threshold does with probability
-1 - 1e-9. Every link is confirmed on the full sets: ``100 * intersection >= 80 * union``. No
-bucket, partner or candidate is capped.
+Inside a bucket nothing is paired with everything. Members are first compared with two leads,
+the member of the smallest id and that of the smallest hash of an id: near copies that share
+many buckets share the same few leads, so a pair is compared once however many buckets hold
+it. What is still apart after that is compared in full, in one pass over the buckets that hold
+more than one component, never two members of one component: pair by pair in small buckets; in
+larger ones blocks of the members outside the smallest component meet chunks of all members in
+bounded tasks, which return at most one link for each component that joins another there.
+Before that a pair is dropped unread when the sizes rule the threshold out, or when the sketches
+(one bit of each of 256 coordinates) differ in more places than a pair at the threshold does
+with probability 1 - 1e-9. Every link is confirmed on the full sets:
+``100 * intersection >= 80 * union``. No bucket, partner or candidate is capped.
 
 Equal sets form one class and are linked without comparison. Components are found by
 alternating large-star / small-star rounds on written tables.
@@ -29,6 +31,7 @@ with fewer words than a shingle has one shingle, the whole sequence; rows that r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -46,9 +49,9 @@ from tablelearn.session import materialize
 UNIVERSE = 1 << 18
 BANDS, ROWS = 64, 8
 THRESHOLD = 80  # per cent
-ROUNDS = 2
 SMALL_BUCKET = 16  # members up to which what is apart is compared pair by pair
 BLOCK, CHUNK = 256, 512  # rows that meet in one task in larger buckets
+FOREST = 1_000_000  # nodes of which a task keeps the edges at a time
 SKETCH = 256  # coordinates that give a bit to the sketch
 
 
@@ -158,33 +161,70 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> Dat
     return joined.mapInArrow(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` (smallest reachable node) for every node of ``edges (a, b)``."""
+def _forest(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Edges ``hi, lo`` to one edge from each node to the smallest one that they join it with, for
+    about ``limit`` nodes at a time."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := root.setdefault(top, top)) != top:
+            top = up
+        while root[x] != top:
+            root[x], x = top, root[x]
+        return top
+
+    def edges() -> pa.RecordBatch:
+        rows = [(x, top) for x in root if (top := find(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in (0, 1)], names=["hi", "lo"])
+
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = find(x), find(y)
+            root[max(x, y)] = min(x, y)
+        if len(root) > limit:
+            yield edges()
+            root.clear()
+    if root:
+        yield edges()
+
+
+def components(edges: DataFrame, limit: int = FOREST) -> DataFrame:
+    """``node, component`` (smallest reachable node) for every node of ``edges (a, b)``; a smallest
+    node itself may be left out.
+
+    Each round first thins what a task reads to stars; it ends as soon as no node has two edges
+    up and none is both an end and a centre, so a round is not run only to see that nothing moves."""
     e = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-    e = materialize(e.distinct(), "edges")
-    state = None
     while True:
-        now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("x")).first()
-        if not now["n"] or (now["n"], now["x"]) == state:
+        e = materialize(e.mapInArrow(partial(_forest, limit=limit), "hi long, lo long"), "forest")
+        up, down = F.struct(F.col("hi").alias("u"), F.lit(1).alias("up")), F.struct(F.col("lo").alias("u"), F.lit(0).alias("up"))
+        ends = e.select(F.explode(F.array(up, down)).alias("p")).select("p.*")
+        ends = ends.groupBy("u").agg(F.sum("up").alias("n"), F.min("up").alias("centre"))
+        if not ends.filter("n > 1 or n = 1 and centre = 0").take(1):
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-        state = (now["n"], now["x"])
         both = e.select(F.explode(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")), F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("p")).select("p.*")
         low = materialize(both.groupBy("u").agg(F.min("v").alias("v0")).select("u", F.least("u", "v0").alias("m")), "star")
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        # Copies stay until the next thinning; no step has more rows than it has edges.
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         large = materialize(large, "large-star")
         low = materialize(large.groupBy("hi").agg(F.min("lo").alias("m")), "star")
         moved = large.join(low, "hi").filter("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        e = materialize(moved.unionByName(low.select("hi", F.col("m").alias("lo"))).distinct(), "small-star")
+        e = materialize(moved.unionByName(low.select("hi", F.col("m").alias("lo"))), "small-star")
 
 
 def _apart(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """``bucket, rep, component, c0`` of members of buckets that hold more than one component;
-    ``c0`` is the smallest component there."""
+    """The ``members`` of buckets of more than two that hold more than one component, with their
+    ``component``, the smallest component ``c0`` of the bucket, its members ``m`` and those
+    outside ``c0``, ``o``."""
     c = comps.select(F.col("node").alias("rep"), "component")
-    m = members.select("bucket", "rep").join(c, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    m = members.join(c, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     m = materialize(m, "labelled-members")
-    mixed = m.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1")
-    return materialize(m.join(materialize(mixed.select("bucket", "c0"), "mixed"), "bucket"), "apart")
+    held = m.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.min(F.struct("component", "n")).alias("first"), F.sum("n").alias("m")
+    )
+    held = held.select("bucket", F.col("first.component").alias("c0"), "m", (F.col("m") - F.col("first.n")).alias("o"))
+    return materialize(m.join(materialize(held.filter("m > 2 and o > 0"), "apart-buckets"), "bucket"), "apart")
 
 
 def _alike(pairs: DataFrame, sizes: DataFrame, threshold: int, limit: int) -> DataFrame:
@@ -197,11 +237,12 @@ def _alike(pairs: DataFrame, sizes: DataFrame, threshold: int, limit: int) -> Da
 
 
 def _block_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links ``a, b`` between members of different components of the same bucket.
+    """Components ``a, b`` that members of the same bucket link.
 
     ``members``: ``bucket, rep, component, c0, m (members), o (members outside c0)``. The
     outsiders are dealt to blocks of about ``BLOCK`` and all members to chunks of about
-    ``CHUNK``; every block of a bucket meets every chunk of it in a task of its own."""
+    ``CHUNK``; every block of a bucket meets every chunk of it in a task of its own. Components
+    that a task has linked are one from then on, so it returns fewer rows than it has members."""
     one = members.withColumn("blocks", F.ceil(F.col("o") / BLOCK).cast("int")).withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
     dealt = lambda n: F.pmod(F.xxhash64("rep", F.lit(5)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -211,11 +252,11 @@ def _block_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFra
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         items = [np.frombuffer(v, np.uint64) for v in frame["items"]]
-        rep, comp = frame["rep"].to_numpy(np.int64), frame["component"].to_numpy(np.int64)
+        label = frame["component"].to_numpy(np.int64, copy=True)
         ask = np.flatnonzero(frame["ask"].to_numpy(bool))
         others = np.flatnonzero(~frame["ask"].to_numpy(bool))
         sizes = np.array([len(v) for v in items])
-        found = []
+        found: list[tuple[int, int]] = []
         # As many askers at a time as keep the incidence table below 32 MB.
         step = max(1, min(BLOCK, (1 << 25) // max(1, int(sizes[ask].sum()) if len(ask) else 1)))
         for start in range(0, len(ask), step):
@@ -229,9 +270,11 @@ def _block_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFra
                 at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == items[y])]
                 both = has[at].sum(0, dtype=np.int64)
                 near = 100 * both >= threshold * (sizes[some] + sizes[y] - both)
-                for k in some[near & (comp[some] != comp[y])]:
-                    found.append((min(rep[k], rep[y]), max(rep[k], rep[y])))
-        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+                for other in np.unique(label[some[near & (label[some] != label[y])]]):
+                    lo, hi = sorted((int(other), int(label[y])))
+                    found.append((lo, hi))
+                    label[label == hi] = lo
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return rows.groupBy("bucket", "block", "chunk").applyInPandas(run, "a long, b long").distinct()
 
@@ -247,8 +290,9 @@ def near_duplicates(
     classes = materialize(classes, "set-classes")
     reps = filled.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"])
     entries = materialize(reps.select(F.col("doc_id").alias("rep"), F.explode("buckets").alias("bucket")), "bucket-entries")
-    leads = entries.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi")
-    leads = materialize(leads.select("bucket", "lo"), "bucket-leads")
+    other = F.min(F.struct(F.xxhash64("rep").alias("h"), F.col("rep"))).alias("other")
+    leads = entries.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), other).filter("lo <> hi")
+    leads = materialize(leads.select("bucket", "lo", F.col("other.rep").alias("other")), "bucket-leads")
     members = materialize(entries.join(leads, "bucket"), "members")
     ids = materialize(members.select(F.col("rep").alias("id")).distinct(), "candidates")
     described = filled.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), *[f"s{k}" for k in range(4)])
@@ -256,50 +300,24 @@ def near_duplicates(
     sets = shingle_sets(docs, ids, shingle)
     limit = sketch_limit(threshold, bands * rows)
 
-    # Every document with the smallest one of each of its buckets.
-    star = members.filter("rep <> lo").select(F.col("lo").alias("a"), F.col("rep").alias("b")).distinct()
-    checked = materialize(_alike(star, sizes, threshold, limit), "pairs")
-    links = materialize(verify(checked, sets, threshold), "links")
+    # Every document with the leads of each of its buckets.
+    star = members.select(F.explode(F.array("lo", "other")).alias("lead"), "rep").filter("lead <> rep")
+    star = star.select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+    links = materialize(verify(materialize(_alike(star, sizes, threshold, limit), "pairs"), sets, threshold), "links")
     comps = components(links)
 
-    def compare(pairs: DataFrame) -> bool:
-        """Check pairs that are new; whether any link was found."""
-        nonlocal checked, links, comps
-        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = _alike(ordered.join(checked, ["a", "b"], "left_anti"), sizes, threshold, limit)
-        new = materialize(new, "pairs")
-        found = materialize(verify(new, sets, threshold), "links")
-        checked = checked.unionByName(new)
-        if not found.take(1):
-            return False
-        links = links.unionByName(found)
-        comps = components(links)
-        return True
-
+    # What is still apart inside a bucket is compared in full; pairs with a lead are done.
     apart = _apart(members, comps)
-    for turn in range(ROUNDS):
-        inside = apart.filter("component = c0").groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(turn)).alias("h"), F.col("rep"))).alias("m")
-        )
-        inside = materialize(inside.select("bucket", F.col("m.rep").alias("a")), "insiders")
-        outside = apart.filter("component <> c0").select("bucket", F.col("rep").alias("b"))
-        if compare(outside.join(inside, "bucket").select("a", "b")):
-            apart = _apart(members, comps)
-
-    # What is still apart inside a bucket is compared in full. Buckets of two are done.
-    held = apart.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("m"), F.sum((F.col("component") != F.col("c0")).cast("long")).alias("o")
-    )
-    held = materialize(held.filter("m > 2"), "apart-buckets")
-    small = apart.join(held.filter(F.col("m") <= SMALL_BUCKET), "bucket")
+    small = apart.filter((F.col("m") <= SMALL_BUCKET) & (F.col("rep") != F.col("lo")) & (F.col("rep") != F.col("other")))
     x = small.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"))
     y = small.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"))
-    compare(x.join(y, (x["bucket"] == y["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b"))
-    large = apart.join(held.filter(F.col("m") > SMALL_BUCKET), "bucket")
-    more = materialize(_block_links(large, sets, threshold), "links")
+    pairs = x.join(y, "bucket").filter("a < b and ca <> cb").select("a", "b").distinct()
+    found = verify(materialize(_alike(pairs, sizes, threshold, limit), "pairs"), sets, threshold)
+    more = _block_links(apart.filter(F.col("m") > SMALL_BUCKET), sets, threshold)
+    more = materialize(found.unionByName(more), "links")
     if more.take(1):
-        links = links.unionByName(more)
-        comps = components(links)
+        # A component stands for its members: its smallest one is a document like any other.
+        comps = components(more.unionByName(comps.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     c = comps.select(F.col("node").alias("rep"), "component")
     # A rep's row count is that of its class, so the small class table is labelled first.

@@ -63,6 +63,42 @@ def test_chains_of_near_copies_lose_no_link(spark):
         assert as_dict(neardup.near_duplicates(docs, size)) == brute_components(rows, size)
 
 
+def test_what_is_apart_is_compared_in_one_pass(spark, monkeypatch):
+    """Near copies about as similar as the threshold: the leads of a bucket do not reach all of them."""
+    rng = np.random.default_rng(3)
+    rows = [(0, " ".join(f"w{k}" for k in range(150)))]
+    for doc_id in range(1, 120):
+        words = [f"w{k}" for k in range(150)]
+        for at in rng.choice(150, 5 + doc_id % 8, replace=False):
+            words[at] = f"n{doc_id}_{at}"
+        rows.append((doc_id, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    passes = []
+    real = neardup.components
+    monkeypatch.setattr(neardup, "components", lambda edges: passes.append(1) or real(edges))
+    assert as_dict(neardup.near_duplicates(docs, 2)) == brute_components(rows, 2)
+    assert len(passes) <= 2
+
+
+def test_large_buckets_give_no_more_links_than_components(spark):
+    rows = [(5, 100 + k, 100 + k, 100, 40, 39, 42, 42) for k in range(40)]
+    members = spark.createDataFrame(rows, "bucket long, rep long, component long, c0 long, m long, o long, lo long, other long")
+    items = np.arange(10, dtype=np.uint64).tobytes()
+    sets = spark.createDataFrame([(100 + k, items) for k in range(40)], "id long, items binary")
+    assert neardup._block_links(members, sets, 80).count() <= 39
+
+
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_components_take_chains_and_copies(spark, limit):
+    rng = np.random.default_rng(2)
+    order = rng.permutation(60).tolist()
+    edges = list(zip(order, order[1:])) + [(70, 71), (71, 70), (80, 80)]
+    out = neardup.components(spark.createDataFrame(edges, "a long, b long").repartition(5), limit).collect()
+    got = {r["node"]: r["component"] for r in out}
+    assert len(got) == len(out)
+    assert {n: got.get(n, n) for n in [*range(60), 70, 71]} == {**dict.fromkeys(range(60), 0), 70: 70, 71: 70}
+
+
 def test_threshold_is_exact(spark):
     base = [f"a{k}" for k in range(11)]  # 10 shingles
     rows = [(1, " ".join(base)), (2, " ".join([*base[:10], "z"])), (3, " ".join([*base[:9], "y", "x"]))]
