@@ -662,10 +662,11 @@ def q_prepare_event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_forecast_events_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M10 + L8 (carry) on one daily series per event type: frames of 5 days, state carried
-    down each type's frames while scoring, solved over blocks of 8 days at once."""
+    down each type's frames while scoring, solved over blocks of 8 days at once. With many events
+    a day a type's Low is the same every day; it scales to 0 then."""
     cfg = _event_config()
     days = materialize(event_days(spark, sf_dir), "event-days")
-    blocks, stats = prepare_blocks(days, cfg, order="Date", key="event_type", block_rows=8)
+    blocks, stats = prepare_blocks(days, cfg, order="Date", key="event_type", constant=0.0, block_rows=8)
     model = fit_blocks(blocks, cfg, key="event_type")
     return forecast_blocks(blocks, model, stats, label="Close", key="event_type", mode="carry")
 

@@ -103,3 +103,21 @@ def test_too_short_series_give_no_rows(spark):
     blocks, _ = bt.prepare_blocks(_series(spark, {"a": 3}), cfg, order="t")
     for mode in ("frame", "carry"):
         assert bs.score_blocks(blocks, _model(cfg), mode=mode).collect() == []
+
+
+def test_events_whose_low_is_the_same_every_day_are_forecast(spark, tmp_path):
+    """A day of many events has the least value there is as its Low, whatever the day."""
+    from tablelearn.plans.queries import q_forecast_events_carry
+
+    rows = []
+    for d in range(12):
+        day = f"2024-01-{d + 1:02d}"
+        values = {"usual": (3.0 + d, 2.0 + d % 3, 9.0 + d % 4), "low": (5.0 + d % 5, 0.0, 7.0 + d), "flat": (4.0, 4.0, 4.0)}
+        rows += [(len(rows) + i, f"{day} {i:02d}:00:00", kind, v) for kind, vs in values.items() for i, v in enumerate(vs)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, event_type string, value double")
+    events.withColumn("ts", F.to_timestamp("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    got = q_forecast_events_carry(spark, str(tmp_path)).collect()
+    per_type = {k: [r for r in got if r["event_type"] == k] for k in ("usual", "low", "flat")}
+    assert len({len(v) for v in per_type.values()}) == 1 and len(got) == 3 * len(per_type["low"]) > 0
+    assert all(np.isfinite([r["actual"], r["predicted"]]).all() for r in got)
+    assert {r["actual"] for r in per_type["low"]} > {12.0} and all(r["actual"] == r["predicted"] == 4.0 for r in per_type["flat"])
